@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
@@ -23,6 +29,47 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, window=13, layout="words").select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat_format import format_conversations, gather_rows, loss_text, parse_turns
+
+    control = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    out = format_conversations(gather_rows(rows.unionByName(added)))
+    read = out.select("conv_id", "formatted", parse_turns(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=1, window=2048)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, train(docs, _table(spark, sf_dir, "labels"))).drop("text")
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import search
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -30,6 +77,23 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import section_tokens
+
+    return section_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="most")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import round_trip
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import drop_common_lines
 
@@ -37,8 +101,52 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_substring_dedup, op7_simhash, op10_line_dedup)
+    f.__name__: f
+    for f in (op1_license_scan, op2_substring_dedup, op3_chat_format, op4_pack, op5_quality, op6_ann, op7_simhash, op8_token_counts, op9_bpe, op10_line_dedup, pipeline)
+}
+
+#: DuckDB SQL where SQL can express the query; the others are tested against
+#: brute force, exact round trips and held-out accuracy in tests/llm.
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": """
+        with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws from documents),
+        g as (select doc_id, i, array_to_string(ws[i:i + 12], ' ') k from (select doc_id, ws, unnest(range(1, len(ws) - 11)) i from w)),
+        m as (select k, min(doc_id) lo from g group by k),
+        hit as (select distinct g.doc_id, g.i + o as pos from g join m using (k), range(0, 13) r(o) where m.lo < g.doc_id),
+        own as (select doc_id, unnest(ws) word, unnest(range(1, len(ws) + 1)) pos from w),
+        kept as (select own.doc_id, count(*) n, string_agg(word, ' ' order by own.pos) t from own anti join hit on own.doc_id = hit.doc_id and own.pos = hit.pos group by own.doc_id)
+        select w.doc_id, len(ws)::bigint n_words, (len(ws) - coalesce(n, 0))::bigint n_removed, sha256(coalesce(t, '')) kept_sha256
+        from w left join kept on w.doc_id = kept.doc_id
+    """,
+    "op3_chat_format": """
+        with r as (
+            select conv_id, turn, coalesce(role, '') as "role", coalesce(text, '') as text from conversations
+            union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e as (select *, length(role) + length(text) + 11
+                + 2 * (length(role) + length(text)) - length(replace(role, '\\', '')) - length(replace(text, '\\', ''))
+                + 2 * (length(role) + length(text)) - length(replace(role, '<', '')) - length(replace(text, '<', ''))
+                + 2 * (length(role) + length(text)) - length(replace(role, '[', '')) - length(replace(text, '[', ''))
+                - 3 * (length(role) + length(text)) + length(role) - length(replace(role, '|', '')) as n from r)
+        select conv_id, count(*)::bigint n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) turns_sha256,
+            coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint loss_chars,
+            sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) loss_sha256,
+            sum(n)::bigint formatted_chars
+        from e group by conv_id
+    """,
+    "op10_line_dedup": """
+        with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) x, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) i from documents),
+        k as (select *, translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') key from l),
+        c as (select key, count(distinct doc_id) n from k where key <> '' group by key)
+        select doc_id, count(*)::bigint n_lines, count(*) filter (where coalesce(n, 0) >= 10)::bigint n_dropped,
+            sha256(coalesce(string_agg(x, chr(10) order by i) filter (where coalesce(n, 0) < 10), '')) kept_sha256
+        from k left join c using (key) group by doc_id
+    """,
 }
-
-ORACLES: dict[str, str] = {}
