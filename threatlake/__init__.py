@@ -1,0 +1 @@
+"""Threat-report analytics and training-data operators on PySpark."""
