@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import column, map_columns, materialize
 from .graph import components
+from .kernel import MASK64, combine
 
 #: A-Z to a-z in UTF-8 bytes; other letters keep their case.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -78,6 +79,18 @@ def _bits(fp: Column, at: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, at % 64).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def _choices(max_bits: int) -> tuple[int, int, list[tuple[int, ...]]]:
+    """Parts of the segments after the first that give key bits, those segments, and which parts are equal."""
+    m = _segments(max_bits)
+    parts, after = {4: (2, 1), 8: (4, 2), 16: (4, 2)}[m]
+    budget = (after + 1) * max_bits // m
+    return parts, after, list(combinations(range(parts), max(0, parts - budget)))
+
+
+def _key_count(max_bits: int) -> int:
+    return _segments(max_bits) * len(_choices(max_bits)[2])
+
+
 def join_keys(fp: Column, max_bits: int) -> Column:
     """Array of longs: fingerprints that are linked share at least one.
 
@@ -87,10 +100,7 @@ def join_keys(fp: Column, max_bits: int) -> Column:
     """
     m = _segments(max_bits)
     width = 64 // m
-    after = 1 if m == 4 else 2  # segments after the first that give key bits
-    parts = {4: 2, 8: 4, 16: 4}[m]
-    budget = (after + 1) * max_bits // m
-    choices = list(combinations(range(parts), max(0, parts - budget)))
+    parts, after, choices = _choices(max_bits)
     size = width * after // parts
     keys = []
     for i in range(m):
@@ -103,38 +113,155 @@ def join_keys(fp: Column, max_bits: int) -> Column:
     return F.array(*keys)
 
 
-def _chained(difference: Column, max_bits: int) -> Column:
-    """Whether some start's chains all stay within their proportional budgets."""
-    m = _segments(max_bits)
-    width = 64 // m
-    counts = [F.bit_count(_bits(difference, i * width, width)) for i in range(m)]
-    starts = []
-    for i in range(m):
-        total, within = None, None
-        for n in range(1, 4):
-            total = counts[i] if total is None else total + counts[(i + n - 1) % m]
-            check = total <= n * max_bits // m
-            within = check if within is None else within & check
-        starts.append(within)
-    out = starts[0]
-    for s in starts[1:]:
-        out = out | s
-    return out
+class Buckets:
+    """Links inside buckets of equal keys, read in key order; emits only a spanning forest of each task's links.
+
+    A bucket of up to SMALL fingerprints is compared row against following row,
+    all such buckets of a batch at once; a larger one is walked breadth first, so
+    a dense group costs about one comparison a fingerprint. One of more than
+    `most` fingerprints is not held: it is dealt anew by finer keys.
+    """
+
+    SMALL = 48
 
+    def __init__(self, max_bits: int, most: int | None):
+        self.max_bits, self.most, self.m = max_bits, most, _segments(max_bits)
+        self.parent: dict[int, int] = {}
+        self.edges: list[tuple[int, int]] = []
 
-def links(prints: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b), a < b: distinct values of prints' long column fp at most max_bits apart.
+    def linked(self, difference: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """The chain from the key's own start, link by link, and then the full distance."""
+        width = 64 // self.m
+        turn = (start * width).astype(np.uint64)
+        d = (difference >> turn) | (difference << ((np.uint64(64) - turn) & np.uint64(63)))
+        ok = np.ones(len(d), bool)
+        for n in (1, 2, 3):
+            ok &= np.bitwise_count(d & np.uint64((1 << (n * width)) - 1)) <= n * self.max_bits // self.m
+        return ok & (np.bitwise_count(d) <= self.max_bits)
 
-    A key with very many fingerprints is one join key that adaptive execution
-    splits; what leaves the join has passed the full check.
+    def root(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        x, y = self.root(a), self.root(b)
+        if x != y:
+            self.parent[max(x, y)] = min(x, y)
+            self.edges.append((a, b))
+
+    def small(self, key: np.ndarray, start: np.ndarray, fp: np.ndarray) -> None:
+        at = np.arange(len(key))
+        for lag in range(1, self.SMALL):
+            at = at[at + lag < len(key)]
+            at = at[key[at] == key[at + lag]]
+            if not len(at):
+                return
+            hit = at[self.linked(fp[at] ^ fp[at + lag], start[at])]
+            for a, b in zip(fp[hit].tolist(), fp[hit + lag].tolist(), strict=True):
+                self.join(a, b)
+
+    def large(self, start: int, fp: np.ndarray) -> None:
+        left = np.unique(fp)
+        while len(left):
+            front, left = [int(left[0])], left[1:]
+            while front and len(left):
+                now = front.pop()
+                hit = self.linked(left ^ np.uint64(now), np.full(len(left), start))
+                for x in left[hit].tolist():
+                    self.join(now, x)
+                    front.append(x)
+                left = left[~hit]
+
+    def finer(self, key: int, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(fingerprints, keys): linked ones share at least one of max_bits + 1 parts."""
+        n = self.max_bits + 1
+        edge = [64 * k // n for k in range(n + 1)]
+        keys = []
+        for k in range(n):
+            part = (fp >> np.uint64(edge[k])) & np.uint64((1 << (edge[k + 1] - edge[k])) - 1)
+            keys.append(combine(np.full(len(fp), key & MASK64, np.uint64), part, 200 + k))
+        return np.tile(fp, n), np.concatenate(keys)
+
+    def run(self, batches):
+        """Batches sorted by key -> rows (a, b) of edges and (a, key, start) of what is dealt anew."""
+        held: list[np.ndarray] = []
+        passing: int | None = None
+        for batch in batches:
+            new = [column(batch, c).to_numpy() for c in ("key", "start", "fp")]
+            held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
+            key, start, fp = held
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+            if passing is not None and len(key) and key[0] == passing and len(begin) == 1:
+                yield self._anew(key, start, fp)  # the large bucket goes on
+                held = []
+                continue
+            done = int(begin[-1]) if len(begin) else 0
+            yield from self._buckets(key[:done], start[:done], fp[:done], passing)
+            held = [x[done:] for x in held]
+            if self.most is not None and len(held[0]) > self.most:
+                passing = int(held[0][0])
+                yield self._anew(*held)
+                held = []
+            elif done:
+                passing = None if passing is None or int(held[0][0]) != passing else passing
+        if held and len(held[0]):
+            yield from self._buckets(*held, passing)
+
+    def _buckets(self, key, start, fp, passing):
+        if not len(key):
+            return
+        fp = fp.view(np.uint64)
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(begin, len(key)))
+        for at in np.flatnonzero((size > self.SMALL) | (key[begin] == passing if passing is not None else np.zeros(len(begin), bool))).tolist():
+            lo, hi = int(begin[at]), int(begin[at] + size[at])
+            if self.most is not None and (size[at] > self.most or int(key[lo]) == passing):
+                yield self._anew(key[lo:hi], start[lo:hi], fp[lo:hi].view(np.int64))
+            else:
+                self.large(int(start[lo]), fp[lo:hi])
+        few = np.repeat(size <= self.SMALL, size)
+        if passing is not None:
+            few &= key != passing
+        self.small(key[few], start[few], fp[few])
+        if self.edges:
+            a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*self.edges, strict=True))
+            self.edges = []
+            yield self._batch(a, b, np.zeros(len(a), np.int64), np.full(len(a), -1))
+
+    def _anew(self, key, start, fp):
+        fps, keys = self.finer(int(key[0]), fp.view(np.uint64))
+        return self._batch(fps.view(np.int64), fps.view(np.int64), keys.view(np.int64), np.full(len(fps), int(start[0])))
+
+    @staticmethod
+    def _batch(a, b, key, start):
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(key), pa.array(start.astype(np.int32))], names=["a", "b", "key", "start"])
+
+
+def links(prints: DataFrame, max_bits: int, most: int = 20_000) -> DataFrame:
+    """(a, b): enough links to connect what chains of links connect, of distinct long values fp.
+
+    Linked values differ in at most max_bits bits. Buckets larger than `most`
+    are dealt anew by finer keys, twice at the utmost; what is then still
+    large is a dense ball, which the breadth-first walk passes quickly.
     """
-    if max_bits == 0:
-        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
-    keyed = prints.select("fp", F.explode(join_keys(F.col("fp"), max_bits)).alias("key"))
-    left, right = keyed.select("key", F.col("fp").alias("a")), keyed.select("key", F.col("fp").alias("b"))
-    difference = F.col("a").bitwiseXOR(F.col("b"))
-    found = left.join(right, "key").where((F.col("a") < F.col("b")) & _chained(difference, max_bits) & (F.bit_count(difference) <= max_bits))
-    return found.select("a", "b").distinct()
+    keys = F.transform(join_keys(F.col("fp"), max_bits), lambda k, i: F.struct(k.alias("key"), F.floor(i * F.lit(_segments(max_bits)) / F.lit(_key_count(max_bits))).cast("int").alias("start")))
+    keyed = prints.select("fp", F.explode(keys).alias("k")).select("k.key", "k.start", "fp")
+    out = None
+    for last in (False, False, True):
+
+        def run(batches, most=None if last else most):
+            yield from Buckets(max_bits, most).run(batches)
+
+        found = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "a long, b long, key long, start int")
+        found = materialize(found, "links")
+        edges = found.where("start < 0").select("a", "b")
+        out = edges if out is None else out.unionByName(edges)
+        keyed = found.where("start >= 0").select("key", "start", F.col("a").alias("fp"))
+        if keyed.isEmpty():
+            break
+    return out
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, max_bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
