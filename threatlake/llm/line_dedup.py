@@ -267,18 +267,19 @@ def _probe_routed(docs: DataFrame, index: DataFrame, min_chars: int, text: str)
                     out.append((row["blk"], h[has].tobytes(), g[has].tobytes()))
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("__blk", "h", "g"), zip(*out, strict=True) if out else [[]] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)})
 
-    fields = kept_fields(docs.schema, _schema(text))
-    names = [f.name for f in fields]
+    made = _schema(text)
+    fields = kept_fields(docs.schema, made)
+    names, new_names = [f.name for f in fields], made.names
 
     def finish(own: pa.Table, told: pa.Table) -> pa.Table:
         h, g = (np.frombuffer(b"".join(told.column(c).to_pylist()), "<u8") for c in ("h", "g"))
         gone = {*zip(h.tolist(), g.tolist(), strict=True)}
         new = _outputs(column(own, text), lambda a, b: np.fromiter((k in gone for k in zip(a.tolist(), b.tolist(), strict=True)), bool, len(a)), min_chars)
-        return pa.table([column(own, n) for n in names] + new, names=names + _schema(text).names)
+        return pa.table([column(own, n) for n in names] + new, names=names + new_names)
 
     asked = held.groupBy("__blk").applyInArrow(ask, "shard int, blk int, h binary, g binary")
     told = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(answer, "__blk int, h binary, g binary")
-    return held.groupBy("__blk").cogroup(told.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(_schema(text).fields)))
+    return held.groupBy("__blk").cogroup(told.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(made.fields)))
 
 
 def _schema(text: str):
