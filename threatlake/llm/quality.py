@@ -26,8 +26,9 @@ REPEAT_WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: A document is rejected below this calibrated probability of being good: only
-#: where the classifier is sure, as a lost good document can't be had back.
-THRESHOLD = 0.02
+#: where the classifier is sure, as a lost good document can't be had back. Few
+#: labels calibrate to no smaller probabilities than about this.
+THRESHOLD = 0.1
 #: At most so many labelled rows of each label are fitted.
 SAMPLE_ROWS = 1500
 BITS = 16
