@@ -13,7 +13,7 @@ from threatlake.llm.common import materialize
 from threatlake.llm.line_dedup import drop_common_lines
 from threatlake.llm.packing import pack
 from threatlake.llm.quality import judge, train
-from threatlake.llm.simhash import near_duplicates
+from threatlake.llm.simhash import similar_documents
 from threatlake.llm.substring_dedup import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near copies."""
-    found = near_duplicates(docs, shingle_words=5, max_bits=NEAR_BITS)
+    found = similar_documents(docs, shingle_words=5, similarity=0.8)
     gone = found.where("doc_id > component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
@@ -54,10 +54,6 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=1, window=2048)
 
 
-#: Differing bits of five-word SimHash fingerprints: 7 of 64 estimates a shingle
-#: similarity (Jaccard) of 0.89; see the README for the recall at 0.8.
-NEAR_BITS = 7
-
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("simhash", simhash_dedup), ("substring_dedup", substring_dedup), ("packing", packing)]
 
 #: SQL can't express the classifier's verdict or the packing plan; the stages are tested against brute force.

@@ -8,6 +8,8 @@ from collections import Counter
 
 import xxhash
 
+from threatlake.llm import simhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -72,6 +74,27 @@ def near(rows, size, bits):
     return [(i, f, least[root(f)]) for i, f in prints]
 
 
+def similar(rows, size, lanes, bits, total):
+    """(doc_id, component) by lanes of fingerprints: one within bits, all within total."""
+    prints = [(i, simhash.fingerprints((x or "").encode(), size, lanes)) for i, x in rows]
+    group = list(range(len(prints)))
+
+    def root(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for j, (_, f) in enumerate(prints):
+        for k in range(j):
+            d = [(x ^ y).bit_count() for x, y in zip(f, prints[k][1], strict=True)]
+            if min(d) <= bits and sum(d) <= total:
+                group[root(j)] = root(k)
+    least = {}
+    for k, (i, _) in enumerate(prints):
+        least[root(k)] = min(least.get(root(k), i), i)
+    return [(i, least[root(k)]) for k, (i, _) in enumerate(prints)]
+
+
 def quality(text):
     text = text or ""
     w = WORD.findall(text)
