@@ -39,6 +39,26 @@ def test_merge_replay_equals_tiktoken(path):
             assert codec.decode(ids.tolist()) == t.encode()
 
 
+def test_long_texts_in_slices(monkeypatch):
+    text = " ".join(fuzz(7, 300)) + " " * 50 + "z" * 3000
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 100)
+    codec = bpe.Codec(bpe.Vocabulary(bpe.read_ranks(MULTI), public_tokenizers.PATTERN))
+    assert codec.encode([text])[0].tolist() == coder(MULTI).encode_ordinary(text)
+    assert len(bpe.slices(text, 100)) > 50
+
+    from threatlake.llm import kernel
+
+    raw = ("# w1 w2 w3 w4 w5 " * 3000 + "x" * 9000).encode()
+    buffer, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+    words = kernel.find_words(buffer, offsets)
+    model = quality.Model(np.random.default_rng(1).normal(size=len(quality.GROUPS) << quality.BITS).astype(np.float32), 0.0)
+    whole = kernel.range_hash(buffer, words.start, words.end), model.logit(buffer, offsets, words)
+    for module in (kernel, quality):
+        monkeypatch.setattr(module, "BLOCK_BYTES", 1000)
+    assert (kernel.range_hash(buffer, words.start, words.end) == whole[0]).all()
+    assert model.logit(buffer, offsets, words) == pytest.approx(whole[1])
+
+
 def test_encode_and_decode(docs, odd):
     want = coder(MULTI)
     out = bpe.decode(bpe.encode(docs(odd, clash=True), MULTI, public_tokenizers.PATTERN, name="ids"), MULTI)

@@ -195,6 +195,25 @@ def replay(pieces: list[bytes], vocabulary: Vocabulary) -> list[np.ndarray]:
     return [ids[a:b] for a, b in zip(where[:-1].tolist(), where[1:].tolist(), strict=True)]
 
 
+def slices(text: str, limit: int) -> list[str]:
+    """A long text in slices that end before white space after another character.
+
+    Patterns whose matches never hold white space after another character, as those of
+    public byte-level vocabularies, split each slice as they split the whole.
+    """
+    out, at = [], 0
+    while len(text) - at > limit:
+        cut = _TURN.search(text, at + limit)
+        if cut is None:
+            break
+        out.append(text[at : cut.start() + 1])
+        at = cut.start() + 1
+    return [*out, text[at:]]
+
+
+_TURN = regex.compile(r"\S(?=\s)")
+
+
 class Codec:
     """Encodes and decodes blocks of texts, keeping the pieces it has seen."""
 
@@ -203,7 +222,12 @@ class Codec:
         self.seen: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Memory follows the block's distinct pieces."""
+        """Ids of each text. Memory follows the block's distinct pieces; a long text is taken in slices."""
+        if len(texts) == 1 and len(texts[0]) > 2 * BLOCK_CHARS:
+            return [np.concatenate([self._encode([part])[0] for part in slices(texts[0], BLOCK_CHARS)])]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         v, seen = self.vocabulary, self.seen
         split = [v.split(t) for t in texts]
         distinct = {*chain.from_iterable(split)}

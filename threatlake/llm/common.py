@@ -40,6 +40,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes what this application has materialized; results that still read it are then lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/threatlake/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of df's size, from file sizes; nothing is run."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -112,12 +112,21 @@ def find_words(buffer: np.ndarray, offsets: np.ndarray) -> Words:
 
 
 def range_hash(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range, from one prefix sum over the buffer."""
-    n = len(buffer)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(_BYTE[buffer] * _powers(_BASE, n), out=total[1:])
-    h = (total[end] - total[start]) * _powers(pow(_BASE, -1, 1 << 64), n + 1)[start]
-    return mix(h + (end - start).astype(U64) * U64(0xA0761D6478BD642F))
+    """A 64-bit hash of each byte range, from prefix sums over the buffer.
+
+    Ranges are ascending and don't overlap. A long buffer is taken in slices, so
+    memory follows the slice and not the longest document.
+    """
+    out, at = np.empty(len(start), U64), 0
+    while at < len(start):
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + 2 * BLOCK_BYTES, "right")))
+        lo, hi = int(start[at]), int(end[stop - 1])
+        total = np.zeros(hi - lo + 1, U64)
+        np.cumsum(_BYTE[buffer[lo:hi]] * _powers(_BASE, hi - lo), out=total[1:])
+        s, e = start[at:stop] - lo, end[at:stop] - lo
+        out[at:stop] = mix((total[e] - total[s]) * _powers(pow(_BASE, -1, 1 << 64), hi - lo + 1)[s] + (e - s).astype(U64) * U64(0xA0761D6478BD642F))
+        at = stop
+    return out
 
 
 def widen(h: np.ndarray, length: int, to: int, seed: int = 1) -> np.ndarray:

@@ -145,7 +145,7 @@ def tokenize(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, window:
             names = column(batch, "doc_id").to_pylist()
             for texts in text_blocks(column(batch, "text")):
                 for t in texts:
-                    ids = np.array([*coder.encode_ordinary(t), end_id], np.uint32)
+                    ids = np.append(coder.encode_to_numpy(t, disallowed_special=()), np.uint32(end_id))
                     rows += [(names[at], len(ids), *piece) for piece in _pieces(ids, window)]
                     at += 1
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, map_columns
-from .kernel import U64, Words, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
+from .kernel import BLOCK_BYTES, U64, Words, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
 
 #: Symbols that the base rules count.
 SYMBOLS = b"#*$%&|<>"
@@ -43,6 +43,8 @@ _SEPARATES[[0x20, 9, 10, 11, 12, 13]] = True
 
 def _sum(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values over [bounds[d], bounds[d + 1])."""
+    if len(bounds) == 2:  # one document, which may be long
+        return np.array([values[bounds[0] : bounds[1]].sum(dtype=np.float64 if values.dtype.kind == "f" else np.int64)])
     total = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
     np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
@@ -84,17 +86,32 @@ def base_counts(buffer: np.ndarray, offsets: np.ndarray, words: Words) -> dict[s
 
 
 def features(buffer: np.ndarray, offsets: np.ndarray, words: Words):
-    """For each group: the hashed slot of every n-gram in order, and the documents' bounds among them."""
+    """(group, slots, bounds): the hashed slot of every n-gram in order, and the documents' bounds among them.
+
+    The characters of a long document come in slices, so a group may come again.
+    """
     word = range_hash(buffer, words.start, words.end)
-    n = len(buffer)
-    byte = mix((buffer.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))
     for g, (kind, size) in enumerate(GROUPS):
-        base, first = (word, words.first) if kind == "word" else (byte, offsets)
-        h = window_hash(base, size, 10 + g) if size > 1 else base
-        ok = window_valid(first, size, len(h))
-        slot = (mix(h + U64(g)) >> U64(64 - BITS)).astype(np.int64)[ok] + (g << BITS)
-        counts = np.maximum(np.diff(first) - size + 1, 0)
-        yield slot, np.concatenate([[0], np.cumsum(counts)])
+        if kind == "word":
+            yield g, *_slots(word, words.first, size, g)
+        elif len(offsets) > 2 or len(buffer) <= 2 * BLOCK_BYTES:
+            yield g, *_slots(_byte_hash(buffer), offsets, size, g)
+        else:
+            for lo in range(0, len(buffer), BLOCK_BYTES):
+                part = buffer[lo : lo + BLOCK_BYTES + size - 1]
+                if len(part) >= size:
+                    yield g, *_slots(_byte_hash(part), np.array([0, len(part)]), size, g)
+
+
+def _byte_hash(buffer: np.ndarray) -> np.ndarray:
+    return mix((buffer.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))
+
+
+def _slots(base: np.ndarray, first: np.ndarray, size: int, g: int) -> tuple[np.ndarray, np.ndarray]:
+    h = window_hash(base, size, 10 + g) if size > 1 else base
+    ok = window_valid(first, size, len(h))
+    slot = (mix(h + U64(g)) >> U64(64 - BITS)).astype(np.int64)[ok] + (g << BITS)
+    return slot, np.concatenate([[0], np.cumsum(np.maximum(np.diff(first) - size + 1, 0))])
 
 
 @dataclass
@@ -105,10 +122,11 @@ class Model:
     shift: float = 0.0
 
     def logit(self, buffer: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
-        out = np.full(len(offsets) - 1, self.bias)
-        for slot, bounds in features(buffer, offsets, words):
-            out += _sum(self.weights[slot], bounds) / np.maximum(np.diff(bounds), 1)
-        return out
+        total, count = np.zeros((2, len(GROUPS), len(offsets) - 1))
+        for g, slot, bounds in features(buffer, offsets, words):
+            total[g] += _sum(self.weights[slot], bounds)
+            count[g] += np.diff(bounds)
+        return self.bias + (total / np.maximum(count, 1)).sum(axis=0)
 
     def probability(self, logit: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit + self.shift, -50, 50)))
@@ -123,8 +141,8 @@ def _sparse(batches):
             parts = list(features(b, o, find_words(b, o)))
             for d in range(hi - lo):
                 slots, values = [], []
-                for slot, bounds in parts:
-                    own, n = np.unique(slot[bounds[d] : bounds[d + 1]], return_counts=True)
+                for g in range(len(GROUPS)):
+                    own, n = np.unique(np.concatenate([slot[bounds[d] : bounds[d + 1]] for k, slot, bounds in parts if k == g] or [np.zeros(0, np.int64)]), return_counts=True)
                     slots.append(own)
                     values.append(n / max(1, n.sum()))
                 rows.append((labels[at], np.concatenate(slots).astype("<i4").tobytes(), np.concatenate(values).astype("<f4").tobytes()))

@@ -87,7 +87,7 @@ def section_tokens(docs: DataFrame, ranks: str, pattern: str, rule: str = "first
             for texts in text_blocks(column(batch, "text")):
                 for t in texts:
                     begins = sections(t.encode("utf-32-le"))
-                    tokens = np.array(coder.encode_ordinary(t), np.int64)
+                    tokens = coder.encode_to_numpy(t, disallowed_special=()).astype(np.int64)
                     if len(tokens):
                         start, end = token_spans(t.encode(), size[tokens])
                         n = np.bincount(allocate(start, end, begins, len(t), rule), minlength=len(begins))
