@@ -27,7 +27,7 @@ from .common import column, map_columns
 
 #: Text characters of a block, and pieces whose ids are kept for later blocks.
 BLOCK_CHARS = 4 << 20
-KEPT_PIECES = 300_000
+KEPT_PIECES = 1_000_000
 NONE = np.int32(np.iinfo(np.int32).max)
 
 
