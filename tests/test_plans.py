@@ -118,6 +118,53 @@ def test_evaluation(spark):
     assert "## Guardrails" in card and "n/a" in card and "passed" in card
 
 
+def test_evaluation_run(spark, tmp_path):
+    fixture = {"id": "0001", "status": "annotated", "document": {"text_file": "0001-a.txt"}, "annotation": {"actors": [{"name": "APT 28"}], "techniques": [{"technique_id": "T1078", "explicit_in_text": False}], "targets": [{"country": "au", "sector": None}]}}
+    (tmp_path / "gold").mkdir()
+    (tmp_path / "gold" / "0001-a.json").write_text(json.dumps(fixture))
+    (tmp_path / "gold" / "0001-a.txt").write_text("The crew APT 28 signed in with stolen accounts of Australian staff.")
+    fixtures, _ = gold.load(spark, f"file://{tmp_path}/gold")
+    actors = spark.createDataFrame([("a1", "Crew One", ["APT 28"], 0)], "id string, canonical_name string, aliases array<string>, load_ordinal long")
+    techniques = spark.createDataFrame([("T1078",)], "technique_id string")
+    answer = json.dumps({"summary": "s", "report_date": None, "confidence": "low", "actors": [{"name": "apt 28", "attribution_confidence": "likely"}], "techniques": [{"technique_id": "T1078", "evidence_quote": "signed in with stolen accounts"}], "targets": [{"country": "AU", "sector": None}], "iocs": []})
+    good, bad = (lambda: clients.ScriptedClient([answer])), (lambda: clients.ScriptedClient(["prose", "prose"]))
+    cards = evaluate.run(spark, fixtures, techniques, actors, {"one": (good, "org/m1"), "two": (bad, "m2")}, f"file://{tmp_path}/cards", resolve_gold=True)
+    version = clients.prompt_version(clients.SYSTEM_PROMPT)
+    assert sorted(cards) == sorted([f"one--org-m1--{version}.md", f"two--m2--{version}.md", f"cross-backend--{version}.md"])
+    assert all((tmp_path / "cards" / n).read_text() == c for n, c in cards.items())
+    one = cards[f"one--org-m1--{version}.md"]
+    assert "| actors | 1.000 | 1.000 | 1.000 |" in one and "| quote_validity | 100.0% |" in one and "- none" in one
+    assert "- 0001: invalid_json" in cards[f"two--m2--{version}.md"]
+    both = cards[f"cross-backend--{version}.md"]
+    assert "| techniques | 1.000 | 0.000 | 0.000 |" in both and "| implicit recall | 1.000 | 0.000 | n/a |" in both
+    only = evaluate.run(spark, fixtures, techniques, actors, {}, f"file://{tmp_path}/cards")
+    assert list(only) == [f"baseline--{version}.md"]
+
+
+def test_fixture_export(spark, tmp_path):
+    names = spark.createDataFrame([("0007-x.json",), ("0009-y.txt",), ("notes.json",)], "name string")
+    assert maintain.next_index(names) == 8 and maintain.next_index(names.limit(0)) == 1
+    rows = spark.createDataFrame([(1, 9, "A Title", "https://x.example/1", "cisa", "see https://bad.example/p now")], "id long, score int, title string, source_url string, source_kind string, clean_text string")
+    (name,) = maintain.export(rows, 8, f"file://{tmp_path}")
+    assert name.startswith("0008-") and json.loads((tmp_path / f"{name}.json").read_text())["status"] == "placeholder"
+    assert "hxxps" in (tmp_path / f"{name}.txt").read_text()
+
+
+def test_second_backend():
+    listed = {"data": [{"id": "nomic-embed"}, {"id": "small"}, "odd"]}
+    assert clients.advertised("http://h", get=lambda u, h: listed if u == "http://h/v1/models" else None) == ["nomic-embed", "small"]
+    assert clients.advertised("http://h", get=lambda u, h: {"data": 3}) is None and clients.advertised("http://h", get=lambda u, h: []) is None
+    assert clients.discover_local(lambda root: None) is None
+    found = clients.resolve_second({}, discover=lambda: ("http://l/v1", ["nomic-embed", "small"]))
+    assert (found.model, found.max_input_tokens, found.source) == ("small", 6000, "local discovery")
+    assert clients.resolve_second({"LLM_BASE_URL": "http://b", "EVAL_LOCAL_MODEL": "m"}).source == "LLM_BASE_URL"
+    for env, probe in (({"EVAL_LOCAL_BASE_URL": "http://b"}, lambda *a: ["x-embed"]), ({}, None)):
+        with pytest.raises(clients.ConfigError):
+            clients.resolve_second(env, probe=probe, discover=lambda: None)
+    assert clients.provider_hint("x {'message': 'no credit left'}") == "no credit left"
+    assert clients.provider_hint("a\n b").startswith("a b (see the key") and len(clients.provider_hint("y " * 500)) < 200
+
+
 def test_gold(spark, tmp_path):
     good = {"id": "0001", "status": "annotated", "document": {"text_file": "a.txt"}, "annotation": {"actors": [{"name": "Nobody"}], "techniques": [{"technique_id": "t1078", "explicit_in_text": True}], "targets": [{"country": "au", "sector": "banks"}]}}
     (tmp_path / "a.json").write_text(json.dumps(good))
@@ -128,6 +175,11 @@ def test_gold(spark, tmp_path):
     actors = spark.createDataFrame([("a1", "Crew", [], 0)], "id string, canonical_name string, aliases array<string>, load_ordinal long")
     problems = gold.defects(annotated, spark.createDataFrame([("T1566",)], "technique_id string"), actors)
     assert sorted(r.problem for r in problems.collect()) == ["unknown technique", "unresolvable actor"]
+    for odd in ({"document": {"text": "inline"}}, {"annotation": {"targets": [{"country": None, "sector": None}]}}):
+        (tmp_path / "c.json").write_text(json.dumps({"id": "0003", "status": "placeholder"} | odd))
+        with pytest.raises(gold.GoldError):
+            gold.load(spark, f"file://{tmp_path}")
+    (tmp_path / "c.json").unlink()
     (tmp_path / "c.json").write_text(json.dumps(good))
     with pytest.raises(gold.GoldError, match="repeated"):
         gold.load(spark, f"file://{tmp_path}")

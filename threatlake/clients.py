@@ -6,6 +6,7 @@ import hashlib
 import json
 import os
 import re
+import textwrap
 import urllib.request
 import warnings
 from collections.abc import Mapping
@@ -198,6 +199,56 @@ def resolve_embedding(env: Mapping[str, str] = os.environ, probe=None) -> Endpoi
     return Endpoint("local", None, models[0], 0, 0, "local probe") if models else None
 
 
+# Where a local runtime listens.
+LOCAL_ROOTS = ("http://localhost:11434", "http://localhost:8000", "http://localhost:1234")
+
+
+def advertised(root: str, key: str | None = None, timeout: float = 1.0, get=None) -> list[str] | None:
+    """Model ids that an endpoint lists, or None whatever goes wrong; a probe never raises."""
+    base = root.rstrip("/")
+    url = (base if base.endswith("/v1") else f"{base}/v1") + "/models"
+
+    def fetch(url: str, headers: dict):
+        with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=timeout) as answer:
+            return json.load(answer)
+
+    try:
+        listed = (get or fetch)(url, {"Authorization": f"Bearer {key}"} if key else {})["data"]
+        return [m["id"] for m in listed if isinstance(m, dict) and m.get("id")] if isinstance(listed, list) else None
+    except (OSError, ValueError, KeyError, TypeError):
+        return None
+
+
+def discover_local(probe=advertised) -> tuple[str, list[str]] | None:
+    """Address and models of the first local runtime that lists any."""
+    return next(((f"{root}/v1", models) for root in LOCAL_ROOTS if (models := probe(root))), None)
+
+
+def resolve_second(env: Mapping[str, str] = os.environ, probe=advertised, discover=discover_local) -> Endpoint:
+    """The second backend of an evaluation: a compatible endpoint whose model is known by name, with local budgets."""
+    own = {n: env.get(n, "").strip() or None for n in ("EVAL_LOCAL_BASE_URL", "EVAL_LOCAL_MODEL", "EVAL_LOCAL_API_KEY", "LLM_BASE_URL", "LLM_MODEL")}
+    base, model = own["EVAL_LOCAL_BASE_URL"] or own["LLM_BASE_URL"], own["EVAL_LOCAL_MODEL"] or own["LLM_MODEL"]
+    source = "EVAL_LOCAL_BASE_URL" if own["EVAL_LOCAL_BASE_URL"] else "LLM_BASE_URL"
+    if base is None:
+        found = discover()
+        if found is None:
+            raise ConfigError("no second backend: set EVAL_LOCAL_BASE_URL or start a local runtime")
+        (base, models), source = found, "local discovery"
+    else:
+        models = () if model else probe(base, own["EVAL_LOCAL_API_KEY"]) or ()
+    model = model or next((m for m in models if "embed" not in m.lower()), None)
+    if model is None:
+        raise ConfigError(f"{base} names no model to complete with: set EVAL_LOCAL_MODEL")
+    most_in, most_out = BUDGETS["local"]
+    return Endpoint("openai_compatible", base, model, positive_int(env, "MAX_INPUT_TOKENS", most_in), positive_int(env, "MAX_OUTPUT_TOKENS", most_out), source)
+
+
+def provider_hint(error: object) -> str:
+    """The provider's own words in an error, whole; without any, the error in brief and what to look at."""
+    said = re.search(r"'message':\s*'([^']+)'", str(error))
+    return said[1] if said else textwrap.shorten(str(error), 120, placeholder=" ...") + " (see the key, the base address and the model's name)"
+
+
 SYSTEM_PROMPT = """You turn one security report into one JSON object and nothing else.
 Keys: summary (1-600 characters), report_date (ISO date or null), confidence (low, medium, high), actors, techniques, targets, iocs.
 Name an actor only if the report attributes activity to it. Each technique needs a verbatim quote of the report as evidence.

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..clients import SYSTEM_PROMPT, CompletionClient, prompt_version
 from ..functions import text as X
+from ..operators import merge
 from ..operators import metrics as M
-from ..operators.guardrails import name_index
+from ..operators.guardrails import check_quotes, check_techniques, name_index, resolve_actors, validate
+from ..sources import gold
+from . import enrich
 
 MIN_ALIAS_CHARS = 4
 GATE = 0.85
@@ -102,3 +109,106 @@ def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: Da
     out += ["", "## Documents", *_table([(d.doc, d.field, d.tp, d.fp, d.fn) for d in model["documents"].orderBy("doc", "field").toLocalIterator()], ("document", "field", "tp", "fp", "fn"))]
     out += ["", "## Failures", *(f"- {f}" for f in failures or ["none"]), "", "## Gold defects", *(f"- {d}" for d in defects or ["none"]), ""]
     return "\n".join(out)
+
+
+def comparison(results: dict[str, dict], base: dict[str, DataFrame], title: str = "Comparison") -> str:
+    """Markdown: micro F1 and diagnostics of each backend beside the shared baseline."""
+    heads = [f"{name} ({r['model']})" for name, r in results.items()]
+    micro = [{r.field: r.f1 for r in x["scores"]["micro"].collect()} for x in results.values()]
+    floor = {r.field: r.f1 for r in base["micro"].collect()}
+    fields = sorted({*floor, *(f for m in micro for f in m)})
+    out = [f"# {title}", "", *_table([(f, *(_n(m.get(f)) for m in micro), _n(floor.get(f))) for f in fields], ("field", *heads, "baseline"))]
+    rates = [x["rates"].first().asDict() for x in results.values()]
+    rows = [(k, *("n/a" if r[k] is None else f"{100 * r[k]:.1f}%" for r in rates), "n/a") for k in (rates[0] if rates else ())]
+    rows += [("implicit recall", *(_n(x["implicit"].first().recall) for x in results.values()), "n/a")]
+    rows += [("failed documents", *(len(x["failures"]) for x in results.values()), "n/a")]
+    return "\n".join([*out, "", "## Diagnostics", *_table(rows, ("measure", *heads, "baseline")), ""])
+
+
+def slug(text: str) -> str:
+    """A name that is safe in file names."""
+    return "-".join(re.findall("[a-z0-9._-]+", text.lower())).strip("-")
+
+
+def write(spark: SparkSession, path: str, content: str) -> None:
+    """Writes a small text file to any file system that Spark reaches; one of the same name is replaced."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+
+
+def predict(fixtures: DataFrame, client: Callable[[], CompletionClient], techniques: DataFrame, actors: DataFrame, folder: str, max_input_tokens: int = 6000, max_output_tokens: int = 2048) -> dict:
+    """A model's guarded predictions on fixtures, with its rates, tokens and failures.
+
+    Attempts are written under folder before anything reads them, as a call isn't
+    to be repeated. A document without a usable chunk predicts nothing and is
+    listed as a failure with its last status.
+    """
+    spark = fixtures.sparkSession
+    documents = fixtures.select(F.col("id").alias("document_id"), F.coalesce("text", F.lit("")).alias("clean_text"))
+    budget = X.document_budget(max_input_tokens, len(SYSTEM_PROMPT))
+    asked = enrich.complete(enrich.chunked(documents, budget, "document_id"), client, max_tokens=max_output_tokens)
+    asked.write.mode("overwrite").parquet(folder)
+    attempts = spark.read.schema(asked.schema).parquet(folder)
+    lists = merge.merge_lists(enrich.extractions(attempts))
+    t = check_quotes(check_techniques(lists["techniques"], techniques), documents)
+    a = resolve_actors(lists["actors"], name_index(actors))
+    none = F.lit(None).cast("boolean")
+    emitted = t.select(F.lit("technique").alias("kind"), F.col("evidence_reason").isNull().alias("quote_ok"), F.col("technique_reason").isNull().alias("closed_world_ok"), none.alias("resolved"))
+    emitted = emitted.unionByName(a.select(F.lit("actor").alias("kind"), none.alias("quote_ok"), none.alias("closed_world_ok"), F.col("actor_id").isNotNull().alias("resolved")))
+    failed = M.status_rollup(attempts).where("status != 'ok'").orderBy("document_id")
+    return {
+        "predicted": predictions(validate(lists, documents, techniques, actors), actors),
+        "rates": telemetry(emitted),
+        "tokens": token_totals(attempts),
+        "failures": [f"{r.document_id}: {r.status}" for r in failed.collect()],  # fixtures are annotated by hand, so few
+    }
+
+
+def token_totals(attempts: DataFrame) -> DataFrame:
+    """tokens_in and tokens_out over all documents; a document without any counts as 0."""
+    each = M.token_sums(attempts, "document_id")
+    return each.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens_in", "tokens_out")))
+
+
+def resolved_gold(items: DataFrame, actors: DataFrame) -> DataFrame:
+    """Gold items with actor names replaced by the canonical name that they resolve to, where one does."""
+    canonical = name_index(actors).join(actors.select(F.col("id").alias("actor_id"), "canonical_name"), "actor_id").select("name_key", "canonical_name")
+    keyed = items.withColumn("name_key", F.when(F.col("field") == "actors", X.name_key(F.col("item"))))
+    return keyed.join(canonical, "name_key", "left").withColumn("item", F.coalesce("canonical_name", "item")).drop("name_key", "canonical_name").distinct()
+
+
+def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors: DataFrame, backends: dict[str, tuple[Callable[[], CompletionClient], str]], folder: str, limit: int | None = None, resolve_gold: bool = False, max_input_tokens: int = 6000) -> dict[str, str]:
+    """Scores each backend (name -> client factory, model) against gold and writes scorecards.
+
+    Returns written file names and their texts: one scorecard a backend, named by
+    backend, model and prompt version, and a comparison for more than one backend.
+    Without backends only the baseline's card is written. limit keeps the first
+    fixtures by id.
+    """
+    if limit is not None:
+        fixtures = fixtures.orderBy("id").limit(limit)
+    version = prompt_version(SYSTEM_PROMPT)
+    wanted = gold.items(fixtures)
+    if resolve_gold:
+        wanted = resolved_gold(wanted, actors)
+    problems = [f"{r.id}: {r.problem} {r['item']}".rstrip() for r in gold.defects(fixtures, techniques, actors).orderBy("id", "problem", "item").collect()]
+    base = score(baseline(fixtures.select(F.col("id").alias("doc"), "text"), techniques, actors), wanted)
+    none = spark.createDataFrame([], "kind string, quote_ok boolean, closed_world_ok boolean, resolved boolean")
+    cards, results = {}, {}
+    for name, (client, model) in backends.items():
+        got = predict(fixtures, client, techniques, actors, f"{folder}/attempts-{slug(name)}", max_input_tokens)
+        own = got | {"model": model, "scores": score(got["predicted"], wanted), "implicit": M.implicit_recall(wanted.where("field = 'techniques'"), got["predicted"].where("field = 'techniques'"))}
+        results[name] = own
+        cards[f"{slug(name)}--{slug(model)}--{version}.md"] = scorecard(own["scores"], base, own["rates"], f"{name}: {model}", own["failures"], problems)
+    if not backends:
+        cards[f"baseline--{version}.md"] = scorecard(base, base, telemetry(none), "Baseline", (), problems)
+    if len(results) > 1:
+        cards[f"cross-backend--{version}.md"] = comparison(results, base)
+    for name, card in cards.items():
+        write(spark, f"{folder}/{name}", card)
+    return cards

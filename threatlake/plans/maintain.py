@@ -85,6 +85,23 @@ def fixtures(candidates: DataFrame, first_index: int) -> DataFrame:
     return made.withColumn("d", U.defang_text("clean_text")).select("name", F.col("d.text").alias("text"), F.to_json(F.struct(F.col("name").alias("id"), F.lit("placeholder").alias("status"), document.alias("document"))).alias("json"))
 
 
+def next_index(names: DataFrame, column: str = "name") -> int:
+    """The number after the highest that a fixture's file name begins with; 1 if none does."""
+    number = F.regexp_extract(column, r"^(\d{4})-.*\.json$", 1)
+    return (names.select(F.max(F.when(number != "", number.cast("int"))).alias("n")).first().n or 0) + 1
+
+
+def export(candidates: DataFrame, first_index: int, folder: str) -> list[str]:
+    """Writes each candidate's inert text and placeholder; the names written. A batch for annotators is a handful of rows."""
+    from .evaluate import write
+
+    made = fixtures(candidates, first_index).orderBy("name").collect()
+    for r in made:
+        write(candidates.sparkSession, f"{folder}/{r.name}.txt", r.text)
+        write(candidates.sparkSession, f"{folder}/{r.name}.json", r.json)
+    return [r.name for r in made]
+
+
 def doctor(tables: dict[str, DataFrame], width: int) -> DataFrame:
     """check, status, detail: one row for each, from counts; `error` if anything can't work."""
     t = tables["attack_technique"].agg(F.count("*").alias("techniques"))

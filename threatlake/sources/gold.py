@@ -10,7 +10,7 @@ from ..functions.vocabulary import SECTORS
 from ..operators.guardrails import name_index
 
 SCHEMA = (
-    "id string, status string, document struct<text_file:string,title:string,source_url:string,source_kind:string,published_on:string>, "
+    "id string, status string, document struct<text_file:string,text:string,title:string,source_url:string,source_kind:string,published_on:string>, "
     "annotation struct<actors:array<struct<name:string,attribution_confidence:string>>,techniques:array<struct<technique_id:string,explicit_in_text:boolean,note:string>>,targets:array<struct<country:string,sector:string>>>, "
     "annotated_by string, annotated_on string, notes string"
 )
@@ -23,10 +23,16 @@ class GoldError(ValueError):
 def load(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(annotated, placeholders) of a folder's fixtures, each with its text.
 
-    Repeated ids are refused, as are annotated fixtures without a text; a
+    Repeated ids are refused, as are texts inside the JSON, targets that name
+    nothing and annotated fixtures without a text; a
     placeholder without one is a warning, shown by its null text.
     """
     rows = spark.read.schema(SCHEMA).option("multiLine", True).json(f"{folder}/*.json").withColumn("file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    if inline := [r.file for r in rows.where("document.text is not null").select("file").collect()]:
+        raise GoldError(f"text inside the fixture instead of a file of its own: {', '.join(sorted(inline))}")
+    if aimless := [r.id for r in rows.where("exists(annotation.targets, t -> coalesce(t.country, t.sector) is null)").select("id").collect()]:
+        raise GoldError(f"targets with neither country nor sector: {', '.join(sorted(aimless))}")
+    rows = rows.withColumn("document", F.col("document").dropFields("text"))
     texts = spark.read.option("wholetext", True).text(f"{folder}/*.txt").select(F.col("value").alias("text"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("text_name"))
     joined = rows.join(texts, F.col("document.text_file") == F.col("text_name"), "left").drop("text_name")
     if twice := [r.id for r in rows.groupBy("id").count().where("count > 1").collect()]:
