@@ -200,7 +200,7 @@ def resolve_embedding(env: Mapping[str, str] = os.environ, probe=None) -> Endpoi
 
 
 # Where a local runtime listens.
-LOCAL_ROOTS = ("http://localhost:11434", "http://localhost:8000", "http://localhost:1234")
+LOCAL_ROOTS = ("http://localhost:11434", "http://localhost:8000")
 
 
 def advertised(root: str, key: str | None = None, timeout: float = 1.0, get=None) -> list[str] | None:

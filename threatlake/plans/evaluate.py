@@ -162,7 +162,7 @@ def predict(fixtures: DataFrame, client: Callable[[], CompletionClient], techniq
     emitted = emitted.unionByName(a.select(F.lit("actor").alias("kind"), none.alias("quote_ok"), none.alias("closed_world_ok"), F.col("actor_id").isNotNull().alias("resolved")))
     failed = M.status_rollup(attempts).where("status != 'ok'").orderBy("document_id")
     return {
-        "predicted": predictions(validate(lists, documents, techniques, actors), actors),
+        "predicted": predictions(validate(lists, documents, techniques, actors), actors).persist(),
         "rates": telemetry(emitted),
         "tokens": token_totals(attempts),
         "failures": [f"{r.document_id}: {r.status}" for r in failed.collect()],  # fixtures are annotated by hand, so few
@@ -196,8 +196,9 @@ def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors:
     wanted = gold.items(fixtures)
     if resolve_gold:
         wanted = resolved_gold(wanted, actors)
+    wanted = wanted.persist()  # read by every score; recomputed if an executor is lost
     problems = [f"{r.id}: {r.problem} {r['item']}".rstrip() for r in gold.defects(fixtures, techniques, actors).orderBy("id", "problem", "item").collect()]
-    base = score(baseline(fixtures.select(F.col("id").alias("doc"), "text"), techniques, actors), wanted)
+    base = score(baseline(fixtures.select(F.col("id").alias("doc"), "text"), techniques, actors).persist(), wanted)
     none = spark.createDataFrame([], "kind string, quote_ok boolean, closed_world_ok boolean, resolved boolean")
     cards, results = {}, {}
     for name, (client, model) in backends.items():
