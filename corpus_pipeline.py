@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from threatlake.llm.common import materialize
 from threatlake.llm.line_dedup import drop_common_lines
+from threatlake.llm.near_copies import near_copies
 from threatlake.llm.packing import pack
 from threatlake.llm.quality import judge, train
-from threatlake.llm.simhash import similar_documents
 from threatlake.llm.substring_dedup import remove_repeats
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near copies."""
-    found = similar_documents(docs, shingle_words=5, similarity=0.8)
+    found = near_copies(docs, shingle_words=5, similarity=0.8)
     gone = found.where("doc_id > component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
