@@ -1,11 +1,14 @@
 """License scans: a trained paragraph classifier confirmed by templates.
 
-A paragraph is a line. Sparse logistic regression (softmax) over hashed word
+A paragraph is a line; a notice may be wrapped over several. Sparse logistic regression (softmax) over hashed word
 1- to 3-grams names a licence family or "unknown"; it is trained here, on
 the driver, from the notices below with generated variants against prose of
 shuffled and invented words, and its probability is calibrated with a temperature
 on held-out variants. A prediction counts only if one of the family's templates
-resembles the paragraph (containment of the template's word pairs).
+resembles the paragraph (containment of the template's word pairs). Runs of
+neighbouring lines that are not blank, long enough for the longest template, are
+scored and confirmed in the same way where they hold word pairs of templates, so
+that hard-wrapped notices count; such a notice has the number of its first line.
 
 Weights are zero for n-grams that training never saw, so a batch first looks
 its n-grams up in a table of known ones, and only paragraphs with at least one are
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import column
-from .kernel import U64, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
+from .kernel import U64, blocks, find_words, member, mix, range_hash, text_buffer, window_hash, window_valid
 
 UNKNOWN = "unknown"
 #: Licence families and notices that stand for them.
@@ -188,6 +191,81 @@ def containment(family: str, paragraph: bytes) -> float:
     return max(len(own & t) / len(t) for t in _TEMPLATE_PAIRS[family])
 
 
+#: Words of the longest template: what a notice over several lines has at most in each of them.
+_LONGEST = max(len(t.split()) for templates in TEMPLATES.values() for t in templates)
+
+
+def _pair_hashes(buffer: np.ndarray, words) -> np.ndarray:
+    return window_hash(range_hash(buffer, words.start, _strip_dots(buffer, words)), 2, 32)
+
+
+def _template_hashes() -> np.ndarray:
+    found = []
+    for t in (t for templates in TEMPLATES.values() for t in templates):
+        raw = np.frombuffer(normal(t.encode()), np.uint8)
+        found.append(_pair_hashes(raw, find_words(raw, np.array([0, len(raw)]))))
+    return np.unique(np.concatenate(found))
+
+
+_TEMPLATE_HASHES = _template_hashes()
+
+
+def wrapped(flat: np.ndarray, bounds: np.ndarray, doc: np.ndarray, model: Model, alone: set[tuple[int, str]]):
+    """(first line, family, probability, containment) of notices over several of the lines `bounds`.
+
+    alone: (line, family) that count by themselves. Of the first and the last
+    line of a run only the words next to the others are read. Of overlapping
+    runs the one of largest containment counts, others if they hold a
+    template of another family almost whole.
+    """
+    words = find_words(flat, bounds)
+    if len(words.start) < 2:
+        return
+    hit = member(_pair_hashes(flat, words), _TEMPLATE_HASHES)
+    hits = np.concatenate([[0], np.cumsum(hit), [hit.sum()]])  # pairs that begin before a word
+    first, count = words.first, np.diff(words.first)
+    line = np.flatnonzero(count)
+    inner = np.zeros(len(line), np.int64)
+    runs = []
+    last = line
+    while len(line):
+        last = last + 1
+        ok = last < len(count)
+        line, last, inner = line[ok], last[ok], inner[ok]
+        ok = (count[last] > 0) & (doc[last] == doc[line]) & (inner < _LONGEST)
+        line, last, inner = line[ok], last[ok], inner[ok]
+        a, b = np.maximum(first[line], first[line + 1] - _LONGEST), np.minimum(first[last + 1], first[last] + _LONGEST)
+        # No template is confirmed by fewer than two pairs; the first line and the last one must add to them.
+        some = (hits[b - 1] - hits[a] >= 2) & (hits[first[line + 1]] > hits[a]) & (hits[b - 1] > hits[first[last] - 1])
+        runs.append(np.stack([line[some], last[some], a[some], b[some]], axis=1))
+        inner = inner + count[last]
+    runs = np.concatenate(runs) if runs else np.zeros((0, 4), np.int64)
+    good = []
+    for lo in range(0, len(runs), 4096):
+        part = runs[lo : lo + 4096]
+        texts = [flat[words.start[a] : words.end[b - 1]].tobytes() for _, _, a, b in part.tolist()]
+        rows, slots = (np.concatenate(x) for x in zip(*ngrams(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])), strict=True))
+        known = model.known[slots]
+        p = model.score(rows[known], slots[known], len(texts))
+        best = p.argmax(axis=1)
+        for k in np.flatnonzero((best > 0) & (p.max(axis=1) >= MIN_PROBABILITY)).tolist():
+            like = containment(model.families[best[k]], texts[k])
+            if like >= MIN_CONTAINMENT:
+                good.append((-like, int(part[k, 1] - part[k, 0]), -float(p[k, best[k]]), int(part[k, 0]), model.families[best[k]]))
+    taken: dict[int, set[str]] = {}
+    for at, family in alone:
+        taken.setdefault(at, set()).add(family)
+    covered: set[int] = set()
+    for like, more, p, at, family in sorted(good):
+        own = range(at, at + more + 1)
+        if any(family in taken.get(x, ()) for x in own) or (-like < 0.9 and not covered.isdisjoint(own)):
+            continue
+        covered.update(own)
+        for x in own:
+            taken.setdefault(x, set()).add(family)
+        yield at, family, -p, -like
+
+
 def scan_paragraphs(texts: pa.Array, model: Model):
     """(row, paragraph number, family, probability, containment) of paragraphs that a template confirms, and each text's paragraph count."""
     buffer, offsets = text_buffer(texts)
@@ -213,11 +291,15 @@ def scan_paragraphs(texts: pa.Array, model: Model):
         best = p.argmax(axis=1)
         sure = (best > 0) & (p[np.arange(len(some)), best] >= MIN_PROBABILITY)
         first = np.searchsorted(begins, o[:-1])
+        alone = set()
         for k in np.flatnonzero(sure).tolist():
             at, family = int(some[k]), model.families[best[k]]
             like = containment(family, raw[bounds[at] : bounds[at + 1]])
             if like >= MIN_CONTAINMENT:
                 found.append((lo + int(doc[at]), at - int(first[doc[at]]), family, float(p[k, best[k]]), like))
+                alone.add((at, family))
+        for at, *rest in wrapped(flat, bounds, doc, model, alone):
+            found.append((lo + int(doc[at]), at - int(first[doc[at]]), *rest))
     return found, counts
 
 
