@@ -8,8 +8,6 @@ from collections import Counter
 
 import xxhash
 
-from threatlake.llm import simhash
-
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -74,25 +72,34 @@ def near(rows, size, bits):
     return [(i, f, least[root(f)]) for i, f in prints]
 
 
-def similar(rows, size, lanes, bits, total):
-    """(doc_id, component) by lanes of fingerprints: one within bits, all within total."""
-    prints = [(i, simhash.fingerprints((x or "").encode(), size, lanes)) for i, x in rows]
-    group = list(range(len(prints)))
+def similar(rows, size=5, similarity=0.8):
+    """(doc_id, component) by the exact Jaccard similarity of word shingle sets, found through an inverted index."""
+    sets = []
+    for _, text in rows:
+        w = WORD.findall((text or "").translate(LOWER))
+        sets.append({tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set())
+    group = list(range(len(rows)))
 
     def root(k):
         while group[k] != k:
             k = group[k]
         return k
 
-    for j, (_, f) in enumerate(prints):
-        for k in range(j):
-            d = [(x ^ y).bit_count() for x, y in zip(f, prints[k][1], strict=True)]
-            if min(d) <= bits and sum(d) <= total:
+    have, empty = {}, None
+    for j, x in enumerate(sets):
+        shared = Counter(k for s in x for k in have.get(s, ()))
+        for k, n in shared.items():
+            if n >= similarity * (len(x) + len(sets[k]) - n):
                 group[root(j)] = root(k)
+        for s in x:
+            have.setdefault(s, []).append(j)
+        if not x:
+            empty = j if empty is None else empty
+            group[root(j)] = root(empty)
     least = {}
-    for k, (i, _) in enumerate(prints):
+    for k, (i, _) in enumerate(rows):
         least[root(k)] = min(least.get(root(k), i), i)
-    return [(i, least[root(k)]) for k, (i, _) in enumerate(prints)]
+    return [(i, least[root(k)]) for k, (i, _) in enumerate(rows)]
 
 
 def quality(text):

@@ -94,19 +94,6 @@ def test_near_duplicates(docs, odd, size, bits):
     assert found(got, "doc_id", "fingerprint_bits", "component_id") == sorted(want, key=str)
 
 
-def test_similar_documents(docs, odd):
-    r = random.Random(4)
-    rows, base = [(i, t) for i, t in odd if i is not None and i != 4 and i != 9], [r.choices([f"t{k}" for k in range(300)], k=150) for _ in range(5)]
-    for k in range(50):
-        own = list(r.choice(base))
-        for _ in range(r.randint(0, 12)):
-            own[r.randrange(len(own))] = f"changed{r.random()}"
-        rows.append((1000 + k, " ".join(own)))
-    got = simhash.similar_documents(docs([*rows, (None, "none but me"), (None, None)], clash=True))
-    want = brute.similar(rows, 5, 3, 7, simhash.bits_of_similarity(0.8, 192))
-    assert found(got, "doc_id", "component_id") == sorted([*want, (None, None), (None, 1)], key=str)
-
-
 @pytest.mark.parametrize(("bits", "most"), [(3, 20_000), (7, 40), (12, 30), (3, 5)])
 def test_links_connect_what_brute_force_connects(spark, bits, most):
     r = np.random.default_rng(bits)

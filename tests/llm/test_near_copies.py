@@ -4,35 +4,14 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 import corpus_pipeline
-from threatlake.llm import near_copies
+from threatlake.llm import near_copies, simhash
 
 from . import brute
 
-DATA = "/root/testdata/sf0.001"
-
-
-def exact(rows, size=5, similarity=0.8):
-    """(doc_id, component) by comparing every pair of shingle sets."""
-    sets = []
-    for _, text in rows:
-        w = brute.WORD.findall((text or "").translate(brute.LOWER))
-        sets.append({tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set())
-    group = list(range(len(rows)))
-
-    def root(k):
-        while group[k] != k:
-            k = group[k]
-        return k
-
-    for j, x in enumerate(sets):
-        for k, y in enumerate(sets[:j]):
-            if len(x & y) >= similarity * len(x | y):
-                group[root(j)] = root(k)
-    least = {}
-    for k, (i, _) in enumerate(rows):
-        least[root(k)] = min(least.get(root(k), i), i)
-    return [(i, least[root(k)]) for k, (i, _) in enumerate(rows)]
+TESTDATA = "/root/testdata"
 
 
 def edited(words, n, rng):
@@ -42,21 +21,45 @@ def edited(words, n, rng):
     return " ".join(out)
 
 
-def test_near_copies(docs, odd):
+@pytest.mark.parametrize(("small", "most"), [(16, 20_000), (2, 20_000), (3, 8)])
+def test_similar_documents(docs, odd, monkeypatch, small, most):
+    """With all buckets small, with hubs, and with keys dealt anew."""
+    monkeypatch.setattr(near_copies, "SMALL", small)
+    monkeypatch.setattr(near_copies, "MOST", most)
     rng = random.Random(3)
     rows = [(i, t) for i, t in odd if i is not None]
     for base in range(60):
         words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 300))]
         rows += [(1000 + base * 10 + k, edited(words, len(words) * k // 60, rng)) for k in range(5)]
     words = [f"w{rng.randrange(5000)}" for _ in range(200)]
-    rows += [(5000 + k, edited(words, rng.randrange(6), rng)) for k in range(60)]  # a bucket over SMALL
-    got = near_copies.near_copies(docs([*rows, (None, "none but me")], clash=True)).collect()
-    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == sorted(exact(rows))
-    assert len(got) == len(rows) + 1
+    rows += [(5000 + k, edited(words, rng.randrange(12), rng)) for k in range(60)]
+    got = simhash.similar_documents(docs([*rows, (None, "none but me"), (None, " \n")], clash=True)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == sorted(brute.similar(rows))
+    assert sorted((r.component_id for r in got if r.doc_id is None), key=str) == [1, None]
+    assert not simhash.similar_documents(docs([])).count()
+
+
+def test_pruning_bounds_hold():
+    """Pairs at the similarity pass the fingerprints; the chain check never contradicts the full one."""
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    lost = 0
+    for n in [5, 8, 20, 60, 200, 900] * 30:
+        common, only = r.integers(0, 2**63, n, dtype=np.uint64), r.integers(0, 2**63, n // 4, dtype=np.uint64)
+        cut = r.integers(0, len(only) + 1)
+        values = np.concatenate([common, only[:cut], common, only[cut:]])
+        first = np.array([0, n + cut, len(values)])
+        for lanes in (near_copies.NARROW, near_copies.WIDE):
+            fp, bits = near_copies.fingerprints_of(values, first, lanes), near_copies.most_bits(0.8, lanes)
+            ok = simhash.chained(fp[:1], fp[1:], bits)[0]
+            assert ok == (np.bitwise_count(fp[0] ^ fp[1]).sum() <= bits)
+            lost += not ok
+    assert not lost
 
 
-def test_stage_is_exact(spark):
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    kept = {i for i, c in exact(rows) if i == c}
-    assert {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, DATA).collect()} == kept
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_stage_is_exact(spark, sf):
+    docs = spark.read.parquet(f"{TESTDATA}/{sf}/documents.parquet")
+    kept = {i for i, c in brute.similar([(r.doc_id, r.text) for r in docs.collect()]) if i == c}
+    assert {r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()} == kept

@@ -29,7 +29,7 @@ def test_stages(spark):
         elif name == "line_dedup":
             assert {(r.doc_id, r.text) for r in rows} == {(i, t) for i, _, _, t in brute.lines(list(before.items()), 10)}
         elif name == "simhash":
-            kept = {i for i, c in brute.similar(list(before.items()), 5, 3, 7, 29) if i == c}
+            kept = {i for i, c in brute.similar(list(before.items())) if i == c}
             assert {r.doc_id for r in rows} == kept
         elif name == "substring_dedup":
             want = {i: s for i, _, _, s in brute.substring(list(before.items()), 13)}

@@ -1,12 +1,19 @@
-"""Near copies by exact shingle similarity, from MinHash candidates.
-
-A document is the set of its distinct word shingles (64-bit hashes). Equal sets
-are collapsed first. Candidates share a band of MinHash values; with 40 bands of
-5, a pair at similarity 0.8 has none in common once in eight million. Every
-candidate's sets are then compared, so a link is never an estimate.
-Small buckets give all their pairs. Of a large one, which is mostly one dense
-group, a few pivots are compared with all others first; then only pairs that
-are still in different components are.
+"""Near copies by exact shingle similarity: wide SimHash fingerprints prune, exact sets decide.
+
+A document is the set of its distinct word shingles (64-bit hashes); equal sets
+are collapsed first. Two sets at a similarity of 0.8 differ in 0.15 of their SimHash bits
+(at most `FLIP`), which is about 39 of 256: no segment of a fingerprint is then equal often enough
+to be a join key. So buckets come from MinHash bands of the same shingles, and
+inside a bucket fingerprints do what they are good at: a pair must pass the
+pigeonring chains and the Hamming check of 256 bits, and in large buckets of 2,048
+bits, before its sets are compared. Every link is confirmed by both sets, so
+none is an estimate.
+
+Buckets of up to SMALL sets try all pairs. In a larger one, mostly one group of
+near copies, all are tried against its hub (the set nearest to the bucket's
+majority fingerprint); then, with those links' components known, only pairs that are still in
+different components are tried, by the wide fingerprint. Keys with more than
+MOST sets, however many, are dealt anew by pairs and triples of bands.
 """
 
 from __future__ import annotations
@@ -18,19 +25,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, map_columns, materialize
+from .common import BROADCAST_BYTES, column, map_columns, materialize
 from .graph import components
 from .kernel import U64, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
-from .simhash import LOWER
+from .simhash import LOWER, chained, lane_bits
 
-BANDS, ROWS = 40, 5
-#: Buckets of up to SMALL classes give all pairs at once; larger ones go through PIVOTS rounds of one pivot too.
-SMALL, PIVOTS = 16, 1
+#: A pair at a similarity of 0.8 has no band in common once in 38,000.
+BANDS, ROWS = 20, 4
+#: 64-bit lanes of the two fingerprints; the narrow one is the beginning of the wide one.
+NARROW, WIDE = 4, 32
+#: Sets of a bucket that all try each other, and sets beyond which a key is dealt anew.
+SMALL, MOST = 16, 20_000
+#: Sets of fewer shingles are not pruned: their fingerprints are too coarse.
+FEW = 5
 
 _LOWER = np.frombuffer(LOWER, np.uint8)
 _ODD = mix(np.arange(1, BANDS * ROWS + 4, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 
 
+def flip_rate(similarity: float) -> float:
+    """The largest share of differing bits that SimHash expects of sets of this similarity with at least FEW shingles."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi) * 1.05
+
+
+def most_bits(similarity: float, lanes: int) -> int:
+    """Differing bits that a pair of this similarity exceeds once in 100,000 (4.3 standard deviations)."""
+    p, n = flip_rate(similarity), 64 * lanes
+    return int(np.ceil(n * p + 4.3 * (n * p * (1 - p)) ** 0.5))
+
+
 def shingle_sets(text: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(texts, values, first) of runs of texts: values[first[d] : first[d + 1]] are text d's distinct shingle hashes, ascending.
 
@@ -72,8 +95,9 @@ def _class_id(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _sketch(size: int):
     def step(batch):
-        ids, sizes, bands, ends = [], [], [], []
-        for n, values, first in shingle_sets(column(batch, "text"), size):
+        cols = [[] for _ in range(3 + NARROW)]
+        ends = [np.zeros(0, np.int64)]
+        for _, values, first in shingle_sets(column(batch, "text"), size):
             count = np.diff(first)
             full = np.flatnonzero(count)
             keys = np.zeros((len(full), BANDS), U64)
@@ -81,63 +105,88 @@ def _sketch(size: int):
                 least = np.minimum.reduceat((values ^ _ODD[k - 1]) * _ODD[k], first[full])
                 band = k // ROWS
                 keys[:, band] = mix((keys[:, band] ^ least) * _ODD[k] + U64(band + 1))
-            ids.append(_class_id(values, first))
-            sizes.append(count)
-            bands.append(keys.reshape(-1))
+            bits = fingerprints_of(values, first, NARROW)
+            for c, x in zip(cols, (_class_id(values, first), count.astype(U64), keys.reshape(-1), *bits.T), strict=True):
+                c.append(np.ascontiguousarray(x))
             ends.append(np.where(count > 0, BANDS, 0))
-        cat = lambda x, t: np.concatenate(x).astype(t, copy=False) if x else np.zeros(0, t)
-        offsets = np.concatenate([[0], np.cumsum(cat(ends, np.int64))]).astype(np.int32)
-        return [pa.array(cat(ids, U64).view(np.int64)), pa.array(cat(sizes, np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(cat(bands, U64).view(np.int64)))]
+        ids, counts, bands, *lanes = (pa.array((np.concatenate(c) if c else np.zeros(0, U64)).view(np.int64)) for c in cols)
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(ends))]).astype(np.int32)
+        return [ids, counts, pa.ListArray.from_arrays(pa.array(offsets), bands), *lanes]
 
     return step
 
 
-def _stored(size: int):
+def fingerprints_of(values: np.ndarray, first: np.ndarray, lanes: int) -> np.ndarray:
+    """(sets, lanes) of 64-bit SimHash lanes of the sets' own hashes."""
+    out = np.zeros((len(first) - 1, lanes), U64)
+    for lane in range(lanes):
+        own = mix(values ^ mix(np.full(1, lane + 1, U64)))
+        out[:, lane] = [lane_bits(own[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    return out
+
+
+def _per_set(size: int, of):
+    """(cls, of(values, first)) of each text."""
+
     def step(batch):
-        ids, sets = [], []
-        for n, values, first in shingle_sets(column(batch, "text"), size):
+        ids, found = [np.zeros(0, U64)], []
+        for _, values, first in shingle_sets(column(batch, "text"), size):
             ids.append(_class_id(values, first))
-            sets += [values[first[k] : first[k + 1]].tobytes() for k in range(n)]
-        return [pa.array((np.concatenate(ids) if ids else np.zeros(0, U64)).view(np.int64)), pa.array(sets, pa.binary())]
+            found += of(values, first)
+        return [pa.array(np.concatenate(ids).view(np.int64)), pa.array(found, pa.large_binary())]
 
     return step
 
 
+def _stored(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    return [values[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+
+
+def _wide(values: np.ndarray, first: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in fingerprints_of(values, first, WIDE)]
+
+
 class Pairs:
     """Candidate pairs inside buckets of equal keys, read in key order.
 
-    Rows are (key, cls, node, n, root). `pick` is "first" (all pairs of small buckets, a pivot's of large ones),
-    a pivot's number, or "all". Pairs of one root, or whose sizes alone
-    rule the similarity out, are left out.
+    Rows are (key, cls, node, n, fp) and, with `rest`, root: then large buckets give the pairs that are in
+    different components; without it, small ones give all pairs and large
+    ones those with their hub. All pairs pass the size bound and the fingerprints.
     """
 
-    NAMES = ("key", "cls", "node", "n", "root")
+    def __init__(self, similarity: float, rest: bool):
+        self.similarity, self.rest, self.lanes = similarity, rest, WIDE if rest else NARROW
+        self.names = ["key", "cls", "node", "n", *(["root", "wide"] if rest else [f"f{k}" for k in range(NARROW)])]
 
-    def __init__(self, similarity: float, pick: str | int):
-        self.similarity, self.pick = similarity, pick
+    def read(self, batch) -> list[np.ndarray]:
+        new = [column(batch, c) for c in self.names]
+        if not self.rest:
+            new = [x.to_numpy() for x in new]
+            return [*new[:4], np.stack(new[4:], axis=1).view(U64)]
+        wide = np.frombuffer(b"".join(new[5].to_pylist()), U64).reshape(-1, WIDE)
+        return [*(x.to_numpy() for x in new[:4]), wide, new[4].to_numpy()]
 
     def run(self, batches):
-        held = None
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            new = [column(batch, c).to_numpy() for c in self.NAMES]
-            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-            key = held[0]
-            if not len(key) or key[0] == key[-1]:
+            if not batch.num_rows:
                 continue
-            done = int(np.searchsorted(key, key[-1]))
-            yield from self.buckets([x[:done] for x in held])
-            held = [x[done:] for x in held]
-        if held is not None and len(held[0]):
-            yield from self.buckets(held)
+            new = self.read(batch)
+            begin = int(np.searchsorted(new[0], new[0][-1]))  # of the last key
+            if begin or (held and held[-1][0][-1] != new[0][0]):
+                yield from self.buckets([np.concatenate(x) for x in zip(*held, [x[:begin] for x in new], strict=True)])
+                held = []
+            held.append([x[begin:] for x in new])
+        if held:
+            yield from self.buckets([np.concatenate(x) for x in zip(*held, strict=True)])
 
     def buckets(self, rows):
-        key = rows[0]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, fp = rows[0], rows[4]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[: len(key)]
         size = np.diff(np.append(begin, len(key)))
-        if self.pick == "first":
+        if not self.rest:
             few = np.flatnonzero(np.repeat(size <= SMALL, size))
-            own = key[few]
-            at = np.arange(len(few))
+            own, at = key[few], np.arange(len(few))
             for lag in range(1, SMALL):
                 at = at[at + lag < len(few)]
                 at = at[own[at] == own[at + lag]]
@@ -146,24 +195,27 @@ class Pairs:
                 yield from self.out(rows, few[at], few[at + lag])
         for lo, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
             every = np.arange(lo, lo + n)
-            if self.pick == "first":
-                yield from self.out(rows, np.full(n - 1, lo), every[1:])
-                yield from self.out(rows, every[:-1], every[1:])
-            elif self.pick == "all":
+            if not self.rest:
+                ones = np.zeros(64 * NARROW, np.int64)
+                for k in range(lo, lo + n, 8192):
+                    ones += np.unpackbits(fp[k : min(k + 8192, lo + n)].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+                middle = np.packbits(2 * ones > n, bitorder="little").view(U64)
+                hub = lo + int(np.bitwise_count(fp[every] ^ middle).sum(axis=1).argmin())
+                yield from self.out(rows, np.full(n - 1, hub), np.delete(every, hub - lo))
+            else:
                 for x in range(lo, lo + n - 1):
                     yield from self.out(rows, np.full(lo + n - 1 - x, x), np.arange(x + 1, lo + n))
-            else:
-                # The pivot is one of those outside the component that most of the bucket is in.
-                roots, count = np.unique(rows[4][every], return_counts=True)
-                outside = every[rows[4][every] != roots[count.argmax()]]
-                if len(outside):
-                    yield from self.out(rows, np.full(n, outside[self.pick * 7919 % len(outside)]), every)
 
     def out(self, rows, a, b):
-        _, cls, node, n, root = rows
-        least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-        ok = (root[a] != root[b]) & (least >= self.similarity * most - 1e-9)
-        a, b = a[ok], b[ok]
+        _, cls, node, n, fp, *root = rows
+        least = np.minimum(n[a], n[b])
+        ok = least >= self.similarity * np.maximum(n[a], n[b]) - 1e-9
+        if root:
+            ok &= root[0][a] != root[0][b]
+        a, b, least = a[ok], b[ok], least[ok]
+        for lanes in dict.fromkeys((NARROW, self.lanes)):
+            ok = (least < FEW) | chained(fp[a, :lanes], fp[b, :lanes], most_bits(self.similarity, lanes))
+            a, b, least = a[ok], b[ok], least[ok]
         if len(a):
             turn = cls[a] > cls[b]
             a, b = np.where(turn, b, a), np.where(turn, a, b)
@@ -178,12 +230,22 @@ def jaccard(a: bytes, b: bytes) -> float:
     return shared / max(1, len(x) + len(y) - shared)
 
 
+def _of_classes(needed: DataFrame, texts: DataFrame, size: int, of, name: str) -> DataFrame:
+    """(cls, `name` binary) of the needed (doc_id, cls); only their texts are read again.
+
+    The needed ids are broadcast if their number is known to be small; a join by id does it otherwise.
+    """
+    ids = needed.select("doc_id").distinct()
+    if 16 * needed.count() <= BROADCAST_BYTES:
+        ids = F.broadcast(ids)
+    made = map_columns(texts.join(ids, "doc_id", "left_semi"), lambda: _per_set(size, of), f"cls long, {name} binary")
+    return materialize(made.join(needed, ["doc_id", "cls"], "left_semi").groupBy("cls").agg(F.first(name).alias(name)), name)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """(u, v) of the pairs whose sets are similar."""
-    needed = pairs.select(F.col("u").alias("doc_id"), F.col("a").alias("cls")).union(pairs.select("v", "b")).distinct()
-    own = texts.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = map_columns(own, lambda: _stored(size), "cls long, words binary").join(needed, ["doc_id", "cls"], "left_semi")
-    sets = materialize(sets.groupBy("cls").agg(F.first("words").alias("words")), "sets")
+    needed = materialize(pairs.select(F.col("u").alias("doc_id"), F.col("a").alias("cls")).union(pairs.select("v", "b")).distinct(), "needed")
+    sets = _of_classes(needed, texts, size, _stored, "words")
     left, right = (sets.select(F.col("cls").alias(c), F.col("words").alias(w)) for c, w in (("a", "wa"), ("b", "wb")))
 
     def run(batches):
@@ -195,39 +257,68 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     return materialize(found.mapInArrow(run, "u long, v long"), "links")
 
 
+def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, cls) rows, and the keys of more than SMALL rows.
+
+    A key of more than MOST rows is replaced by that key with each later band, and once more by triples:
+    a pair is then lost only if it shares no more bands than that, and all of them are so large.
+    """
+    rows = classes.select("cls", "bands", F.posexplode("bands").alias("at", "key"))
+    done = []
+    for last in (False, False, True):
+        count = materialize(rows.groupBy("key").count().where(F.col("count") > SMALL), "large")
+        hot = count.where(F.col("count") > MOST).select("key")
+        if last or hot.isEmpty():
+            done.append((rows, count))
+            break
+        done.append((rows.join(hot, "key", "left_anti"), count.where(F.col("count") <= MOST)))
+        more = F.transform("bands", lambda b, i: F.struct(i.alias("at"), F.xxhash64("key", b).alias("key")))
+        finer = rows.join(hot, "key", "left_semi").select("cls", "bands", F.explode(F.filter(more, lambda x: x["at"] > F.col("at"))).alias("x"))
+        rows = materialize(finer.select("cls", "bands", "x.at", "x.key"), "finer")
+    keyed, large = done[0]
+    for rows, count in done[1:]:
+        keyed, large = keyed.unionByName(rows), large.unionByName(count)
+    return keyed.select("key", "cls"), large.select("key")
+
+
 def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: doc_id and component_id, by exact Jaccard similarity of shingle sets.
 
     component_id is the smallest doc_id that chains of links reach. Texts without
     words, null included, are copies of each other; a row of null doc_id takes the
     component of its set's class, null if no other row is in it; rows of one
-    doc_id and set are one document.
+    doc_id and set are one document; no documents, no rows; other columns are not
+    read. `similarity` is at least 0.8, which the bands are made for.
     """
+    if not 0.8 <= similarity <= 1:
+        raise ValueError("similarity is from 0.8 to 1")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prints = materialize(map_columns(texts, lambda: _sketch(shingle_words), "cls long, n long, bands array<long>").drop("text"), "sketches")
-    classes = materialize(prints.where("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    keyed = classes.select(F.explode("bands").alias("key"), "cls", "node", "n")
-
-    def candidates(rows: DataFrame, pick) -> DataFrame:
+    lanes = [f"f{k}" for k in range(NARROW)]
+    fields = ", ".join(f"{x} long" for x in lanes)
+    prints = materialize(map_columns(texts, lambda: _sketch(shingle_words), f"cls long, n long, bands array<long>, {fields}").drop("text"), "sketches")
+    parts = [F.first(c).alias(c) for c in ("n", "bands", *lanes)]
+    classes = materialize(prints.where("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"), *parts), "classes")
+    keyed, large = _dealt(classes)
+
+    def candidates(rows: DataFrame, rest: bool) -> DataFrame:
         def run(batches):
-            yield from Pairs(similarity, pick).run(batches)
+            yield from Pairs(similarity, rest).run(batches)
 
-        got = rows.select(*Pairs.NAMES).repartition("key").sortWithinPartitions("key", "cls")
+        got = rows.select(*Pairs(similarity, rest).names).repartition("key").sortWithinPartitions("key", "cls")
         return got.mapInArrow(run, "a long, b long, u long, v long").distinct()
 
-    seen = materialize(candidates(keyed.withColumn("root", F.col("cls")), "first"), "pairs")
+    own = classes.drop("bands")
+    seen = materialize(candidates(own.join(keyed, "cls"), False), "pairs")
     edges = _confirmed(seen, texts, shingle_words, similarity)
     found = components(edges, "u", "v")
-    large = materialize(keyed.groupBy("key").count().where(F.col("count") > SMALL).select("key"), "large")
     if not large.isEmpty():
-        rest = materialize(keyed.join(large, "key", "left_semi"), "large-rows")
-        for pick in (*range(PIVOTS), "all"):
-            rooted = rest.join(found.withColumnRenamed("root", "r"), "node", "left").withColumn("root", F.coalesce("r", "node"))
-            pairs = materialize(candidates(rooted, pick).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-            if pairs.isEmpty():
-                continue
-            seen = seen.unionByName(pairs)
-            edges = edges.unionByName(_confirmed(pairs, texts, shingle_words, similarity))
-            found = components(edges, "u", "v")
+        rest = keyed.join(large, "key", "left_semi").join(classes.select("cls", "node", "n"), "cls").join(found, "node", "left")
+        rest = materialize(rest.withColumn("root", F.coalesce("root", "node")), "rest")
+        mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+        rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
+        wide = _of_classes(materialize(rest.select(F.col("node").alias("doc_id"), "cls").distinct(), "needed"), texts, shingle_words, _wide, "wide")
+        more = materialize(candidates(rest.join(wide, "cls"), True).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            found = components(edges.unionByName(_confirmed(more, texts, shingle_words, similarity)), "u", "v")
     same = prints.select("doc_id", "cls").join(classes.select("cls", "node"), "cls", "left").select("doc_id", "node")
     return same.join(found, "node", "left").select("doc_id", F.coalesce("root", "node").alias("component_id"))

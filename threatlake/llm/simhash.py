@@ -12,7 +12,6 @@ chain and at last the full Hamming distance, so only links leave the join.
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
@@ -23,24 +22,23 @@ from pyspark.sql import functions as F
 
 from .common import column, map_columns, materialize
 from .graph import components
-from .kernel import MASK64, combine, mix
+from .kernel import MASK64, combine
 
 #: A-Z to a-z in UTF-8 bytes; other letters keep their case.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED = 42
 
 
-def fingerprints(text: bytes, shingle_words: int, lanes: int = 1) -> list[int]:
-    """64-bit SimHashes of a text's word shingles, repeats included.
+def fingerprint(text: bytes, shingle_words: int) -> int:
+    """The 64-bit SimHash of a text's word shingles, repeats included.
 
-    A bit is 1 if it is set in over half of the shingles' XXH64 hashes (the first
-    lane), or of those hashes mixed anew (further, independent lanes). A text
+    A bit is 1 if it is set in over half of the shingles' XXH64 hashes. A text
     of fewer words is one shingle; one without words has fingerprint zero.
     """
     words = text.translate(LOWER).split()
     n = len(words)
     if not n:
-        return [0] * lanes
+        return 0
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     if n <= shingle_words:
@@ -51,28 +49,43 @@ def fingerprints(text: bytes, shingle_words: int, lanes: int = 1) -> list[int]:
         starts[0], starts[1:] = 0, ends[:-1] + 1
         count = n - shingle_words + 1
         hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:count].tolist(), ends[shingle_words - 1 :].tolist(), strict=True)), np.uint64, count)
-    out = []
-    for lane in range(lanes):
-        own = hashes if lane == 0 else mix(hashes ^ np.uint64(0x9E3779B97F4A7C15 * lane & MASK64))
-        ones = np.zeros(64, np.int64)
-        for lo in range(0, len(own), 8192):
-            ones += np.unpackbits(own[lo : lo + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * ones > len(own), bitorder="little").view("<u8")[0]))
-    return out
+    return lane_bits(hashes)
+
+
+def lane_bits(hashes: np.ndarray) -> int:
+    """64 bits, each set if it is in over half of the hashes."""
+    ones = np.zeros(64, np.int64)
+    for lo in range(0, len(hashes), 8192):
+        ones += np.unpackbits(hashes[lo : lo + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def chained(a: np.ndarray, b: np.ndarray, max_bits: int, segments: int = 4) -> np.ndarray:
+    """Whether the rows of two (rows, lanes) fingerprints differ in at most max_bits bits.
+
+    The lanes are a ring of segments. By the pigeonring principle a pair within
+    max_bits has a segment from which every chain stays within its share of
+    them; pairs whose chains of one and two segments all exceed it go before the full check.
+    """
+    width = a.shape[1] // segments
+    d = np.bitwise_count(a ^ b).reshape(len(a), segments, width).sum(axis=2, dtype=np.int64)
+    chain = (d * segments <= max_bits) & ((d + np.roll(d, -1, axis=1)) * segments <= 2 * max_bits)
+    ok = chain.any(axis=1)
+    ok[ok] = d[ok].sum(axis=1) <= max_bits
+    return ok
 
 
-def with_fingerprints(docs: DataFrame, shingle_words: int = 5, text: str = "text", names: tuple[str, ...] = ("fingerprint_bits",)) -> DataFrame:
-    """docs and a long column for each name with a lane of each text's fingerprint; a null text counts as empty."""
+def with_fingerprints(docs: DataFrame, shingle_words: int = 5, text: str = "text") -> DataFrame:
+    """docs and fingerprint_bits, a long; a null text counts as empty."""
 
     def start():
         def step(batch):
-            rows = [fingerprints((x.as_buffer().to_pybytes() if x.is_valid else b""), shingle_words, len(names)) for x in column(batch, text)]
-            lanes = np.array(rows, np.uint64).reshape(-1, len(names)).view(np.int64)
-            return [pa.array(np.ascontiguousarray(lanes[:, k])) for k in range(len(names))]
+            rows = [fingerprint((x.as_buffer().to_pybytes() if x.is_valid else b""), shingle_words) for x in column(batch, text)]
+            return [pa.array(np.array(rows, np.uint64).view(np.int64))]
 
         return step
 
-    return map_columns(docs, start, ", ".join(f"`{n}` long" for n in names))
+    return map_columns(docs, start, "fingerprint_bits long")
 
 
 def _segments(max_bits: int) -> int:
@@ -124,25 +137,23 @@ def join_keys(fp: Column, max_bits: int) -> Column:
 class Buckets:
     """Links inside buckets of equal keys, read in key order; emits only a spanning forest of each task's links.
 
-    Rows are (key, start, fp, node, further lanes). Two rows are linked if the chain
-    from their key's start holds, their fp differ in at most max_bits bits, and
-    all lanes together in at most total_bits. A bucket of up to SMALL rows is
+    Rows are (key, start, fp, node). Two rows are linked if the chain from their
+    key's start holds and their fp differ in at most max_bits bits. A bucket of up to SMALL rows is
     compared row against following row, all such buckets of a batch at once; a larger
     one is walked breadth first, so a dense group costs about one comparison a
     row. One of more than `most` rows is not held: it is dealt anew by finer keys.
     """
 
     SMALL = 48
+    NAMES = ("key", "start", "fp", "node")
 
-    def __init__(self, max_bits: int, most: int | None, lanes: int = 1, total_bits: int | None = None):
-        self.max_bits, self.most, self.m, self.lanes = max_bits, most, _segments(max_bits), lanes
-        self.total_bits = max_bits if total_bits is None else total_bits
-        self.names = ["key", "start", "fp", "node", *(f"lane{k}" for k in range(1, lanes))]
+    def __init__(self, max_bits: int, most: int | None):
+        self.max_bits, self.most, self.m = max_bits, most, _segments(max_bits)
         self.parent: dict[int, int] = {}
         self.edges: list[tuple[int, int]] = []
 
-    def linked(self, start: np.ndarray, fp: np.ndarray, to: np.ndarray, more: list[np.ndarray], to_more: list[np.ndarray]) -> np.ndarray:
-        """The chain from the key's own start, link by link, then the full distance, then the other lanes."""
+    def linked(self, start: np.ndarray, fp: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """The chain from the key's own start, link by link, then the full distance."""
         width = 64 // self.m
         turn = (start * width).astype(np.uint64)
         d = fp ^ to
@@ -150,11 +161,7 @@ class Buckets:
         ok = np.ones(len(d), bool)
         for n in (1, 2, 3):
             ok &= np.bitwise_count(d & np.uint64((1 << (n * width)) - 1)) <= n * self.max_bits // self.m
-        total = np.bitwise_count(d).astype(np.int64)
-        ok &= total <= self.max_bits
-        for a, b in zip(more, to_more, strict=True):
-            total += np.bitwise_count(a ^ b)
-        return ok & (total <= self.total_bits) if more else ok
+        return ok & (np.bitwise_count(d) <= self.max_bits)
 
     def root(self, x: int) -> int:
         parent = self.parent
@@ -169,25 +176,25 @@ class Buckets:
             self.edges.append((a, b))
 
     def small(self, rows: list[np.ndarray]) -> None:
-        key, start, fp, node, *more = rows
+        key, start, fp, node = rows
         at = np.arange(len(key))
         for lag in range(1, self.SMALL):
             at = at[at + lag < len(key)]
             at = at[key[at] == key[at + lag]]
             if not len(at):
                 return
-            hit = at[self.linked(start[at], fp[at], fp[at + lag], [x[at] for x in more], [x[at + lag] for x in more])]
+            hit = at[self.linked(start[at], fp[at], fp[at + lag])]
             for a, b in zip(node[hit].tolist(), node[hit + lag].tolist(), strict=True):
                 self.join(a, b)
 
     def large(self, rows: list[np.ndarray]) -> None:
-        _, start, fp, node, *more = rows
+        _, start, fp, node = rows
         left = np.unique(node, return_index=True)[1]
         while len(left):
             front, left = [int(left[0])], left[1:]
             while front and len(left):
                 now = front.pop()
-                hit = self.linked(start[left], fp[left], fp[now], [x[left] for x in more], [x[now] for x in more])
+                hit = self.linked(start[left], fp[left], fp[now])
                 for x in left[hit].tolist():
                     self.join(int(node[now]), int(node[x]))
                     front.append(x)
@@ -208,7 +215,7 @@ class Buckets:
         held: list[np.ndarray] = []
         passing: int | None = None
         for batch in batches:
-            new = [column(batch, c).to_numpy() for c in self.names]
+            new = [column(batch, c).to_numpy() for c in self.NAMES]
             new = [x.astype(np.int64) if k < 2 or k == 3 else x.view(np.uint64) for k, x in enumerate(new)]
             held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
             key = held[0]
@@ -245,29 +252,33 @@ class Buckets:
         if self.edges:
             a, b = (np.array(x, np.int64) for x in zip(*self.edges, strict=True))
             self.edges = []
-            none = np.zeros(len(a), np.int64)
-            yield self._batch([none, np.full(len(a), -1), a, b, *[none] * (self.lanes - 1)])
+            yield self._batch([np.zeros(len(a), np.int64), np.full(len(a), -1), a, b])
 
     def _anew(self, rows: list[np.ndarray]):
         keys = self.finer(int(rows[0][0]), rows[2])
         return self._batch([np.concatenate(keys), *(np.tile(x, len(keys)) for x in rows[1:])])
 
     def _batch(self, rows: list[np.ndarray]):
-        arrays = [pa.array(x.astype(np.int32) if n == "start" else x.view(np.int64)) for n, x in zip(self.names, rows, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=self.names)
+        arrays = [pa.array(x.astype(np.int32) if n == "start" else x.view(np.int64)) for n, x in zip(self.NAMES, rows, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=list(self.NAMES))
 
 
-def _forest(keyed: DataFrame, max_bits: int, most: int, lanes: int = 1, total_bits: int | None = None) -> DataFrame:
-    """(a, b): edges that connect what chains of links connect, from rows of Buckets."""
-    names = Buckets(max_bits, most, lanes).names
-    schema = ", ".join(f"{n} {'int' if n == 'start' else 'long'}" for n in names)
+def links(prints: DataFrame, max_bits: int, most: int = 20_000) -> DataFrame:
+    """(a, b): enough links to connect what chains of links connect, of distinct long values fp.
+
+    Linked values differ in at most max_bits bits. Buckets larger than `most`
+    are dealt anew by finer keys, twice at the utmost; what is then still
+    large is a dense ball, which the breadth-first walk passes quickly.
+    """
+    keys = F.transform(join_keys(F.col("fp"), max_bits), lambda k, i: F.struct(k.alias("key"), F.floor(i * F.lit(_segments(max_bits)) / F.lit(_key_count(max_bits))).cast("int").alias("start")))
+    keyed = prints.select("fp", F.explode(keys).alias("k")).select("k.key", "k.start", "fp", F.col("fp").alias("node"))
     out = None
     for last in (False, False, True):
 
         def run(batches, most=None if last else most):
-            yield from Buckets(max_bits, most, lanes, total_bits).run(batches)
+            yield from Buckets(max_bits, most).run(batches)
 
-        found = keyed.select(*names).repartition("key").sortWithinPartitions("key", "fp", "node").mapInArrow(run, schema)
+        found = keyed.select(*Buckets.NAMES).repartition("key").sortWithinPartitions("key", "fp", "node").mapInArrow(run, "key long, start int, fp long, node long")
         found = materialize(found, "links")
         edges = found.where("start < 0").select(F.col("fp").alias("a"), F.col("node").alias("b"))
         out = edges if out is None else out.unionByName(edges)
@@ -277,51 +288,14 @@ def _forest(keyed: DataFrame, max_bits: int, most: int, lanes: int = 1, total_bi
     return out
 
 
-def _keyed(prints: DataFrame, fp: str, max_bits: int, *more: str) -> DataFrame:
-    """A row for each key of the column fp: key, start, fp and the columns of `more`."""
-    keys = F.transform(join_keys(F.col(fp), max_bits), lambda k, i: F.struct(k.alias("key"), F.floor(i * F.lit(_segments(max_bits)) / F.lit(_key_count(max_bits))).cast("int").alias("start")))
-    return prints.select(F.col(fp).alias("fp"), *more, F.explode(keys).alias("k")).select("k.key", "k.start", "fp", *(m.split(" as ")[-1] for m in more))
+def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each document: doc_id and component_id, linked by shingle similarity instead of fingerprint bits.
 
-
-def links(prints: DataFrame, max_bits: int, most: int = 20_000) -> DataFrame:
-    """(a, b): enough links to connect what chains of links connect, of distinct long values fp.
-
-    Linked values differ in at most max_bits bits. Buckets larger than `most`
-    are dealt anew by finer keys, twice at the utmost; what is then still
-    large is a dense ball, which the breadth-first walk passes quickly.
+    See `near_copies`, which holds this mode and states its cases.
     """
-    return _forest(_keyed(prints, "fp", max_bits).withColumn("node", F.col("fp")), max_bits, most)
+    from .near_copies import near_copies
 
-
-def bits_of_similarity(similarity: float, bits: int) -> int:
-    """Differing bits that SimHash expects of two equally long sets of this Jaccard similarity."""
-    return int(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, lanes: int = 3, max_bits: int = 7, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document: doc_id and component_id, by estimated shingle similarity.
-
-    One 64-bit fingerprint can't tell 0.8 from 0.7, and few pairs at 0.8 are
-    within the bits that pigeonring can search. So a pair is a candidate if any of
-    `lanes` independent fingerprints is within max_bits, and linked if all lanes
-    together differ in no more bits than pairs of that similarity are expected to.
-    Texts of equal fingerprints are one class, named by its smallest doc_id.
-    Null text counts as empty; a row of null doc_id takes the component of its
-    class, null if no other row is in it; rows of one doc_id are one document.
-    """
-    names = tuple(f"f{k}" for k in range(lanes))
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    prints = materialize(with_fingerprints(texts, shingle_words, names=names).drop("text"), "fingerprints")
-    classes = materialize(prints.where("doc_id is not null").groupBy(*names).agg(F.min("doc_id").alias("node")), "classes")
-    keyed = None
-    for k in range(lanes):
-        others = [n for n in names if n != names[k]]
-        lane = classes.select(names[k], "node", *(F.col(o).alias(f"lane{j}") for j, o in enumerate(others, 1)))
-        own = _keyed(lane, names[k], max_bits, "node", *(f"lane{j}" for j in range(1, lanes))).withColumn("key", F.shiftleft("key", 2).bitwiseOR(F.lit(k)) if lanes <= 4 else F.xxhash64("key", F.lit(k)))
-        keyed = own if keyed is None else keyed.unionByName(own)
-    found = components(_forest(keyed, max_bits, 20_000, lanes, bits_of_similarity(similarity, 64 * lanes)))
-    same_class = prints.join(classes, list(names), "left").select("doc_id", "node")
-    return same_class.join(found, "node", "left").select("doc_id", F.coalesce("root", "node").alias("component_id"))
+    return near_copies(docs, shingle_words, similarity, doc_id, text)
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, max_bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
