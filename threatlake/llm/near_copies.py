@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import BROADCAST_BYTES, column, map_columns, materialize
 from .graph import components
@@ -125,25 +126,12 @@ def fingerprints_of(values: np.ndarray, first: np.ndarray, lanes: int) -> np.nda
     return out
 
 
-def _per_set(size: int, of):
-    """(cls, of(values, first)) of each text."""
-
-    def step(batch):
-        ids, found = [np.zeros(0, U64)], []
-        for _, values, first in shingle_sets(column(batch, "text"), size):
-            ids.append(_class_id(values, first))
-            found += of(values, first)
-        return [pa.array(np.concatenate(ids).view(np.int64)), pa.array(found, pa.large_binary())]
-
-    return step
+def _stored(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _stored(values: np.ndarray, first: np.ndarray) -> list[bytes]:
-    return [values[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-
-
-def _wide(values: np.ndarray, first: np.ndarray) -> list[bytes]:
-    return [row.tobytes() for row in fingerprints_of(values, first, WIDE)]
+def _wide(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in fingerprints_of(values, first, WIDE)], pa.binary())
 
 
 class Pairs:
@@ -222,39 +210,35 @@ class Pairs:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[a], cls[b], node[a], node[b])], names=["a", "b", "u", "v"])
 
 
-def jaccard(a: bytes, b: bytes) -> float:
-    """The similarity of two stored sets."""
-    x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
-    both = np.sort(np.concatenate([x, y]), kind="stable")
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared / max(1, len(x) + len(y) - shared)
-
-
-def _of_classes(needed: DataFrame, texts: DataFrame, size: int, of, name: str) -> DataFrame:
-    """(cls, `name` binary) of the needed (doc_id, cls); only their texts are read again.
+def _of_classes(needed: DataFrame, texts: DataFrame, size: int, of, kind: str) -> DataFrame:
+    """(cls, x) of the needed (doc_id, cls): x is of(values, first) of their texts, which are read again.
 
     The needed ids are broadcast if their number is known to be small; a join by id does it otherwise.
     """
     ids = needed.select("doc_id").distinct()
     if 16 * needed.count() <= BROADCAST_BYTES:
         ids = F.broadcast(ids)
-    made = map_columns(texts.join(ids, "doc_id", "left_semi"), lambda: _per_set(size, of), f"cls long, {name} binary")
-    return materialize(made.join(needed, ["doc_id", "cls"], "left_semi").groupBy("cls").agg(F.first(name).alias(name)), name)
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for n, values, first in shingle_sets(column(batch, "text"), size):
+                ids = pa.array(_class_id(values, first).view(np.int64))
+                yield pa.RecordBatch.from_arrays([column(batch, "doc_id").slice(at, n), ids, of(values, first)], names=["doc_id", "cls", "x"])
+                at += n
+
+    made = texts.join(ids, "doc_id", "left_semi").mapInArrow(run, T.StructType([texts.schema["doc_id"], *T._parse_datatype_string(f"cls long, x {kind}").fields]))
+    return materialize(made.join(needed, ["doc_id", "cls"], "left_semi").groupBy("cls").agg(F.first("x").alias("x")), "of-classes")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """(u, v) of the pairs whose sets are similar."""
     needed = materialize(pairs.select(F.col("u").alias("doc_id"), F.col("a").alias("cls")).union(pairs.select("v", "b")).distinct(), "needed")
-    sets = _of_classes(needed, texts, size, _stored, "words")
-    left, right = (sets.select(F.col("cls").alias(c), F.col("words").alias(w)) for c, w in (("a", "wa"), ("b", "wb")))
-
-    def run(batches):
-        for batch in batches:
-            hit = [jaccard(x.as_py(), y.as_py()) >= similarity for x, y in zip(column(batch, "wa"), column(batch, "wb"), strict=True)]
-            yield batch.select(["u", "v"]).filter(pa.array(hit, pa.bool_()))
-
-    found = pairs.join(left, "a").join(right, "b").select("u", "v", "wa", "wb")
-    return materialize(found.mapInArrow(run, "u long, v long"), "links")
+    sets = _of_classes(needed, texts, size, _stored, "array<long>")
+    left, right = (sets.select(F.col("cls").alias(c), F.col("x").alias(x)) for c, x in (("a", "xa"), ("b", "xb")))
+    shared = F.size(F.array_intersect("xa", "xb"))
+    similar = shared >= F.lit(similarity) * (F.size("xa") + F.size("xb") - shared)
+    return materialize(pairs.join(left, "a").join(right, "b").where(similar).select("u", "v"), "links")
 
 
 def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -316,8 +300,8 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
         rest = materialize(rest.withColumn("root", F.coalesce("root", "node")), "rest")
         mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
         rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
-        wide = _of_classes(materialize(rest.select(F.col("node").alias("doc_id"), "cls").distinct(), "needed"), texts, shingle_words, _wide, "wide")
-        more = materialize(candidates(rest.join(wide, "cls"), True).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        wide = _of_classes(materialize(rest.select(F.col("node").alias("doc_id"), "cls").distinct(), "needed"), texts, shingle_words, _wide, "binary")
+        more = materialize(candidates(rest.join(wide.withColumnRenamed("x", "wide"), "cls"), True).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
             found = components(edges.unionByName(_confirmed(more, texts, shingle_words, similarity)), "u", "v")
     same = prints.select("doc_id", "cls").join(classes.select("cls", "node"), "cls", "left").select("doc_id", "node")
