@@ -51,7 +51,7 @@ def test_pruning_bounds_hold():
         values = np.concatenate([common, only[:cut], common, only[cut:]])
         first = np.array([0, n + cut, len(values)])
         for lanes in (near_copies.NARROW, near_copies.WIDE):
-            fp, bits = near_copies.fingerprints_of(values, first, lanes), near_copies.most_bits(0.8, lanes)
+            fp, bits = near_copies.fingerprints_of(values, first, lanes), near_copies.most_bits(0.8, lanes, n < near_copies.COARSE)
             ok = simhash.chained(fp[:1], fp[1:], bits)[0]
             assert ok == (np.bitwise_count(fp[0] ^ fp[1]).sum() <= bits)
             lost += not ok

@@ -2,7 +2,7 @@
 
 A document is the set of its distinct word shingles (64-bit hashes); equal sets
 are collapsed first. Two sets at a similarity of 0.8 differ in 0.15 of their SimHash bits
-(at most `FLIP`), which is about 39 of 256: no segment of a fingerprint is then equal often enough
+(`most_bits`), about 39 of 256: no segment of a fingerprint is then equal often enough
 to be a join key. So buckets come from MinHash bands of the same shingles, and
 inside a bucket fingerprints do what they are good at: a pair must pass the
 pigeonring chains and the Hamming check of 256 bits, and in large buckets of 2,048
@@ -37,21 +37,19 @@ BANDS, ROWS = 20, 4
 NARROW, WIDE = 4, 32
 #: Sets of a bucket that all try each other, and sets beyond which a key is dealt anew.
 SMALL, MOST = 16, 20_000
-#: Sets of fewer shingles are not pruned: their fingerprints are too coarse.
-FEW = 5
+#: Sets of fewer than FEW shingles are not pruned; up to COARSE, the share of differing bits still depends on the number's parity.
+FEW, COARSE = 5, 64
 
 _LOWER = np.frombuffer(LOWER, np.uint8)
 _ODD = mix(np.arange(1, BANDS * ROWS + 4, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 
 
-def flip_rate(similarity: float) -> float:
-    """The largest share of differing bits that SimHash expects of sets of this similarity with at least FEW shingles."""
-    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi) * 1.05
+def most_bits(similarity: float, lanes: int, coarse: bool = True) -> int:
+    """Differing bits that a pair of this similarity exceeds once in 100,000 (4.3 standard deviations).
 
-
-def most_bits(similarity: float, lanes: int) -> int:
-    """Differing bits that a pair of this similarity exceeds once in 100,000 (4.3 standard deviations)."""
-    p, n = flip_rate(similarity), 64 * lanes
+    SimHash expects acos(2 s / (1 + s)) / pi of the bits to differ; the parity of fewer than COARSE shingles adds up to a twentieth.
+    """
+    p, n = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi) * (1.05 if coarse else 1.0), 64 * lanes
     return int(np.ceil(n * p + 4.3 * (n * p * (1 - p)) ** 0.5))
 
 
@@ -137,22 +135,22 @@ def _wide(values: np.ndarray, first: np.ndarray) -> pa.Array:
 class Pairs:
     """Candidate pairs inside buckets of equal keys, read in key order.
 
-    Rows are (key, cls, node, n, fp) and, with `rest`, root: then large buckets give the pairs that are in
-    different components; without it, small ones give all pairs and large
+    Rows are (key, cls, node, n, fp) and, with `rest`, root, at and bands: then large buckets give the pairs that are in
+    different components, each one in the first band that it shares; without it, small ones give all pairs and large
     ones those with their hub. All pairs pass the size bound and the fingerprints.
     """
 
     def __init__(self, similarity: float, rest: bool):
         self.similarity, self.rest, self.lanes = similarity, rest, WIDE if rest else NARROW
-        self.names = ["key", "cls", "node", "n", *(["root", "wide"] if rest else [f"f{k}" for k in range(NARROW)])]
+        self.names = ["key", "cls", "node", "n", *(["root", "at", "wide", "bands"] if rest else [f"f{k}" for k in range(NARROW)])]
 
     def read(self, batch) -> list[np.ndarray]:
         new = [column(batch, c) for c in self.names]
         if not self.rest:
             new = [x.to_numpy() for x in new]
             return [*new[:4], np.stack(new[4:], axis=1).view(U64)]
-        wide = np.frombuffer(b"".join(new[5].to_pylist()), U64).reshape(-1, WIDE)
-        return [*(x.to_numpy() for x in new[:4]), wide, new[4].to_numpy()]
+        wide = np.frombuffer(b"".join(new[6].to_pylist()), U64).reshape(-1, WIDE)
+        return [*(x.to_numpy() for x in new[:4]), wide, new[4].to_numpy(), new[5].to_numpy(), new[7].flatten().to_numpy().reshape(-1, BANDS)]
 
     def run(self, batches):
         held: list[list[np.ndarray]] = []
@@ -195,15 +193,22 @@ class Pairs:
                     yield from self.out(rows, np.full(lo + n - 1 - x, x), np.arange(x + 1, lo + n))
 
     def out(self, rows, a, b):
-        _, cls, node, n, fp, *root = rows
+        _, cls, node, n, fp, *rest = rows
         least = np.minimum(n[a], n[b])
         ok = least >= self.similarity * np.maximum(n[a], n[b]) - 1e-9
-        if root:
-            ok &= root[0][a] != root[0][b]
+        if rest:
+            root, at, bands = rest
+            ok &= root[a] != root[b]
         a, b, least = a[ok], b[ok], least[ok]
         for lanes in dict.fromkeys((NARROW, self.lanes)):
-            ok = (least < FEW) | chained(fp[a, :lanes], fp[b, :lanes], most_bits(self.similarity, lanes))
+            ok = least < FEW
+            for coarse in (True, False):
+                own = np.flatnonzero((least < COARSE) == coarse)
+                ok[own] |= chained(fp[a[own], :lanes], fp[b[own], :lanes], most_bits(self.similarity, lanes, coarse))
             a, b, least = a[ok], b[ok], least[ok]
+        if rest and len(a):
+            first = ((bands[a] == bands[b]) & (np.arange(BANDS) < at[a][:, None])).any(axis=1)
+            a, b = a[~first], b[~first]
         if len(a):
             turn = cls[a] > cls[b]
             a, b = np.where(turn, b, a), np.where(turn, a, b)
@@ -242,7 +247,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
 
 
 def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, cls) rows, and the keys of more than SMALL rows.
+    """(key, cls, at) rows, and the keys of more than SMALL rows; at is the key's band, or 0 if any key was dealt anew.
 
     A key of more than MOST rows is replaced by that key with each later band, and once more by triples:
     a pair is then lost only if it shares no more bands than that, and all of them are so large.
@@ -262,7 +267,8 @@ def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed, large = done[0]
     for rows, count in done[1:]:
         keyed, large = keyed.unionByName(rows), large.unionByName(count)
-    return keyed.select("key", "cls"), large.select("key")
+    at = F.col("at") if len(done) == 1 else F.lit(0).alias("at")
+    return keyed.select("key", "cls", at), large.select("key")
 
 
 def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -296,7 +302,7 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     edges = _confirmed(seen, texts, shingle_words, similarity)
     found = components(edges, "u", "v")
     if not large.isEmpty():
-        rest = keyed.join(large, "key", "left_semi").join(classes.select("cls", "node", "n"), "cls").join(found, "node", "left")
+        rest = keyed.join(large, "key", "left_semi").join(classes.select("cls", "node", "n", "bands"), "cls").join(found, "node", "left")
         rest = materialize(rest.withColumn("root", F.coalesce("root", "node")), "rest")
         mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
         rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
