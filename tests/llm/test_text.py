@@ -91,8 +91,8 @@ def test_plan_is_best_fit_decreasing():
 
 def test_pack(docs, odd):
     texts = odd + [(100 + k, "word " * k) for k in range(0, 90, 3)] + [(500, "long text here " * 200)] * 2
+    texts += [(600, "<|endoftext|>"), (601, "a <|endoftext|> b<|endoftext|><|endoftext|>c"), (602, "<|endoftext |> <|endoftext"), (603, "x " * 90_000)]
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     rows = packing.pack(docs(texts, clash=True), JSON, public_tokenizers.PATTERN, 1, 64).collect()
     sequences, parts = {}, {}
     for r in rows:

@@ -105,19 +105,32 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[Run], int]:
     return out, windows
 
 
-def byte_level_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes to id of a byte-level BPE tokenizer file, special tokens left out."""
+def byte_level_ranks(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Token bytes to id of a byte-level BPE tokenizer file, and its added tokens' text to id.
+
+    A file whose ids byte ranks alone can't give is refused: with a normaliser, a
+    prefix space, added tokens that take neighbouring space, or merges in another order than their ids.
+    """
     import json
 
     with open(path, encoding="utf-8") as f:
         data = json.load(f)
-    if data["model"]["type"] != "BPE" or data["pre_tokenizer"]["type"] != "ByteLevel":
+    model, split = data["model"], data["pre_tokenizer"] or {}
+    if model["type"] != "BPE" or split.get("type") != "ByteLevel":
         raise ValueError("not a byte-level BPE tokenizer")
+    if data["normalizer"] or split["add_prefix_space"] or not split.get("use_regex", True) or any(model.get(k) for k in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")):
+        raise ValueError("the tokenizer changes texts before its merges, or doesn't merge by rank")
+    if any(t[k] for t in data["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("an added token takes its neighbourhood into account")
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"]["".join(m)] for m in merges]
+    if any(a >= b for a, b in zip(ids, ids[1:], strict=False)):
+        raise ValueError("merges aren't in the order of their ids")
     # Byte-level files write printable bytes as themselves and the others from U+0100 on.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
-    special = {t["content"] for t in data["added_tokens"]}
-    return {bytes(of[c] for c in token): i for token, i in data["model"]["vocab"].items() if token not in special}
+    added = {t["content"]: t["id"] for t in data["added_tokens"]}
+    return {bytes(of[c] for c in token): i for token, i in model["vocab"].items() if token not in added}, added
 
 
 def _pieces(ids: np.ndarray, window: int) -> Iterator[tuple[int, int, int]]:
@@ -130,22 +143,23 @@ def _pieces(ids: np.ndarray, window: int) -> Iterator[tuple[int, int, int]]:
 def tokenize(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, window: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each piece: doc_id, doc_tokens, start, length, ids_crc32.
 
-    Ids are those of the tokenizer file with end_id after each document; strings
-    of special tokens inside a text are ordinary text. The file's merges run in
-    tiktoken, which gives the same ids in a quarter of the time.
+    Ids are those that the tokenizer file's own library gives without adding
+    special tokens, with end_id after each document: an added token's string inside a
+    text has that token's id. The file's merges run in tiktoken, which gives the
+    same ids in a quarter of the time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(byte_level_ranks(tokenizer))
 
     def run(batches):
         import tiktoken
 
-        coder = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})
+        coder = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=shared.value[0], special_tokens=shared.value[1])
         for batch in batches:
             rows, at = [], 0
             names = column(batch, "doc_id").to_pylist()
             for texts in text_blocks(column(batch, "text")):
                 for t in texts:
-                    ids = np.append(coder.encode_to_numpy(t, disallowed_special=()), np.uint32(end_id))
+                    ids = np.append(coder.encode_to_numpy(t, allowed_special="all"), np.uint32(end_id))
                     rows += [(names[at], len(ids), *piece) for piece in _pieces(ids, window)]
                     at += 1
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
