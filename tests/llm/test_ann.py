@@ -43,14 +43,39 @@ def test_query_blocks_agree(spark):
     assert one == many
 
 
+@pytest.mark.parametrize("copies", [0, 1])
+def test_batches_agree_and_clusters_stay_whole(spark, copies):
+    """The same neighbours from small and large batches; with a third of the rows in one tight cluster none is lost."""
+    r = np.random.default_rng(2)
+    x = r.normal(size=(6000, 24))
+    if copies:
+        x[::3] = x[0] + 1e-3 * r.normal(size=x[::3].shape)
+    x = x.astype(np.float32)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    asked, got = table.where("vec_id % 100 = 0"), []
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for rows in (500, 100_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        got.append(sorted((q.query_id, q["rank"], q.vec_id) for q in search(table, asked).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = []
+    for k in range(0, 6000, 100):
+        d = ((x.astype(np.float64) - x[k]) ** 2).sum(axis=1)
+        d[k] = np.inf
+        want += [(k, n + 1, int(v)) for n, v in enumerate(np.lexsort((np.arange(6000), d))[:10])]
+    assert got[0] == got[1]
+    assert len({*got[0]} & {*want}) >= 0.99 * len(want)
+
+
 def test_reconstruction_improves_with_the_beam():
     x = np.random.default_rng(1).normal(size=(400, 16)).astype(np.float32)
     books = Codebooks.fit(x)
 
     def error(beam):
-        codes, norms = books.encode(x, beam)
+        codes, norms, left = books.encode(x, beam)
         back = sum(books.words[m][codes[:, m]] for m in range(len(books.words)))
         assert np.allclose((back**2).sum(axis=1), norms, rtol=1e-3, atol=1e-3)
+        assert np.allclose(((x - back) ** 2).sum(axis=1), left, rtol=1e-3, atol=1e-3)
         return ((x - back) ** 2).sum()
 
     assert error(4) <= error(1)

@@ -4,8 +4,14 @@ A vector is the sum of one codeword from each of M full-dimensional codebooks,
 trained on residuals from a bounded sample, and found by beam search.
 With the reconstruction's squared norm stored, the distance to a query is
 |q|^2 - 2 * sum of M table look-ups + norm. Each block of candidates is scored for
-a block of queries, the best by look-up are reranked by their exact distance on
-the original vectors, and blocks' winners are merged.
+a block of queries. Those that may be among the k nearest are reranked by their
+exact distance on the original vectors, and blocks' winners are merged.
+
+Which ones may be is decided by row, not by a number of rows a block: the stored
+error of a row's reconstruction tells how far its distance can be from the looked-up
+one, so a tight cluster of many rows is reranked as a whole and block sizes don't matter.
+Beyond the residual's length the error is taken as random in direction (MARGIN standard
+deviations); within it, where a query and its neighbours may have the same residual, by the triangle inequality.
 """
 
 from __future__ import annotations
@@ -25,9 +31,11 @@ SAMPLE_ROWS = 8192
 #: Queries that are matched with all rows in one pass; more queries take more passes.
 QUERY_BLOCK = 4096
 CODEBOOKS, CODEWORDS, BEAM = 32, 64, 4
-#: Candidates of an Arrow batch (10,000 rows) that are reranked for each query: a
-#: share of the rows, so recall is the same at any size.
-SHORTLIST = 256
+#: Rows scored at once.
+ROWS = 10_000
+#: Standard deviations of the looked-up distance's error within which a row is reranked. The error is
+#: the row's residual along the line to the query, of which a random direction takes 1 / sqrt(d).
+MARGIN = 4.0
 
 
 @dataclass
@@ -61,7 +69,7 @@ class Codebooks:
             codes.append(near)
         out = cls(np.stack(words))
         for _ in range(2):  # least squares over all codebooks, given beam-search codes
-            got, _ = out.encode(x)
+            got, *_ = out.encode(x)
             design = np.zeros((len(x), CODEBOOKS * k), np.float32)
             for m in range(CODEBOOKS):
                 design[np.arange(len(x)), m * k + got[:, m].astype(np.int64)] = 1
@@ -70,8 +78,8 @@ class Codebooks:
             out = cls((base + np.linalg.solve(gram, design.T @ (x - design @ base))).reshape(out.words.shape).astype(np.float32))
         return out
 
-    def encode(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Codes (n, M) uint8 by beam search, and the squared norms of the reconstructions."""
+    def encode(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes (n, M) uint8 by beam search, the squared norms of the reconstructions, and of what they leave."""
         m_all, k, _ = self.words.shape
         n = len(x)
         codes = np.zeros((n, 1, 0), np.int64)
@@ -93,11 +101,12 @@ class Codebooks:
             cost, norm = flat[row, best], new_norm.reshape(n, -1)[row, best]
         top = cost.argmin(axis=1)
         at = np.arange(n)
-        return codes[at, top].astype(np.uint8), norm[at, top]
+        return codes[at, top].astype(np.uint8), norm[at, top], np.maximum((x.astype(np.float64) ** 2).sum(axis=1) + cost[at, top], 0)
 
     def tables(self, queries: np.ndarray) -> np.ndarray:
-        """(queries, M, K) inner products with the codewords."""
-        return np.einsum("qd,mkd->qmk", queries.astype(np.float32), self.words, optimize=True)
+        """(queries, M / 2, K * K) inner products with the sums of two codewords of neighbouring codebooks."""
+        one = np.einsum("qd,mkd->qmk", queries.astype(np.float32), self.words, optimize=True)
+        return (one[:, ::2, :, None] + one[:, 1::2, None, :]).reshape(len(queries), one.shape[1] // 2, -1)
 
 
 def _nearest(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
@@ -116,7 +125,7 @@ def _matrix(col: pa.Array, d: int) -> np.ndarray:
     return pc.list_flatten(col).to_numpy(zero_copy_only=False).reshape(-1, d)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", shortlist: int = SHORTLIST, sample_rows: int = SAMPLE_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", margin: float = MARGIN, sample_rows: int = SAMPLE_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
     """The k nearest vectors found for each query: query_id, rank, vec_id, score.
 
     Nearness is Euclidean distance in double precision on the original vectors,
@@ -146,11 +155,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "v
         for batch in batches:
             x = _matrix(column(batch, "embedding"), d)
             parts = [own.encode(x[i : i + 2048]) for i in range(0, len(x), 2048)]
-            codes = np.concatenate([p[0] for p in parts]) if parts else np.zeros((0, CODEBOOKS), np.uint8)
-            norms = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([column(batch, "vec_id"), column(batch, "embedding"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms, pa.float64())], names=["vec_id", "embedding", "codes", "norm"])
+            if not parts:
+                continue
+            codes, norm, left = (np.concatenate(p) for p in zip(*parts, strict=True))
+            yield pa.RecordBatch.from_arrays([column(batch, "vec_id"), column(batch, "embedding"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(left)], names=["vec_id", "embedding", "codes", "norm", "left"])
 
-    coded = materialize(rows.mapInArrow(encode, "vec_id long, embedding array<float>, codes binary, norm double"), "codes")
+    coded = materialize(rows.mapInArrow(encode, "vec_id long, embedding array<float>, codes binary, norm double, left double"), "codes")
 
     # Only one block of queries at a time is on the driver.
     total = asked.count()
@@ -161,14 +171,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "v
         block = part.toArrow()
         if not block.num_rows:
             continue
-        found = _one_block(coded, column(block, "vec_id").to_numpy(), _matrix(column(block, "embedding"), d), shared, k, d, shortlist)
+        found = _one_block(coded, column(block, "vec_id").to_numpy(), _matrix(column(block, "embedding"), d), shared, k, d, margin)
         if pieces > 1:
             found = materialize(found, "neighbours")
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _one_block(coded: DataFrame, ids: np.ndarray, queries: np.ndarray, shared, k: int, d: int, shortlist: int) -> DataFrame:
+def _one_block(coded: DataFrame, ids: np.ndarray, queries: np.ndarray, shared, k: int, d: int, margin: float) -> DataFrame:
     spark = coded.sparkSession
     held = spark.sparkContext.broadcast((ids, queries))
 
@@ -176,48 +186,47 @@ def _one_block(coded: DataFrame, ids: np.ndarray, queries: np.ndarray, shared, k
         ids, queries = held.value
         tables = Codebooks(shared.value).tables(queries)
         exact = queries.astype(np.float64)
-        best: list = []
-        for batch in batches:
+        size = (exact**2).sum(axis=1)
+        best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
+        words = shared.value.shape[1]
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             own = column(batch, "vec_id").to_numpy()
-            if not len(own):
-                continue
-            order = np.argsort(own, kind="stable")
-            own = own[order]
-            x = _matrix(column(batch, "embedding"), d)[order]
-            codes = np.frombuffer(b"".join(column(batch, "codes").to_pylist()), np.uint8).reshape(-1, CODEBOOKS)[order]
-            norm = column(batch, "norm").to_numpy()[order]
+            x = _matrix(column(batch, "embedding"), d).astype(np.float64)
+            codes = np.frombuffer(b"".join(column(batch, "codes").to_pylist()), np.uint8).reshape(-1, CODEBOOKS)
+            pairs = np.ascontiguousarray((codes[:, ::2].astype(np.int32) * words + codes[:, 1::2]).T)
+            norm, left = column(batch, "norm").to_numpy(), column(batch, "left").to_numpy()
+            spread = 2 * margin * np.sqrt(left / d)
             for q in range(len(ids)):
-                near = norm.copy()
-                for m in range(CODEBOOKS):
-                    near -= 2 * tables[q, m][codes[:, m]]
-                near[own == ids[q]] = np.inf
-                if len(near) > shortlist:
-                    # Everything up to the shortlist's last value, ties by smaller id.
-                    limit = np.partition(near, shortlist - 1)[shortlist - 1]
-                    pick = np.flatnonzero(near < limit)
-                    pick = np.concatenate([pick, np.flatnonzero(near == limit)[: shortlist - len(pick)]])
-                else:
-                    pick = np.arange(len(near))
-                pick = pick[np.isfinite(near[pick])]
-                distance = np.sqrt(((x[pick].astype(np.float64) - exact[q]) ** 2).sum(axis=1))
-                top = np.lexsort((own[pick], distance))[:k]
-                best.append((np.full(len(top), ids[q]), own[pick][top], distance[top]))
-            if len(best) >= 4 * len(ids):
-                best = [_merge(best, k)]
-        if best:
-            q, v, s = _merge(best, k)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "vec_id", "score"])
+                dot = np.zeros(len(own), np.float32)
+                for table, at in zip(tables[q], pairs, strict=True):
+                    dot += table[at]
+                near = np.maximum(size[q] + norm - 2 * dot, 0)
+                root = np.sqrt(near)
+                least = near + left - spread * root
+                least[own == ids[q]] = np.inf
+                seen = np.zeros(0, np.int64)
+                if len(best[q][0]) < k:  # the first rows set the distance to beat
+                    seen = np.argpartition(least, 4 * k)[: 4 * k] if len(least) > 4 * k else np.arange(len(least))
+                    best[q] = _nearer(best[q], own, x, exact[q], seen[np.isfinite(least[seen])], k)
+                limit = best[q][1][-1] ** 2 * (1 + 1e-9) if len(best[q][0]) == k else np.inf
+                least[seen] = np.inf
+                # Neighbours nearer than the residuals may share theirs with the query: there only the triangle inequality holds.
+                close = (limit <= 4 * left) & (least < np.inf) & (root <= np.sqrt(limit) + np.sqrt(left) + 1e-6)
+                least[close] = 0
+                best[q] = _nearer(best[q], own, x, exact[q], np.flatnonzero((least <= limit) & (least < np.inf)), k)
+        counts = [len(v) for v, _ in best]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, counts)), *(pa.array(np.concatenate([b[n] for b in best] or [np.zeros(0)]).astype(t)) for n, t in ((0, np.int64), (1, np.float64)))], names=["query_id", "vec_id", "score"])
 
     found = coded.mapInArrow(score, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _merge(best: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    q, v, s = (np.concatenate(x) for x in zip(*best, strict=True))
-    order = np.lexsort((v, s, q))
-    q, v, s = q[order], v[order], s[order]
-    begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-    nth = np.arange(len(q)) - np.repeat(begin, np.diff(np.append(begin, len(q))))
-    keep = nth < k
-    return q[keep], v[keep], s[keep]
+def _nearer(best: tuple[np.ndarray, np.ndarray], own: np.ndarray, x: np.ndarray, query: np.ndarray, pick: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest, by exact distance and then id, of the best so far and the picked rows."""
+    if not len(pick):
+        return best
+    ids = np.concatenate([best[0], own[pick]])
+    distance = np.concatenate([best[1], np.sqrt(((x[pick] - query) ** 2).sum(axis=1))])
+    top = np.lexsort((ids, distance))[:k]
+    return ids[top], distance[top]
