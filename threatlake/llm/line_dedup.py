@@ -1,22 +1,20 @@
 """Dropping lines that many documents share, through a sharded minimal perfect hash.
 
 1. Each batch of documents counts its own distinct line keys; (hash, count)
-   arrays go to the shard of their hash, so a line that every document has costs
-   one entry a batch.
-2. A shard adds up the counts and builds a minimal perfect hash over the
-   distinct hashes that reach the threshold: cascaded bit arrays whose ranks
-   index an array of fingerprints and one of counts.
-3. Documents hash their lines again and probe the arrays; no line is joined.
+   rows are added up by hash, so a line that every document has costs one row a batch.
+2. A shard builds a minimal perfect hash over all its distinct line hashes:
+   cascaded bit arrays whose ranks index an array of fingerprints and one of
+   counts, as narrow as the largest count allows.
+3. Documents hash their lines again and probe the arrays; lines whose count
+   reaches the threshold go. No line is joined, and one index serves any threshold.
 
 If all shards together are within a checked size they are broadcast. Beyond it
 blocks of documents send each distinct hash once to its shard and the shard
-returns those it holds, so nothing grows on the driver or in one task.
+returns those that go, so nothing grows on the driver or in one task.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -83,15 +81,17 @@ class LineShard:
 
     def __init__(self, sizes: list[int], words: bytes, prints: bytes, counts: bytes):
         self.hash = MinimalPerfectHash(sizes, np.frombuffer(words, "<u8"))
-        self.prints, self.counts = unpack(prints, FINGERPRINT_BYTES), np.frombuffer(counts, "<i8")
+        self.prints = unpack(prints, FINGERPRINT_BYTES)
+        self.counts = unpack(counts, len(counts) // max(1, len(self.prints)) or 1).astype(np.int64)
 
     @staticmethod
     def build(h: np.ndarray, g: np.ndarray, counts: np.ndarray) -> tuple[list[int], bytes, bytes, bytes]:
         mph = MinimalPerfectHash.build(h, g)
         at = mph.index(h, g)
-        prints, by = np.zeros(len(h), U64), np.zeros(len(h), "<i8")
+        prints, by = np.zeros(len(h), U64), np.zeros(len(h), U64)
         prints[at], by[at] = mix(g), counts
-        return mph.sizes, mph.words.tobytes(), pack(prints, FINGERPRINT_BYTES), by.tobytes()
+        width = (int(counts.max()).bit_length() + 7) // 8 if len(h) else 1
+        return mph.sizes, mph.words.tobytes(), pack(prints, FINGERPRINT_BYTES), pack(by, width)
 
     def count(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
         """How many documents have each key; 0 where the fingerprint differs."""
@@ -138,17 +138,12 @@ def _texts(col: pa.Array):
         yield lo, hi, [raw[x:y] for x, y in zip(o[:-1].tolist(), o[1:].tolist(), strict=True)]
 
 
-def build_index(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text", shards: int | None = None) -> DataFrame:
-    """The shards: shard int, sizes array<long>, words, prints, counts binary.
-
-    Holds every line key that at least min_docs documents (rows) have; a line
-    below that is rejected by its fingerprint.
-    """
+def build_index(docs: DataFrame, min_chars: int = 1, text: str = "text", shards: int | None = None) -> DataFrame:
+    """The shards: shard int, sizes array<long>, words, prints, counts binary, of every distinct line key and the documents (rows) that have it."""
     shards = shards or block_count(docs, SHARD_INPUT)
 
     def partial(batches):
         for batch in batches:
-            out = []
             for _, _, texts in _texts(column(batch, "text")):
                 _, doc, _, h, g = hash_lines(texts, min_chars)
                 order, _ = _distinct(h, g, doc)
@@ -158,25 +153,15 @@ def build_index(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: s
                 h, g = h[once], g[once]
                 order, begin = _distinct(h, g)
                 h, g, n = h[order][begin], g[order][begin], np.diff(np.append(begin, len(h)))
-                shard = _shard(h, shards)
-                order = np.argsort(shard, kind="stable")
-                cut = np.searchsorted(shard[order], np.arange(shards + 1))
-                for s in np.flatnonzero(np.diff(cut)).tolist():
-                    own = order[cut[s] : cut[s + 1]]
-                    out.append((s, h[own].tobytes(), g[own].tobytes(), n[own].astype("<i8").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["shard", "h", "g", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_shard(h, shards).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(n)], names=["shard", "h", "g", "n"])
 
     def total(table: pa.Table) -> pa.Table:
-        h, g, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("h", "<u8"), ("g", "<u8"), ("n", "<i8")))
-        order, begin = _distinct(h, g)
-        counts = np.add.reduceat(n[order], begin) if len(begin) else n
-        often = counts >= min_docs
-        h, g, counts = h[order][begin][often].astype(U64), g[order][begin][often].astype(U64), counts[often]
-        sizes, words, prints, by = LineShard.build(h, g, counts)
-        return pa.table({"shard": pa.array(table.column("shard").to_pylist()[:1], pa.int32()), "sizes": pa.array([sizes], pa.list_(pa.int64())), "words": pa.array([words]), "prints": pa.array([prints]), "counts": pa.array([by])})
+        h, g, n = (column(table, c).to_numpy() for c in ("h", "g", "n"))
+        sizes, words, prints, by = LineShard.build(h.view(U64), g.view(U64), n)
+        return pa.table({"shard": table.column("shard")[:1], "sizes": pa.array([sizes], pa.list_(pa.int64())), "words": pa.array([words]), "prints": pa.array([prints]), "counts": pa.array([by])})
 
-    sent = docs.select(F.col(text).alias("text")).mapInArrow(partial, "shard int, h binary, g binary, n binary")
-    return materialize(sent.groupBy("shard").applyInArrow(total, "shard int, sizes array<long>, words binary, prints binary, counts binary"), "line-index")
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(partial, "shard int, h long, g long, n long").groupBy("shard", "h", "g").agg(F.sum("n").alias("n"))
+    return materialize(counted.groupBy("shard").applyInArrow(total, "shard int, sizes array<long>, words binary, prints binary, counts binary"), "line-index")
 
 
 def _rewrite(texts: list[bytes], dropped_of, min_chars: int):
@@ -210,14 +195,14 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, t
     empty. Rows are told apart by place, so null or repeated ids do no harm.
     Columns named n_lines or n_dropped are replaced; others pass through.
     """
-    index = build_index(docs, min_docs, min_chars, text)
+    index = build_index(docs, min_chars, text)
     size = index.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("words") + F.length("prints") + F.length("counts")), F.lit(0)).alias("b")).first()
     if size.b <= broadcast_bytes:
-        return _probe_broadcast(docs, index, min_chars, text)
-    return _probe_routed(docs, index, min_chars, text)
+        return _probe_broadcast(docs, index, min_docs, min_chars, text)
+    return _probe_routed(docs, index, min_docs, min_chars, text)
 
 
-def _probe_broadcast(docs: DataFrame, index: DataFrame, min_chars: int, text: str) -> DataFrame:
+def _probe_broadcast(docs: DataFrame, index: DataFrame, min_docs: int, min_chars: int, text: str) -> DataFrame:
     shards = block_count(docs, SHARD_INPUT)
     rows = {r.shard: (list(r.sizes), bytes(r.words), bytes(r.prints), bytes(r.counts)) for r in index.where(F.length("prints") > 0).toLocalIterator()}
     shared = docs.sparkSession.sparkContext.broadcast(rows)
@@ -233,7 +218,7 @@ def _probe_broadcast(docs: DataFrame, index: DataFrame, min_chars: int, text: st
             for s in np.flatnonzero(np.diff(cut)).tolist():
                 own = order[cut[s] : cut[s + 1]]
                 if s in held:
-                    out[own] = held[s].count(h[own], g[own]) > 0
+                    out[own] = held[s].count(h[own], g[own]) >= min_docs
             return out
 
         return lambda batch: _outputs(column(batch, text), dropped, min_chars)
@@ -241,50 +226,40 @@ def _probe_broadcast(docs: DataFrame, index: DataFrame, min_chars: int, text: st
     return map_columns(docs, start, NEW.format(text=text))
 
 
-def _probe_routed(docs: DataFrame, index: DataFrame, min_chars: int, text: str) -> DataFrame:
+def _probe_routed(docs: DataFrame, index: DataFrame, min_docs: int, min_chars: int, text: str) -> DataFrame:
     shards, count = block_count(docs, SHARD_INPUT), block_count(docs, SHARD_INPUT)
     held = blocked(docs, count, *docs.columns)
 
     def ask(table: pa.Table) -> pa.Table:
-        block, out = table.column("__blk")[0].as_py(), []
         parts = [hash_lines(texts, min_chars)[3:] for _, _, texts in _texts(column(table, text))]
         h, g = (np.concatenate(x) for x in zip(*parts, strict=True))
         order, begin = _distinct(h, g)
         h, g = h[order][begin], g[order][begin]
-        shard = _shard(h, shards)
-        for s in np.unique(shard).tolist():
-            out.append((s, block, h[shard == s].tobytes(), g[shard == s].tobytes()))
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("shard", "blk", "h", "g"), zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)})
+        blk = np.full(len(h), table.column("__blk")[0].as_py(), np.int32)
+        return pa.table({"shard": pa.array(_shard(h, shards).astype(np.int32)), "blk": pa.array(blk), "h": pa.array(h.view(np.int64)), "g": pa.array(g.view(np.int64))})
 
     def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
-        out = []
+        blk, h, g = (column(asked, c).to_numpy() for c in ("blk", "h", "g"))
+        often = np.zeros(len(h), bool)
         if own.num_rows:
             shard = LineShard(*(own.column(c)[0].as_py() for c in ("sizes", "words", "prints", "counts")))
-            for row in asked.to_pylist():
-                h, g = np.frombuffer(row["h"], "<u8"), np.frombuffer(row["g"], "<u8")
-                has = shard.count(h, g) > 0
-                if has.any():
-                    out.append((row["blk"], h[has].tobytes(), g[has].tobytes()))
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(("__blk", "h", "g"), zip(*out, strict=True) if out else [[]] * 3, (pa.int32(), pa.binary(), pa.binary()), strict=True)})
+            often = shard.count(h.view(U64), g.view(U64)) >= min_docs
+        return pa.table({"__blk": pa.array(blk[often].astype(np.int32)), "h": pa.array(h[often]), "g": pa.array(g[often])})
 
     made = _schema(text)
     fields = kept_fields(docs.schema, made)
     names, new_names = [f.name for f in fields], made.names
 
     def finish(own: pa.Table, told: pa.Table) -> pa.Table:
-        h, g = (np.frombuffer(b"".join(told.column(c).to_pylist()), "<u8") for c in ("h", "g"))
+        h, g = (column(told, c).to_numpy().view(U64) for c in ("h", "g"))
         gone = {*zip(h.tolist(), g.tolist(), strict=True)}
         new = _outputs(column(own, text), lambda a, b: np.fromiter((k in gone for k in zip(a.tolist(), b.tolist(), strict=True)), bool, len(a)), min_chars)
         return pa.table([column(own, n) for n in names] + new, names=names + new_names)
 
-    asked = held.groupBy("__blk").applyInArrow(ask, "shard int, blk int, h binary, g binary")
-    told = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(answer, "__blk int, h binary, g binary")
+    asked = held.groupBy("__blk").applyInArrow(ask, "shard int, blk int, h long, g long")
+    told = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(answer, "__blk int, h long, g long")
     return held.groupBy("__blk").cogroup(told.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(made.fields)))
 
 
 def _schema(text: str):
     return T._parse_datatype_string(NEW.format(text=text))
-
-
-def digest(texts: pa.Array) -> pa.Array:
-    return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() if x.is_valid else None for x in texts], pa.string())
