@@ -197,13 +197,48 @@ def test_chat_round_trip(spark):
 
 
 def test_chat_layouts(spark):
-    rows = [
-        '{"messages": [{"role": "user", "content": "q"}, {"content": "a", "role": "assistant"}]}', '{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}', '{"instruction": "q", "input": "", "output": "a"}',
-        '{"completion": "a", "prompt": "q"}', '{"question": "q", "answer": "a"}', '{"odd": 1}', "no json", None,
-    ]
-    got = spark.createDataFrame([(r,) for r in rows], "j string").select(chat_format.json_turns(F.col("j")).alias("t")).collect()
-    assert [None if r.t is None else [(x.role, x.text) for x in r.t] for r in got] == [[("user", "q"), ("assistant", "a")]] * 5 + [None] * 3
-    typed = spark.createDataFrame([(1, "q", "a", "more")], "conv_id long, prompt string, response string, note string")
-    assert chat_format.format_conversations(typed).first().formatted == "<|user|>q<|end|><|assistant|>a<|end|>"
-    with pytest.raises(ValueError, match="no mapping"):
-        chat_format.format_conversations(typed.select("conv_id", "note"))
+    ask, say = ("user", "q"), ("assistant", "a")
+    records = {
+        '{"messages":[{"role":"user","content":"q"},{"role":"assistant","content":"a"}]}': [ask, say],
+        '{"messages":[{"role":"user","content":"q","name":"x"},{"role":"assistant","content":"a"}],"id":7}': [ask, say],
+        '{"id":1,"messages":[{"role":"user","content":[{"type":"text","text":"q"}]},{"role":"assistant","content":"a"}]}': [ask, say],
+        '{"messages":[]}': [],
+        '{"conversations":[{"from":"human","value":"q"},{"from":"gpt","value":"a"}],"system":"s"}': [("system", "s"), ask, say],
+        '{"prompt":"q","completion":"a","source":"web"}': [ask, say],
+        '{"prompt":"q","response":"a","meta":{"n":[1,2.5],"odd name":null}}': [ask, say],
+        '{"prompt":"q","chosen":"a","rejected":"b"}': [ask, say],
+        '{"chosen":[{"role":"user","content":"q"},{"role":"assistant","content":"a"}],"rejected":[]}': [ask, say],
+        '{"instruction":"q","output":"a"}': [ask, say],
+        '{"instruction":"q","input":"more","output":"a","lang":"en"}': [("user", "q\nmore"), say],
+        '{"question":"q","answer":null}': [ask, ("assistant", "")],
+        '{"rows":[{"turn":2,"role":"assistant","text":"a"},{"turn":1,"role":"user","text":"q"}]}': [ask, say],
+        '{"prompt":"[1]","response":"<|x|>"}': [("user", "[1]"), ("assistant", "<|x|>")],
+        '{"messages":["q"]}': None, '{"messages":[{"said":"q"}]}': None, '{"messages":[{"role":"user","content":"q"},"a"]}': None, '{"messages":"q"}': None, '{"prompt":"q"}': None, "[]": None, "no json": None,
+    }
+    table = spark.createDataFrame([(k, r, "own", "own") for k, r in enumerate([*records, None])], "conv_id long, record string, formatted string, turns string")
+    turns = table.select("conv_id", chat_format.json_turns(F.col("record")).alias("t")).orderBy("conv_id").collect()
+    assert [None if r.t is None else [tuple(x) for x in r.t] for r in turns] == [*records.values(), None]
+    out = chat_format.format_json(table)
+    read = out.orderBy("conv_id").select("layout", chat_format.parse_turns(F.col("formatted")).alias("t")).collect()
+    assert [None if r.layout == "unmapped" else [tuple(x) for x in r.t] for r in read] == [*records.values(), None]
+    assert sum(r.records for r in chat_format.unmapped(out).collect()) == 8
+    assert chat_format.format_json(table.limit(0)).count() == 0  # the count above is of rows that no mapping fits
+
+
+def test_typed_layouts_agree_with_json(spark):
+    """The same record as columns, with more fields, content parts and columns named like the operator's own."""
+    typed = [
+        ("conv_id long, prompt string, response string, note string", (1, "q", "a", "n")),
+        ("conv_id long, messages array<struct<content:string,name:string,role:string>>, formatted string, turns string, loss_spans string", (1, [("q", None, "user"), ("a", "x", "assistant")], "own", "own", "own")),
+        ("conv_id long, messages array<struct<role:string,content:array<struct<type:string,text:string>>>>, meta struct<a:int>", (1, [("user", [("text", "q")]), ("model", [("text", "a"), ("text", None)])], (1,))),
+        ("conv_id long, instruction string, output string", (1, "q", "a")),
+        ("conv_id long, prompt string, chosen string, rejected string", (1, "q", "a", "b")),
+    ]
+    for schema, row in typed:
+        table = spark.createDataFrame([row], schema)
+        assert chat_format.format_conversations(table).first().formatted == "<|user|>q<|end|><|assistant|>a<|end|>"
+        json = table.select("conv_id", F.to_json(F.struct(*[c for c in table.columns if c != "conv_id"])).alias("record"))
+        assert chat_format.format_json(json).first().formatted == "<|user|>q<|end|><|assistant|>a<|end|>"
+    assert chat_format.field_paths(spark.createDataFrame([], typed[2][0]).schema) == sorted(["conv_id", "messages", "messages[]", "messages[].role", "messages[].content", "messages[].content[]", "messages[].content[].text", "messages[].content[].type", "meta", "meta.a"])
+    with pytest.raises(ValueError):
+        chat_format.format_conversations(spark.createDataFrame([], "conv_id long, note string"))

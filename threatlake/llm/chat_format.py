@@ -1,9 +1,11 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
-A record's fingerprint is the hash of its sorted nested field paths. It selects a
-declarative mapping that turns the record into canonical turns (role, text),
+A record's fingerprint is the hash of those of its nested field paths, at any depth, that
+mappings know. It selects a declarative mapping that turns the record into canonical turns (role, text),
 whether the record is a typed row (one fingerprint for the table) or a JSON string
-(a fingerprint for each row). Turns are then written in one template:
+(a fingerprint for each row, from the schema of its variant). A fingerprint that is no mapping's own
+takes the mapping with most paths among those that the record has; a record that
+none fits is marked as unmapped. Turns are then written in one template:
 
     <|role|>text<|end|>
 
@@ -56,10 +58,10 @@ def _some(turn: Column, when: Column) -> Column:
     return F.when(when, F.array(turn)).otherwise(F.array().cast(TURN))
 
 
-def _rows(r: Callable[[str], Column]) -> Column:
+def _rows(record: Record) -> Column:
     """Rows by turn: sorted by turn, ties by role and then text."""
-    clean = F.transform(r("rows"), lambda x: F.struct(x["turn"].alias("turn"), F.coalesce(x["role"], F.lit("")).alias("role"), F.coalesce(x["text"], F.lit("")).alias("text")))
-    return F.transform(F.array_sort(clean, _by_turn), lambda x: _turn(x["role"], x["text"]))
+    rows = record.items("rows", "role", "text", "turn")
+    return F.transform(F.array_sort(rows, _by_turn), lambda x: _turn(x["role"], x["text"]))
 
 
 def _by_turn(a: Column, b: Column) -> Column:
@@ -70,99 +72,235 @@ def _by_turn(a: Column, b: Column) -> Column:
     return null_first.otherwise(order(a["turn"], b["turn"], order(a["role"], b["role"], order(a["text"], b["text"], F.lit(0)))))
 
 
-def _list(field: str, role: str, text: str) -> Callable[[Callable[[str], Column]], Column]:
-    return lambda r: F.transform(r(field), lambda m: _turn(_role(m[role]), m[text]))
+def _list(field: str, role: str, text: str) -> Mapping:
+    return lambda r: F.transform(r.items(field, role, text), lambda m: _turn(_role(m["role"]), m["text"]))
 
 
-def _pair(*fields: str) -> Callable[[Callable[[str], Column]], Column]:
-    return lambda r: F.array(_turn("user", r(fields[0])), _turn("assistant", r(fields[1])))
+def _no_items(field: str) -> Mapping:
+    """No turns of an empty list; other lists aren't mapped."""
+    return lambda r: F.when(F.size(r.items(field, "role", "content")) == 0, F.array().cast(TURN))
 
 
-def _instruction(r: Callable[[str], Column]) -> Column:
-    more = F.coalesce(r("input"), F.lit(""))
-    asked = F.when(more == "", F.coalesce(r("instruction"), F.lit(""))).otherwise(F.concat_ws("\n", r("instruction"), more))
-    return F.array(_turn("user", asked), _turn("assistant", r("output")))
+def _pair(asked: str, answer: str) -> Mapping:
+    return lambda r: F.array(_turn("user", r.text(asked)), _turn("assistant", r.text(answer)))
 
 
-def _with_system(inner: Callable) -> Callable:
-    return lambda r: F.concat(_some(_turn("system", r("system")), F.coalesce(r("system"), F.lit("")) != ""), inner(r))
+def _instruction(r: Record) -> Column:
+    more = F.coalesce(r.text("input"), F.lit(""))
+    asked = F.when(more == "", F.coalesce(r.text("instruction"), F.lit(""))).otherwise(F.concat_ws("\n", r.text("instruction"), more))
+    return F.array(_turn("user", asked), _turn("assistant", r.text("output")))
+
+
+def _with_system(inner: Mapping) -> Mapping:
+    return lambda r: F.concat(_some(_turn("system", r.text("system")), F.coalesce(r.text("system"), F.lit("")) != ""), inner(r))
+
+
+def _parts_joined(parts: Column) -> Column:
+    return F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "")
+
+
+class TypedRecord:
+    """Reads a mapping's fields from typed columns; a field that isn't there is null."""
+
+    def __init__(self, schema: T.StructType, field: Callable[[str], Column]):
+        self.schema, self.field = schema, field
+
+    def _said(self, value: Column, kind: T.DataType) -> Column:
+        """A text, or content parts whose texts are joined."""
+        if isinstance(kind, T.VariantType):
+            return _variant_text(value)
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and "text" in kind.elementType.names:
+            return _parts_joined(value)
+        return value.cast("string")
+
+    def text(self, name: str) -> Column:
+        return self._said(self.field(name), self.schema[name].dataType) if name in self.schema.names else F.lit(None).cast("string")
+
+    def items(self, name: str, role: str, text: str, turn: str | None = None) -> Column:
+        kinds = self.schema[name].dataType.elementType
+        if not isinstance(kinds, T.StructType):
+            return F.transform(self.field(name), lambda m: _item(F.lit(None).cast("string"), m.cast("string")))
+
+        def item(m: Column) -> Column:
+            def of(n: str) -> Column:
+                return self._said(m[n], kinds[n].dataType) if n in kinds.names else F.lit(None).cast("string")
+
+            return _item(of(role), of(text), m[turn].cast("long") if turn else None)
+
+        return F.transform(self.field(name), item)
+
+
+def _item(role: Column, text: Column, turn: Column | None = None) -> Column:
+    first = [] if turn is None else [turn.alias("turn")]
+    return F.struct(*first, F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+
+
+def _variant_text(v: Column) -> Column:
+    """A text, or content parts whose texts are joined; other values as JSON."""
+    parts = F.try_variant_get(v, "$", "array<struct<text:string>>")
+    return F.when(F.contains(F.schema_of_variant(v), F.lit("text: STRING")) & parts.isNotNull(), _parts_joined(parts)).otherwise(F.try_variant_get(v, "$", "string"))
+
+
+class VariantRecord:
+    """Reads a mapping's fields from a variant, by row."""
+
+    def __init__(self, record: Column):
+        self.record = record
+
+    def text(self, name: str) -> Column:
+        return _variant_text(F.try_variant_get(self.record, f"$.{name}", "variant"))
+
+    def items(self, name: str, role: str, text: str, turn: str | None = None) -> Column:
+        fields = f"`{role}`:string,`{text}`:variant" + (f",`{turn}`:bigint" if turn else "")
+        found = F.transform(F.try_variant_get(self.record, f"$.{name}", f"array<struct<{fields}>>"), lambda m: _item(m[role], _variant_text(m[text]), m[turn] if turn else None))
+        kinds = F.transform(F.try_variant_get(self.record, f"$.{name}", "array<variant>"), F.schema_of_variant)
+        return F.when(F.forall(kinds, lambda k: k.startswith("OBJECT<")), found)
+
+
+Record = TypedRecord | VariantRecord
+Mapping = Callable[[Record], Column]
 
 
 @dataclass(frozen=True)
 class Layout:
     name: str
-    schema: str
-    turns: Callable[[Callable[[str], Column]], Column]
+    paths: tuple[str, ...]
+    turns: Mapping
+    optional: tuple[str, ...] = ()
 
-    def struct(self) -> T.StructType:
-        return T._parse_datatype_string(self.schema)
 
-
-#: The declarative mappings.
+#: The declarative mappings. Of those that fit a record the one with most paths counts; lists of any other elements are left to the shorter ones.
 LAYOUTS = (
-    Layout("rows by turn", "rows array<struct<turn:bigint,role:string,text:string>>", _rows),
-    Layout("messages", "messages array<struct<role:string,content:string>>", _list("messages", "role", "content")),
-    Layout("from and value", "conversations array<struct<`from`:string,value:string>>", _list("conversations", "from", "value")),
-    Layout("system, from and value", "system string, conversations array<struct<`from`:string,value:string>>", _with_system(_list("conversations", "from", "value"))),
-    Layout("instruction", "instruction string, input string, output string", _instruction),
-    Layout("prompt and completion", "prompt string, completion string", _pair("prompt", "completion")),
-    Layout("prompt and response", "prompt string, response string", _pair("prompt", "response")),
-    Layout("system, prompt and response", "system string, prompt string, response string", _with_system(_pair("prompt", "response"))),
-    Layout("question and answer", "question string, answer string", _pair("question", "answer")),
+    Layout("rows by turn", ("rows[]", "rows[].turn", "rows[].role", "rows[].text"), _rows),
+    Layout("messages", ("messages[]", "messages[].role", "messages[].content"), _list("messages", "role", "content"), ("messages[].content[]", "messages[].content[].text", "messages[].content[].type")),
+    Layout("from and value", ("conversations[]", "conversations[].from", "conversations[].value"), _list("conversations", "from", "value")),
+    Layout("system, messages", ("system", "messages[]", "messages[].role", "messages[].content"), _with_system(_list("messages", "role", "content")), ("messages[].content[]", "messages[].content[].text", "messages[].content[].type")),
+    Layout("system, from and value", ("system", "conversations[]", "conversations[].from", "conversations[].value"), _with_system(_list("conversations", "from", "value"))),
+    Layout("no messages", ("messages[]",), _no_items("messages")),
+    Layout("no conversations", ("conversations[]",), _no_items("conversations")),
+    Layout("instruction", ("instruction", "output"), _instruction, ("input",)),
+    Layout("prompt and completion", ("prompt", "completion"), _pair("prompt", "completion")),
+    Layout("prompt and response", ("prompt", "response"), _pair("prompt", "response")),
+    Layout("system, prompt and response", ("system", "prompt", "response"), _with_system(_pair("prompt", "response"))),
+    Layout("question and answer", ("question", "answer"), _pair("question", "answer")),
+    Layout("preferred answer", ("prompt", "chosen", "rejected"), _pair("prompt", "chosen")),
+    Layout("preferred messages", ("chosen[]", "chosen[].role", "chosen[].content"), _list("chosen", "role", "content"), ("prompt", "rejected", "rejected[]", "rejected[].role", "rejected[].content")),
 )
+#: Paths that mappings know; a record's others take no part in its fingerprint. A list's own name goes with its elements.
+KNOWN = tuple(sorted({p for x in LAYOUTS for p in (*x.paths, *x.optional)} | {p[:-2] for x in LAYOUTS for p in (*x.paths, *x.optional) if p.endswith("[]")}))
+BY_PATHS = sorted(LAYOUTS, key=lambda x: -len(x.paths))
 
 
-def field_paths(schema: T.StructType) -> list[str]:
-    """Sorted paths: a field's name, and for a list of records name[](fields)."""
-    out = []
-    for f in schema:
-        inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else None
-        out.append(f.name + (f"[]({','.join(sorted(inner.names))})" if isinstance(inner, T.StructType) else ""))
-    return sorted(out)
+def field_paths(schema: T.DataType, prefix: str = "") -> list[str]:
+    """Sorted nested paths: a.b for a field of a record, a[] for a list's elements, a[].b for their fields."""
+    if isinstance(schema, T.ArrayType):
+        return sorted([f"{prefix}[]", *field_paths(schema.elementType, f"{prefix}[]")])
+    if not isinstance(schema, T.StructType):
+        return []
+    names = [(f"{prefix}.{f.name}" if prefix else f.name, f.dataType) for f in schema]
+    return sorted(x for name, kind in names for x in (name, *field_paths(kind, name)))
 
 
-def fingerprint(schema: T.StructType) -> str:
-    return hashlib.sha256("\n".join(field_paths(schema)).encode()).hexdigest()[:16]
+def fingerprint(paths: list[str]) -> str:
+    return hashlib.sha256("\n".join(sorted({*paths} & {*KNOWN})).encode()).hexdigest()[:16]
 
 
-def json_fingerprint(record: Column) -> Column:
-    """The fingerprint of a JSON object, by row; null if it is no object. A list's fields are those of its first record."""
-    keys = F.json_object_keys(record)
+def _own_fingerprints() -> dict[str, str]:
+    """Fingerprint to mapping of records with a mapping's paths, with and without all optional ones."""
+    out = {}
+    for x in reversed(BY_PATHS):
+        for paths in (x.paths, (*x.paths, *x.optional)):
+            lists = [p[:-2] for p in paths if p.endswith("[]")]
+            out[fingerprint([*paths, *lists])] = x.name
+    return out
 
-    def path(key: Column) -> Column:
-        inner = F.json_object_keys(F.call_function("get_json_object", record, F.concat(F.lit("$['"), key, F.lit("'][0]"))))
-        return F.concat(key, F.coalesce(F.concat(F.lit("[]("), F.array_join(F.array_sort(inner), ","), F.lit(")")), F.lit("")))
 
-    return F.substring(F.sha2(F.array_join(F.array_sort(F.transform(keys, path)), "\n"), 256), 1, 16)
+OWN = _own_fingerprints()
 
 
-def turns_of(record_schema: T.StructType, record: Callable[[str], Column]) -> Column:
-    """Canonical turns of a typed record, by the mapping that its fingerprint selects.
+def variant_paths(record: Column) -> Column:
+    """The sorted nested paths of a variant, as field_paths has them, from its schema's text."""
+    tokens = F.regexp_extract_all(F.schema_of_variant(record), F.lit("(?:`(?:[^`]|``)*`|[^<>,:` ]+): |OBJECT<|ARRAY<|>"), F.lit(0))
+    start = F.struct(F.array(F.lit("")).alias("open"), F.lit("").alias("at"), F.array().cast("array<string>").alias("out"))
 
-    Fields that no mapping knows are left aside: of the layouts whose paths the
-    record has, the one with most paths is taken.
-    """
-    exact = {fingerprint(layout.struct()): layout for layout in LAYOUTS}
-    layout = exact.get(fingerprint(record_schema))
-    if layout is None:
-        have = {p: None for p in field_paths(record_schema)}
-        fits = [x for x in LAYOUTS if all(p in have for p in field_paths(x.struct()))]
-        if not fits:
-            raise ValueError(f"no mapping for {field_paths(record_schema)}")
-        layout = max(fits, key=lambda x: len(field_paths(x.struct())))
-    return layout.turns(record).cast(TURN)
+    def step(acc: Column, token: Column) -> Column:
+        top = F.element_at(acc["open"], -1)
+        name = F.regexp_replace(F.substr(token, F.lit(1), F.length(token) - 2), "^`|`$", "")
+        field = F.when(top == "", name).otherwise(F.concat(top, F.lit("."), name))
+        inner = F.concat(acc["at"], F.lit("[]"))
+        make = lambda o, a, x: F.struct(o.alias("open"), a.alias("at"), x.alias("out"))
+        return (
+            F.when(token == "OBJECT<", make(F.concat(acc["open"], F.array(acc["at"])), acc["at"], acc["out"]))
+            .when(token == "ARRAY<", make(F.concat(acc["open"], F.array(inner)), inner, F.concat(acc["out"], F.array(inner))))
+            .when(token == ">", make(F.slice(acc["open"], 1, F.size(acc["open"]) - 1), top, acc["out"]))
+            .otherwise(make(acc["open"], field, F.concat(acc["out"], F.array(field))))
+        )
 
+    return F.array_sort(F.array_distinct(F.aggregate(tokens, start, step)["out"]))
 
-def json_turns(record: Column) -> Column:
-    """Canonical turns of JSON records of mixed layouts; null where no mapping fits."""
-    print_ = json_fingerprint(record)
+
+def path_fingerprint(paths: Column) -> Column:
+    """fingerprint() of a column of sorted paths."""
+    known = F.array(*map(F.lit, KNOWN))
+    return F.substring(F.sha2(F.array_join(F.array_intersect(known, paths), "\n"), 256), 1, 16)
+
+
+def path_layout(paths: Column) -> Column:
+    """The mapping's name that the fingerprint selects; null if none fits."""
+    own = F.create_map(*(F.lit(x) for pair in OWN.items() for x in pair))
+    fits = F.lit(None).cast("string")
+    for x in reversed(BY_PATHS):
+        fits = F.when(F.size(F.array_intersect(paths, F.array(*map(F.lit, x.paths)))) == len(x.paths), x.name).otherwise(fits)
+    return F.coalesce(F.try_element_at(own, path_fingerprint(paths)), fits)
+
+
+def turns_of(schema: T.StructType, field: Callable[[str], Column]) -> Column:
+    """Canonical turns of a typed record, by the mapping that its fingerprint selects; a ValueError if none fits."""
+    paths = field_paths(schema)
+    name = OWN.get(fingerprint(paths)) or next((x.name for x in BY_PATHS if {*x.paths} <= {*paths}), "no ")
+    if name.startswith("no "):  # a type can't tell that its list is empty
+        raise ValueError(f"no mapping for {paths}")
+    return next(x for x in LAYOUTS if x.name == name).turns(TypedRecord(schema, field)).cast(TURN)
+
+
+def variant_turns(record: Column, layout: Column) -> Column:
+    """Canonical turns of a variant by its mapping's name; null without one, or where the record's values don't have the mapping's types."""
     out = F.lit(None).cast(TURN)
-    for layout in LAYOUTS:
-        parsed = F.from_json(record, layout.struct())
-        out = F.when(print_ == fingerprint(layout.struct()), layout.turns(lambda f, p=parsed: p[f]).cast(TURN)).otherwise(out)
+    for x in LAYOUTS:
+        out = F.when(layout == x.name, x.turns(VariantRecord(record)).cast(TURN)).otherwise(out)
     return out
 
 
+def json_turns(record: Column) -> Column:
+    """Canonical turns of JSON records of mixed layouts; null where no mapping fits. format_json tells which."""
+    parsed = F.try_parse_json(record)
+    return variant_turns(parsed, path_layout(variant_paths(parsed)))
+
+
+def format_json(records: DataFrame, record: str = "record", conversation: str = "conv_id") -> DataFrame:
+    """conv_id, fingerprint, layout, formatted and loss_spans of JSON records, one row for each record.
+
+    layout is "unmapped" where no mapping fits, the record is null or no JSON object, or its lists
+    hold other things than records; such a row has null formatted and loss_spans, and unmapped() counts them.
+    Fields that no mapping knows are left aside. Null roles and texts are
+    empty, null and repeated ids keep their rows; no records, no rows.
+    """
+    parsed = records.select(F.col(conversation).alias("conv_id"), F.try_parse_json(record).alias("v"))
+    paths = parsed.select("conv_id", "v", variant_paths(F.col("v")).alias("paths"))
+    named = paths.select("conv_id", "v", path_fingerprint(F.col("paths")).alias("fingerprint"), path_layout(F.col("paths")).alias("layout"))
+    turns = named.select("conv_id", "fingerprint", "layout", variant_turns(F.col("v"), F.col("layout")).alias("turns"))
+    good = F.col("turns").isNotNull()
+    return turns.select(
+        "conv_id", "fingerprint", F.when(good, F.col("layout")).otherwise("unmapped").alias("layout"),
+        F.when(good, format_turns(F.col("turns"))).alias("formatted"), F.when(good, loss_spans(F.col("turns"))).alias("loss_spans"),
+    )
+
+
+def unmapped(formatted: DataFrame) -> DataFrame:
+    """fingerprint and records: how many records of format_json no mapping fitted."""
+    return formatted.where("layout = 'unmapped'").groupBy("fingerprint").agg(F.count("*").alias("records"))
+
+
 def gather_rows(rows: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One record for each conversation from rows by turn: conv_id, rows."""
     one = F.struct(F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
