@@ -19,10 +19,13 @@ BROADCAST_BYTES = 48 << 20
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for cut lineage: spark.checkpoint.dir.
 
-    Only where the session has none (local tests) is a local folder set.
+    A local session without that setting (tests) gets a local folder; on a
+    cluster executors would write to disks of their own, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="threatlake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -32,18 +35,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     The copy is replicated by the file system, so losing an executor loses
-    nothing, and what nondeterminism df has is fixed from here on.
+    nothing, and what nondeterminism df has is fixed from here on. release() deletes it.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/threatlake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes what this application has materialized; results that still read it are then lost."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/threatlake/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def release(*tables: DataFrame) -> None:
+    """Deletes tables of materialize() that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -84,8 +91,13 @@ def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
 
 
 def block_count(df: DataFrame, target: int, least: int = 8, most: int = 1 << 20) -> int:
-    """How many blocks of about `target` bytes of Parquet the input makes."""
-    return max(least, min(most, -(-plan_bytes(df) // target)))
+    """How many blocks of about `target` bytes of Parquet the input makes.
+
+    A join's estimate can be its sides' product, so the files that df reads bound it.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return max(least, min(most, -(-min(plan_bytes(df), files) // target)))
 
 
 def blocked(docs: DataFrame, count: int, *keys: str) -> DataFrame:

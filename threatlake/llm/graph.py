@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -38,6 +38,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if last == seen or not seen.n:
             roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        last = seen
+        last, before = seen, now
         now = materialize(_star(_star(now, True), False), "edges")
+        release(before)
     raise RuntimeError("components did not settle")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, column, map_columns, materialize
+from .common import BROADCAST_BYTES, column, map_columns, materialize, release
 from .graph import components
 from .kernel import U64, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
 from .simhash import LOWER, chained, lane_bits
@@ -233,7 +233,9 @@ def _of_classes(needed: DataFrame, texts: DataFrame, size: int, of, kind: str) -
                 at += n
 
     made = texts.join(ids, "doc_id", "left_semi").mapInArrow(run, T.StructType([texts.schema["doc_id"], *T._parse_datatype_string(f"cls long, x {kind}").fields]))
-    return materialize(made.join(needed, ["doc_id", "cls"], "left_semi").groupBy("cls").agg(F.first("x").alias("x")), "of-classes")
+    out = materialize(made.join(needed, ["doc_id", "cls"], "left_semi").groupBy("cls").agg(F.first("x").alias("x")), "of-classes")
+    release(needed)
+    return out
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -243,7 +245,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     left, right = (sets.select(F.col("cls").alias(c), F.col("x").alias(x)) for c, x in (("a", "xa"), ("b", "xb")))
     shared = F.size(F.array_intersect("xa", "xb"))
     similar = shared >= F.lit(similarity) * (F.size("xa") + F.size("xb") - shared)
-    return materialize(pairs.join(left, "a").join(right, "b").where(similar).select("u", "v"), "links")
+    links = materialize(pairs.join(left, "a").join(right, "b").where(similar).select("u", "v"), "links")
+    release(sets)
+    return links
 
 
 def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -305,9 +309,10 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
         rest = keyed.join(large, "key", "left_semi").join(classes.select("cls", "node", "n", "bands"), "cls").join(found, "node", "left")
         rest = materialize(rest.withColumn("root", F.coalesce("root", "node")), "rest")
         mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-        rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
+        every, rest = rest, materialize(rest.join(mixed, "key", "left_semi"), "mixed")
         wide = _of_classes(materialize(rest.select(F.col("node").alias("doc_id"), "cls").distinct(), "needed"), texts, shingle_words, _wide, "binary")
         more = materialize(candidates(rest.join(wide.withColumnRenamed("x", "wide"), "cls"), True).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        release(every, rest, wide)
         if not more.isEmpty():
             found = components(edges.unionByName(_confirmed(more, texts, shingle_words, similarity)), "u", "v")
     same = prints.select("doc_id", "cls").join(classes.select("cls", "node"), "cls", "left").select("doc_id", "node")
