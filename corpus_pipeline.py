@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threatlake.llm.common import materialize
+from threatlake.llm.common import materialize, release
 from threatlake.llm.line_dedup import drop_common_lines
 from threatlake.llm.packing import pack
 from threatlake.llm.quality import judge, train
@@ -25,30 +25,49 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts have fewer than ten words and go; repeated rows and null
+    ids are judged like others; no documents, no rows. Other columns than those of documents aren't returned.
+    """
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judge(docs.select(*COLUMNS), model).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten documents or more share."""
+    """Documents without the lines that ten documents or more share.
+
+    Every document stays, if without text; null text comes back empty; repeated rows
+    count as documents of their own; no documents, no rows.
+    """
     return _documents(drop_common_lines(docs.select(*COLUMNS), min_docs=10))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near copies."""
+    """One document, that of the smallest doc_id, of each group of near copies.
+
+    Texts without words, null included, are copies of each other. Rows that repeat
+    a kept doc_id all stay; rows of null doc_id stay; no documents, no rows.
+    """
     found = similar_documents(docs, shingle_words=5, similarity=0.8)
     gone = found.where("doc_id > component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document has."""
+    """Documents without the passages of 13 words that an earlier document has.
+
+    Null text comes back empty; rows of null doc_id neither lose words nor cost others any; rows
+    that repeat a doc_id are judged alike; no documents, no rows.
+    """
     return _documents(remove_repeats(docs.select(*COLUMNS), window=13))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their place in sequences of 2048 tokens."""
+    """Pieces of the documents with their place in sequences of 2048 tokens.
+
+    Null text is one piece, the end id; null and repeated ids are documents like others; no documents, no rows.
+    """
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=1, window=2048)
@@ -61,7 +80,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            release(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
