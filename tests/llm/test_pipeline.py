@@ -54,6 +54,8 @@ def test_odd_documents(spark, odd):
         got = [r.doc_id for r in stage(spark, docs, DATA).select("doc_id").collect()]
         if name == "simhash":
             assert {*got} == ids - copies and wordless[0] in got and not {*wordless[1:]} & {*got}
+        elif name == "packing":  # a long document has several pieces
+            assert {*got} == ids
         else:
             assert sorted(got, key=str) == sorted((i for i, t, *_ in rows if kept[name](i, t)), key=str)
         assert stage(spark, docs.limit(0), DATA).count() == 0
