@@ -63,6 +63,27 @@ def test_enrich_and_maintain(spark, store):
     assert store.read("feed").where("id = 'f1'").first().etag is None
 
 
+def test_correlation_of_several_countries(spark):
+    """Events of one, several, repeated and no countries against every pair."""
+    import random
+    from datetime import date, timedelta
+
+    r, day = random.Random(6), date(2024, 1, 1)
+    events = [(k, day + timedelta(r.randrange(60)), [r.choice("ABCD") for _ in range(k % 4)]) for k in range(80)]
+    reports = sorted({(k, r.choice("ABCDE")) for k in range(60) for _ in range(3)})
+    dates = {k: day + timedelta(r.randrange(60)) for k in range(60)}
+    e = spark.createDataFrame(events, "event_id long, occurred_on date, countries array<string>")
+    c = spark.createDataFrame([(k, dates[k], x) for k, x in reports], "report_id long, report_date date, country string")
+    want = {(i, k) for i, at, own in events for k, x in reports if x in own and abs((dates[k] - at).days) <= 7}
+    assert sorted((x.event_id, x.report_id) for x in api.correlated_pairs(e, c, 7).collect()) == sorted(want)
+    days = (max(dates[k] for k, _ in reports) - min(dates[k] for k, _ in reports)).days + 1
+    for x in api.correlate(e, c, 7).collect():
+        at, own = next((a, o) for i, a, o in events if i == x.event_id)
+        mine = [dates[k] for i, k in want if i == x.event_id]
+        shared = len({k for k, y in reports if y in own})
+        assert (x.n_before, x.n_after, x.baseline) == (sum(d < at for d in mine), sum(d >= at for d in mine), round(shared / days * 7, 6))
+
+
 def test_attempts():
     good = json.dumps({"summary": "s", "confidence": "low"})
     client = clients.ScriptedClient(["no json", good])

@@ -27,6 +27,18 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
+def trimmed(text: Column) -> Column:
+    """Without white space of any kind at the ends."""
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+
+
+def casefold(text: Column) -> Column:
+    """Full case folding: lower case of upper case, where a final sigma is a sigma and a dotless i stays."""
+    dotless = F.lit("\ue000")
+    folded = F.lower(F.upper(F.replace(text, F.lit("ı"), dotless)))
+    return F.replace(F.replace(folded, F.lit("ς"), F.lit("σ")), dotless, F.lit("ı"))
+
+
 def content_hash(body: Column) -> Column:
     """SHA-256 of the white-space-collapsed body, lower-case hex."""
     return F.sha2(collapse(body), 256)
@@ -34,7 +46,7 @@ def content_hash(body: Column) -> Column:
 
 def name_key(name: Column) -> Column:
     """Case-folded, collapsed name for exact lookup."""
-    return collapse(F.replace(F.lower(name), F.lit("ß"), F.lit("ss")))
+    return collapse(casefold(name))
 
 
 def estimate_tokens(text: Column) -> Column:
@@ -55,7 +67,7 @@ def document_budget(max_input_tokens: int, prompt_chars: int) -> int:
 
 
 def technique_key(technique: Column) -> Column:
-    return F.upper(F.trim(technique))
+    return F.upper(trimmed(technique))
 
 
 def technique_shape(technique: Column) -> Column:
@@ -70,16 +82,6 @@ def technique_mentions(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?U)(?<!\w){TECHNIQUE}(?!\w)"), F.lit(0))
 
 
-def strip_fence(raw: Column) -> Column:
-    """The inside of one code fence around the whole response, trimmed."""
-    whole = r"(?s)^\s*```(?:json|JSON)?\s*(.*?)\s*```\s*$"
-    return F.trim(F.when(raw.rlike(whole), F.regexp_extract(raw, whole, 1)).otherwise(raw), F.lit(" \t\n\r\x0b\x0c"))
-
-
-def retry_prompt(user: Column, status: Column, error: Column) -> Column:
-    return F.concat(user, F.lit("\n\nThe previous answer was refused ("), status, F.lit("): "), error, F.lit("\nAnswer again with one JSON object and nothing else."))
-
-
 OPEN_MARK, CLOSE_MARK = "<<<DOCUMENT>>>", "<<<END DOCUMENT>>>"
 
 
@@ -104,7 +106,7 @@ SHAPES = {
 
 
 def refang(value: Column) -> Column:
-    value = F.trim(value)
+    value = trimmed(value)
     for written, plain in REFANG:
         value = F.replace(value, F.lit(written), F.lit(plain))
     return value
@@ -155,10 +157,6 @@ def defang_ioc(kind: Column, value: Column) -> Column:
     return F.struct(ok.alias("ok"), F.when(ok, defanged(kind, candidate)).alias("value_defanged"), reason.alias("reason"))
 
 
-def host_of(kind: Column, value: Column) -> Column:
-    return F.lower(F.when(kind == "url", F.split_part(F.split_part(value, F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))).when(kind == "email", F.substring_index(value, "@", -1)).otherwise(F.rtrim(value, F.lit("."))))
-
-
 def url_host(url: Column) -> Column:
     """Host of an https URL, lower case, without a trailing dot; null for any other."""
     host = F.rtrim(F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lit("."))
@@ -174,11 +172,6 @@ def thin(text: Column) -> Column:
     return F.length(F.coalesce(text, F.lit(""))) < THIN_CHARS
 
 
-def improved(old: Column, new: Column) -> Column:
-    """The new body if it is clearly longer, the old one otherwise."""
-    return F.when(F.length(new) >= F.length(F.coalesce(old, F.lit(""))) * IMPROVEMENT, new).otherwise(old)
-
-
 def evidence_verdict(haystack: Column, needle: Column) -> Column:
     """null if the quote stands, else why not. Both sides are canonical."""
     return (
@@ -192,11 +185,6 @@ def evidence_verdict(haystack: Column, needle: Column) -> Column:
 FOLD_FROM, FOLD_TO = "‘’‚“”„–—−­​﻿", "'''\"\"\"---"
 
 
-def fold(text: Column) -> Column:
-    """Canonical form of text that is already in NFKC."""
-    return collapse(F.translate(text, FOLD_FROM, FOLD_TO))
-
-
 def _alternation(terms: Iterable[str]) -> str:
     """Longest first, so that a longer name is not cut short by a shorter one."""
     return "|".join(re.sub(r"([.&+*?()\[\]{}|^$\\])", r"\\\1", t) for t in sorted(terms, key=lambda t: (-len(t), t)))
@@ -265,7 +253,7 @@ def truncated(stop_reason: Column) -> Column:
 
 
 def shortened(message: Column, limit: int = 200) -> Column:
-    first = F.split_part(F.trim(message), F.lit("\n"), F.lit(1))
+    first = F.split_part(trimmed(message), F.lit("\n"), F.lit(1))
     return F.when(F.length(first) > limit, F.concat(F.substring(first, 1, limit - 1), F.lit("…"))).otherwise(first)
 
 

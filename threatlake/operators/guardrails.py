@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.udfs import best_match, canonicalize
+from ..functions.udfs import Names, canonicalize
 
 FUZZY_THRESHOLD = 0.9
 
@@ -59,12 +59,14 @@ def resolve_actors(mentions: DataFrame, index: DataFrame, column: str = "name",
     if index.limit(MOST_NAMES + 1).count() > MOST_NAMES:
         raise ValueError(f"an actor index has at most {MOST_NAMES} names")
     listed = index.orderBy("ordinal").select("name_key", "actor_id").collect()
-    names, ids = [r.name_key for r in listed], [r.actor_id for r in listed]
+    ids = [r.actor_id for r in listed]
+    names = mentions.sparkSession.sparkContext.broadcast([r.name_key for r in listed])
     id_type = index.schema["actor_id"].dataType.simpleString()
 
     def compare(batches):
+        known = Names(names.value)
         for batch in batches:
-            got = [best_match(k, names) for k in batch["__key"]]
+            got = [known.best(k) for k in batch["__key"]]
             yield pd.DataFrame({"__key": batch["__key"], "__best": [ids[i] if i >= 0 else None for i, _ in got], "__score": [s if i >= 0 else None for i, s in got]})
 
     near = missed.mapInPandas(compare, f"__key string, __best {id_type}, __score double")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..functions.vocabulary import ATTRIBUTION, CONFIDENCE
 
 SUMMARY_CHARS = 600
@@ -21,7 +22,7 @@ def rank_of(value: Column, order: tuple[str, ...]) -> Column:
 
 def merge_summaries(parts: Column) -> Column:
     """Trimmed parts joined by spaces and cut at a sentence end, at most 600 characters."""
-    joined = F.array_join(F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != ""), " ")
+    joined = F.array_join(F.filter(F.transform(parts, X.trimmed), lambda p: p != ""), " ")
     head = F.substring(joined, 1, SUMMARY_CHARS)
     back = F.reverse(head)
     last = F.greatest(*(F.when(F.instr(back, f" {m}") > 0, F.lit(SUMMARY_CHARS) - F.instr(back, f" {m}") - 1).otherwise(-1) for m in ".!?"))
@@ -48,7 +49,7 @@ def merge_lists(extractions: DataFrame, doc: str = "document_id") -> dict[str, D
     counts = extractions.groupBy(doc).agg(F.countDistinct("chunk").alias("chunks"))
     rows = {f: mentions(extractions, f, doc).join(counts, doc) for f in ("actors", "techniques", "targets", "iocs")}
     return {
-        "actors": _first(rows["actors"], [F.lower("name")], doc, rank_of(F.col("attribution_confidence"), ATTRIBUTION).desc()),
+        "actors": _first(rows["actors"], [X.casefold(F.col("name"))], doc, rank_of(F.col("attribution_confidence"), ATTRIBUTION).desc()),
         "techniques": _first(rows["techniques"], [F.col("technique_id")], doc),
         "targets": _first(rows["targets"], [F.col("country"), F.col("sector")], doc),
         "iocs": _first(rows["iocs"], [F.col("kind"), F.col("value")], doc),

@@ -13,11 +13,6 @@ def confusion(predicted: DataFrame, gold: DataFrame, keys: tuple[str, ...] = ("d
     return each.groupBy(*keys).agg(*(F.sum(F.when(c, 1).otherwise(0)).cast("long").alias(n) for n, c in (("tp", F.expr("p = 1 and g = 1")), ("fp", F.expr("p = 1 and g = 0")), ("fn", F.expr("p = 0 and g = 1")))))
 
 
-def set_confusion(predicted: Column, gold: Column) -> Column:
-    """struct<tp, fp, fn> of two arrays as sets."""
-    return F.struct(F.size(F.array_intersect(predicted, gold)).alias("tp"), F.size(F.array_except(predicted, gold)).alias("fp"), F.size(F.array_except(gold, predicted)).alias("fn"))
-
-
 def precision(tp: Column, fp: Column, fn: Column) -> Column:
     """No prediction is perfect only if nothing was missed."""
     return F.when(tp + fp == 0, F.when(fn == 0, 1.0).otherwise(0.0)).otherwise(tp / (tp + fp))

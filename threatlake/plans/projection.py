@@ -63,8 +63,7 @@ class Tables:
         return self.read("orders").join(c, "o_custkey").select(F.col("o_orderkey").alias("report_id"), "country", "sector")
 
     def geo_event(self) -> DataFrame:
-        e = self.read("events").where("event_id % 50 = 0")
-        return e.select("event_id", F.date_add(F.lit("1996-01-01").cast("date"), (F.col("event_id") % 1800).cast("int")).alias("occurred_on"), F.col("event_type").alias("kind"), F.array(self.code(F.col("user_id") % 25)).alias("countries"))
+        return self.read("events").select("event_id", F.date_add(F.lit("1996-01-01").cast("date"), (F.col("event_id") % 1800).cast("int")).alias("occurred_on"), F.col("event_type").alias("kind"), F.array(self.code(F.col("user_id") % 25)).alias("countries"))
 
     def feeds(self) -> DataFrame:
         return self.read("documents").select(F.col("source").alias("id")).distinct().select("id", F.col("id").alias("name"), F.lit("rss").alias("kind"))
@@ -95,7 +94,7 @@ SQL = {
     "mentions": "select l_orderkey as report_id, l_linenumber as pos, 'T' || (1000 + l_partkey % 600) || case when l_linenumber % 2 = 0 then '.00' || l_linenumber else '' end as technique_id, l_partkey from lineitem",
     "techniques": "select distinct technique_id from mentions where l_partkey % 5 <> 0",
     "report_target": "select o_orderkey as report_id, 'N' || chr(cast(65 + c_nationkey as int)) as country, case c_mktsegment when 'MACHINERY' then 'industrial' when 'BUILDING' then 'Energy Sector' when 'AUTOMOBILE' then 'aviation' when 'HOUSEHOLD' then 'healthcare' when 'FURNITURE' then 'aerospace parts' end as sector from orders join customer on o_custkey = c_custkey",
-    "geo_event": "select event_id, date '1996-01-01' + cast(event_id % 1800 as int) as occurred_on, event_type as kind, 'N' || chr(cast(65 + user_id % 25 as int)) as country from events where event_id % 50 = 0",
+    "geo_event": "select event_id, date '1996-01-01' + cast(event_id % 1800 as int) as occurred_on, event_type as kind, 'N' || chr(cast(65 + user_id % 25 as int)) as country from events",
     "report_country": "select distinct p.report_id, report_date, country from (select report_id, country from report_target union all select report_id, origin from report_actor join threat_actor using (actor_id)) p join report using (report_id)",
     "pairs": "select distinct event_id, occurred_on, report_id, report_date from geo_event join report_country using (country) where report_date between occurred_on - 14 and occurred_on + 14",
     "runs": "select event_id as id, user_id as document_id, ts as started_at, case event_type when 'click' then 'invalid_json' when 'signup' then 'schema_fail' when 'error' then 'api_error' else 'ok' end as status, value from events",

@@ -106,12 +106,12 @@ def needs_enrichment(t: Tables) -> DataFrame:
     return enrich.pending(t.documents(), t.read("labels").select(F.col("doc_id").alias("document_id"))).select("id")
 
 
-_POLLED = "select source as name, max(ts) as polled from (select distinct source from documents) s left join events e on e.user_id % 20 = cast(substring(source, 4) as bigint) and e.event_type = 'click' and e.user_id < 10 group by source"
+_POLLED = "select source as name, max(ts) as polled from (select distinct source from documents) s left join events e on e.user_id % 20 = cast(substring(source, 4) as bigint) and e.event_type = 'click' group by source"
 
 
 @query(f"select name from ({_POLLED}) where polled is null or date_diff('second', polled, timestamp '2024-01-31 12:00:00') / 60.0 >= 2880")
 def due_feeds(t: Tables) -> DataFrame:
-    e = t.read("events").where("event_type = 'click' and user_id < 10").select(F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("name"), F.col("ts").cast("timestamp").alias("ts"))
+    e = t.read("events").where("event_type = 'click'").select(F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("name"), F.col("ts").cast("timestamp").alias("ts"))
     polled = e.groupBy("name").agg(F.max("ts").alias("last_polled_at"))
     rows = t.feeds().select("name").join(polled, "name", "left").withColumns({"enabled": F.lit(True), "poll_interval_minutes": F.lit(2880)})
     return feeds.due(rows, "2024-01-31 12:00:00").select("name")
@@ -123,7 +123,9 @@ _HASHED = f"select doc_id, source, sha256(trim(regexp_replace(text, '{WS}+', ' '
 @query(f"select source as feed_id, content_hash, min(doc_id) as id, count(*)::bigint as copies from ({_HASHED}) group by all")
 def content_hash_dedup(t: Tables) -> DataFrame:
     rows = t.documents().select("feed_id", "id", X.content_hash(F.col("clean_text")).alias("content_hash"))
-    return rows.groupBy("feed_id", "content_hash").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    copies = rows.groupBy("feed_id", "content_hash").agg(F.count("*").alias("copies"))
+    first = S.insert_if_absent(rows.limit(0), rows, ["feed_id", "content_hash"], ["id"])
+    return first.alias("f").join(copies.alias("c"), F.col("f.feed_id").eqNullSafe(F.col("c.feed_id")) & F.col("f.content_hash").eqNullSafe(F.col("c.content_hash"))).select("f.feed_id", "f.content_hash", "id", "copies")
 
 
 @query(f"with h as ({_HASHED}) select source as feed_id, content_hash, min(doc_id) as id from h where doc_id % 2 = 1 and not exists (select 1 from h o where o.doc_id % 2 = 0 and o.source = h.source and o.content_hash = h.content_hash) group by all")
@@ -221,26 +223,43 @@ def actor_review_queue(t: Tables) -> DataFrame:
     case max(k) when 3 then 'confirmed_by_source' when 2 then 'likely' else 'suspected' end as strongest from r group by all""")
 def report_actor_dedup(t: Tables) -> DataFrame:
     flag = F.col("l_returnflag")
-    rows = t.read("lineitem").select(F.col("l_orderkey").alias("report_id"), F.col("l_suppkey").alias("actor_id"), F.col("l_linenumber").alias("pos"), F.when(flag == "A", "confirmed_by_source").when(flag == "R", "likely").otherwise("suspected").alias("a"))
-    return rows.groupBy("report_id", "actor_id").agg(F.min_by("a", F.struct("pos", merge.rank_of(F.col("a"), ATTRIBUTION))).alias("first_mention"), F.max_by("a", merge.rank_of(F.col("a"), ATTRIBUTION)).alias("strongest"))
+    said = F.when(flag == "A", "confirmed_by_source").when(flag == "R", "likely").otherwise("suspected")
+    rows = t.read("lineitem").select(F.col("l_orderkey").alias("report_id"), F.col("l_suppkey").alias("actor_id"), F.col("l_linenumber").alias("pos"), said.alias("attribution_confidence"))
+    first = S.first_by_key(rows.withColumn("rank", merge.rank_of(F.col("attribution_confidence"), ATTRIBUTION)), ["report_id", "actor_id"], ["pos", "rank"]).select("report_id", "actor_id", F.col("attribution_confidence").alias("first_mention"))
+    # One chunk more than the report has, so that the merge doesn't pass its mentions through.
+    named = rows.select("report_id", (F.col("pos") % 2).alias("chunk"), F.struct(F.col("actor_id").cast("string").alias("name"), "attribution_confidence").alias("m"), "pos")
+    lists = named.groupBy("report_id", "chunk").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda x: x["m"]).alias("actors"))
+    found = lists.unionByName(rows.select("report_id", F.lit(2).alias("chunk"), F.array().cast("array<struct<name:string,attribution_confidence:string>>").alias("actors")).distinct())
+    empty = {"techniques": "array<struct<technique_id:string,evidence_quote:string>>", "targets": "array<struct<country:string,sector:string>>", "iocs": "array<struct<kind:string,value:string>>"}
+    extracted = found.select("report_id", "chunk", F.struct("actors", *(F.array().cast(k).alias(n) for n, k in empty.items())).alias("extraction"))
+    best = merge.merge_lists(extracted, "report_id")["actors"].select("report_id", F.col("name").cast(rows.schema["actor_id"].dataType).alias("actor_id"), F.col("attribution_confidence").alias("strongest"))
+    return first.join(best, ["report_id", "actor_id"])
 
 
 @query(f"select item_id, doc_id from (select item_id, trim(regexp_replace(text, '{WS}+', ' ', 'g')) q from benchmark) b, (select doc_id, trim(regexp_replace(text, '{WS}+', ' ', 'g')) h from documents) d where length(q) >= 20 and contains(h, q)")
 def evidence_quote_check(t: Tables) -> DataFrame:
     """Which documents hold which passages: whole words of the quote meet first, then the verdict decides.
 
-    The quote's second to seventh words are whole words of any text that holds it, so runs of six
-    words are an equi-join key; shorter quotes meet on their second word.
+    The quote's second to last but one words are whole words of any text that holds it, so runs of six
+    words are an equi-join key, kept only if a quote has it: the quotes' keys are the first join's broadcastable
+    side of distinct hashes. Shorter quotes meet on their second word, and those of one or two words,
+    which may lie inside a longer word, on their first 20 characters.
     """
-    quotes = t.read("benchmark").select("item_id", U.canonicalize("text").alias("quote")).withColumn("w", F.split("quote", " "))
+    quotes = t.read("benchmark").select("item_id", U.canonicalize("text").alias("quote")).where(F.length("quote") >= X.MIN_QUOTE_CHARS).withColumn("w", F.split("quote", " "))
     texts = t.read("documents").select("doc_id", U.canonicalize("text").alias("hay"))
-    runs = texts.withColumn("w", F.split("hay", " ")).select("doc_id", F.explode(F.when(F.size("w") >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 6), " ")))))).alias("key"))
+    words = F.split("hay", " ")
+    runs = texts.select("doc_id", F.explode(F.when(F.size(words) >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - 5), lambda i: F.xxhash64(F.array_join(F.slice(words, i, 6), " ")))))).alias("key"))
     long = quotes.where(F.size("w") >= 8).select("item_id", F.xxhash64(F.array_join(F.slice("w", 2, 6), " ")).alias("key"))
-    pairs = runs.join(long, "key").select("item_id", "doc_id").distinct()
-    short = quotes.where(F.size("w") < 8).where(F.size("w") >= 3).select("item_id", F.element_at("w", 2).alias("word"))
-    words = texts.select("doc_id", F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
-    pairs = pairs.unionByName(words.join(short, "word").select("item_id", "doc_id")).distinct()
-    both = pairs.join(quotes.select("item_id", "quote"), "item_id").join(texts, "doc_id")
+    pairs = runs.join(long, "key").select("item_id", "doc_id")
+    short = quotes.where(F.size("w").between(3, 7)).select("item_id", F.element_at("w", 2).alias("word"))
+    if not short.isEmpty():
+        pairs = pairs.unionByName(texts.select("doc_id", F.explode(F.array_distinct(words)).alias("word")).join(short, "word").select("item_id", "doc_id"))
+    least = X.MIN_QUOTE_CHARS
+    few = quotes.where(F.size("w") < 3).select("item_id", F.substring("quote", 1, least).alias("gram"))
+    if not few.isEmpty():
+        grams = F.when(F.length("hay") >= least, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("hay") - least + 1), lambda i: F.substr(F.col("hay"), i, F.lit(least)))))
+        pairs = pairs.unionByName(texts.select("doc_id", F.explode(grams).alias("gram")).join(few, "gram").select("item_id", "doc_id"))
+    both = pairs.distinct().join(quotes.select("item_id", "quote"), "item_id").join(texts, "doc_id")
     return both.where(X.evidence_verdict(F.col("hay"), F.col("quote")).isNull()).select("item_id", "doc_id")
 
 
@@ -294,9 +313,13 @@ def article_extract(t: Tables) -> DataFrame:
     return a.select("page_id", F.length(U.html_text("article")).cast("long").alias("article_chars"), F.length(U.html_text("html")).cast("long").alias("page_chars"), X.thin(F.lit(None).cast("string")).alias("fetch"))
 
 
+#: Documents of a source that make one feed body, by ranges of their ids, so that a hot source is no single body.
+BODY_DOCUMENTS = 500
+
+
 def _feed_bodies(t: Tables, kind: str) -> DataFrame:
-    """A feed body for each source of the documents' first characters."""
-    d = t.read("documents").where("doc_id % 7 = 0" if kind == "json" else "doc_id % 10 = 0").select("source", "doc_id", F.regexp_replace(F.substring("text", 1, 80), r"[<>&\"'\\\x00-\x1f]", " ").alias("text"))
+    """Feed bodies of every document's whole text, one for each source and range of ids."""
+    d = t.read("documents").select("source", "doc_id", F.floor(F.col("doc_id") / BODY_DOCUMENTS).alias("part"), F.regexp_replace(F.coalesce("text", F.lit("")), r"[<>&\"'\\\x00-\x08\x0b-\x1f\ufffe\uffff]", " ").alias("text"))
     n = F.col("doc_id").cast("string")
     if kind == "rss":
         item, head, tail = F.concat(F.lit("<item><title>t"), n, F.lit("</title><link>https://f.example/"), n, F.lit("</link><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate><description>"), "text", F.lit("</description></item>")), "<rss><channel>", "</channel></rss>"
@@ -304,7 +327,7 @@ def _feed_bodies(t: Tables, kind: str) -> DataFrame:
         item, head, tail = F.concat(F.lit("<entry><title>t"), n, F.lit('</title><link href="https://f.example/'), n, F.lit('"/><updated>2024-01-01T10:00:00Z</updated><summary>'), "text", F.lit("</summary></entry>")), '<feed xmlns="http://www.w3.org/2005/Atom">', "</feed>"
     else:
         item, head, tail = F.concat(F.lit('{"value": "t'), n, F.lit('"}')), '{"description": "d", "values": [', "]}"
-    joined = d.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("x")))), lambda r: r["x"]), "," if kind == "json" else "").alias("x"))
+    joined = d.groupBy("source", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("x")))), lambda r: r["x"]), "," if kind == "json" else "").alias("x"))
     return joined.select(F.col("source").alias("feed_id"), F.lit(kind).alias("kind"), F.concat(F.lit("https://"), "source", F.lit(".example")).alias("url"), F.col("source").alias("name"), F.concat(F.lit(head), "x", F.lit(tail)).cast("binary").alias("body"))
 
 
@@ -315,13 +338,14 @@ def _parsed(t: Tables, kind: str) -> DataFrame:
 for _kind in ("rss", "atom"):
 
     def _entries(t: Tables, kind: str = _kind) -> DataFrame:
-        return _parsed(t, kind).select("feed_id", "source_url", "title", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("published"))
+        return _parsed(t, kind).select("feed_id", "source_url", "title", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("published"), F.sha2(X.collapse(F.col("clean_text")), 256).alias("text_sha256"))
 
     _entries.__name__ = f"{_kind}_parse"
-    query("select source as feed_id, 'https://f.example/' || doc_id as source_url, 't' || doc_id as title, '2024-01-01 10:00' as published from documents where doc_id % 10 = 0")(_entries)
+    query(f"""select source as feed_id, 'https://f.example/' || doc_id as source_url, 't' || doc_id as title, '2024-01-01 10:00' as published,
+        sha256(trim(regexp_replace(regexp_replace(coalesce(text, ''), '[<>&"''\\\\\\x00-\\x08\\x0b-\\x1f\\x{{fffe}}\\x{{ffff}}]', ' ', 'g'), '{WS}+', ' ', 'g'))) as text_sha256 from documents""")(_entries)
 
 
-@query("select source as feed_id, source as title, source || chr(10) || 'd' || chr(10) || count(*) || ' entries:' || chr(10) || string_agg('- t' || doc_id, chr(10) order by doc_id) as clean_text from documents where doc_id % 7 = 0 group by source")
+@query("select source as feed_id, source as title, source || chr(10) || 'd' || chr(10) || count(*) || ' entries:' || chr(10) || string_agg('- t' || doc_id, chr(10) order by doc_id) as clean_text from documents group by source, doc_id // 500")
 def json_snapshot(t: Tables) -> DataFrame:
     return _parsed(t, "json").select("feed_id", "title", "clean_text")
 
@@ -385,7 +409,7 @@ def technique_find(t: Tables) -> DataFrame:
     return t.read("part").select("p_partkey", F.array_join(X.technique_mentions(said), ",").alias("found"))
 
 
-@query("select doc_id, floor(length(text) / 3.5)::bigint as tokens, length(text) > 7250 as over from documents")
+@query("select doc_id, floor(length(text) / 3.5)::bigint as tokens, length(text) > 7248 as over from documents")
 def token_budget(t: Tables) -> DataFrame:
     budget = X.document_budget(3000, 1502)
     return t.read("documents").select("doc_id", X.estimate_tokens(F.col("text")).alias("tokens"), (F.length("text") > budget).alias("over"))

@@ -51,7 +51,7 @@ def items(fixtures: DataFrame) -> DataFrame:
     a = F.col("annotation")
     out = rows("actors", a["actors"], F.col("m.name"))
     out = out.unionByName(rows("techniques", a["techniques"], X.technique_key(F.col("m.technique_id")), F.col("m.explicit_in_text")))
-    out = out.unionByName(rows("countries", a["targets"], F.upper(F.trim("m.country"))))
+    out = out.unionByName(rows("countries", a["targets"], F.upper(X.trimmed(F.col("m.country")))))
     out = out.unionByName(rows("sectors", a["targets"], X.normalize_sector(F.col("m.sector"))))
     return out.where("item is not null").distinct()
 

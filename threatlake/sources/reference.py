@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+
 STIX = "objects array<struct<type:string,name:string,revoked:boolean,x_mitre_deprecated:boolean,external_references:array<struct<source_name:string,external_id:string>>,kill_chain_phases:array<struct<kill_chain_name:string,phase_name:string>>>>"
 GALAXY = "values array<struct<value:string,uuid:string,meta:struct<country:string,synonyms:array<string>>>>"
 FRAMEWORK = "mitre-attack"
@@ -25,8 +27,8 @@ def techniques(bundles: DataFrame, column: str = "body") -> DataFrame:
 def actors(bundles: DataFrame, column: str = "body") -> DataFrame:
     """canonical_name, aliases, suspected_origin_country, misp_uuid and load_ordinal of a galaxy's entries."""
     v = bundles.select(F.posexplode(F.from_json(column, GALAXY)["values"]).alias("load_ordinal", "v")).select("load_ordinal", "v.*")
-    name = F.trim("value")
-    trimmed = F.transform(F.coalesce(F.col("meta.synonyms"), F.array().cast("array<string>")), lambda s: F.trim(s))
+    name = X.trimmed(F.col("value"))
+    trimmed = F.transform(F.coalesce(F.col("meta.synonyms"), F.array().cast("array<string>")), X.trimmed)
     aliases = F.array_sort(F.array_distinct(F.filter(trimmed, lambda s: (F.coalesce(s, F.lit("")) != "") & (F.lower(s) != F.lower(name)))))
-    country = F.when(F.trim("meta.country").rlike(r"^\p{L}{2}$"), F.upper(F.trim("meta.country")))
+    country = F.when(X.trimmed(F.col("meta.country")).rlike(r"^\p{L}{2}$"), F.upper(X.trimmed(F.col("meta.country"))))
     return v.where(name != "").select(name.alias("canonical_name"), aliases.alias("aliases"), country.alias("suspected_origin_country"), F.when(F.col("uuid").rlike(UUID), F.lower("uuid")).alias("misp_uuid"), "load_ordinal")
