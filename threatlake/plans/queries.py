@@ -241,19 +241,19 @@ def evidence_quote_check(t: Tables) -> DataFrame:
     """Which documents hold which passages: whole words of the quote meet first, then the verdict decides.
 
     The quote's second to last but one words are whole words of any text that holds it, so runs of six
-    words are an equi-join key, kept only if a quote has it: the quotes' keys are the first join's broadcastable
-    side of distinct hashes. Shorter quotes meet on their second word, and those of one or two words,
+    words are an equi-join key. Shorter quotes meet on their second word, and those of one or two words,
     which may lie inside a longer word, on their first 20 characters.
     """
     quotes = t.read("benchmark").select("item_id", U.canonicalize("text").alias("quote")).where(F.length("quote") >= X.MIN_QUOTE_CHARS).withColumn("w", F.split("quote", " "))
     texts = t.read("documents").select("doc_id", U.canonicalize("text").alias("hay"))
-    words = F.split("hay", " ")
-    runs = texts.select("doc_id", F.explode(F.when(F.size(words) >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - 5), lambda i: F.xxhash64(F.array_join(F.slice(words, i, 6), " ")))))).alias("key"))
+    # A column of its own: inside the lambda the split would run for every word.
+    split = texts.withColumn("w", F.split("hay", " "))
+    runs = split.select("doc_id", F.explode(F.when(F.size("w") >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 6), " ")))))).alias("key"))
     long = quotes.where(F.size("w") >= 8).select("item_id", F.xxhash64(F.array_join(F.slice("w", 2, 6), " ")).alias("key"))
     pairs = runs.join(long, "key").select("item_id", "doc_id")
     short = quotes.where(F.size("w").between(3, 7)).select("item_id", F.element_at("w", 2).alias("word"))
     if not short.isEmpty():
-        pairs = pairs.unionByName(texts.select("doc_id", F.explode(F.array_distinct(words)).alias("word")).join(short, "word").select("item_id", "doc_id"))
+        pairs = pairs.unionByName(split.select("doc_id", F.explode(F.array_distinct("w")).alias("word")).join(short, "word").select("item_id", "doc_id"))
     least = X.MIN_QUOTE_CHARS
     few = quotes.where(F.size("w") < 3).select("item_id", F.substring("quote", 1, least).alias("gram"))
     if not few.isEmpty():
