@@ -7,12 +7,16 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from threatlake import __main__ as cli
 from threatlake import clients
+from threatlake.functions import text as X
+from threatlake.functions import udfs as U
 from threatlake.operators import merge
 from threatlake.operators import metrics as M
+from threatlake.operators import store as store_module
 from threatlake.operators.store import Store
-from threatlake.plans import api, enrich, evaluate, ingest, maintain
-from threatlake.sources import fetch, gold
+from threatlake.plans import api, enrich, evaluate, ingest, load, maintain
+from threatlake.sources import feeds, fetch, gold
 
 RSS = """<rss><channel>
 <item><title>One</title><link>https://f.example/1</link><description>Operators used T1566.001 to send bait to everyone. More text.</description></item>
@@ -28,7 +32,7 @@ def store(spark, tmp_path):
     feed = spark.createDataFrame([("f1", "CISA feed", "https://f.example/rss", "rss", 360, True, True), ("f2", "Bad", "https://g.example/rss", "rss", 360, True, False)], "id string, name string, url string, kind string, poll_interval_minutes int, enabled boolean, fetch_articles boolean")
     s.upsert("feed", feed.select("*", *(F.lit(None).cast(t).alias(n) for n, t in (("etag", "string"), ("last_modified", "string"), ("last_polled_at", "timestamp")))), ["name"])
     s.append("attack_technique", spark.createDataFrame([("T1566.001", "a", "x"), ("T1078", "b", "y")], "technique_id string, name string, tactic string"))
-    s.append("threat_actor", spark.createDataFrame([("a1", "Crew One", ["The Crew"], None, None)], s.read("threat_actor").schema))
+    s.append("threat_actor", spark.createDataFrame([("a1", "Crew One", ["The Crew"], None, None, 0)], s.read("threat_actor").schema))
     return s
 
 
@@ -50,8 +54,13 @@ def test_enrich_and_maintain(spark, store):
     ingest.poll(store, bodies(spark), "2024-01-01 00:00:00")
     done = enrich.run(store, clients.KeywordClient, clients.HashEmbedder, embedding_model="hash", now="2024-01-02 00:00:00")
     assert done == {"documents": 2, "reports": 2}
+    # A run that broke off before its reports were written: the documents are pending again and children aren't doubled.
+    before = store.read("report_technique").count()
+    store.replace("report", store.read("report").limit(0))
+    again = enrich.run(store, clients.KeywordClient, clients.HashEmbedder, embedding_model="hash", now="2024-01-02 00:00:01")
+    assert again == done and store.read("report_technique").count() == before
     assert {r.technique_id for r in store.read("report_technique").collect()} == {"T1566.001"}
-    assert store.read("enrichment_run").count() == 2
+    assert store.read("enrichment_run").count() == 4
     assert enrich.pending(store.read("raw_document"), store.read("report")).count() == 0
     assert maintain.reembed(store, clients.HashEmbedder, "other", 64, dry_run=True) == 2
     assert maintain.reembed(store, clients.HashEmbedder, "other", 64) == 2
@@ -84,6 +93,117 @@ def test_correlation_of_several_countries(spark):
         assert (x.n_before, x.n_after, x.baseline) == (sum(d < at for d in mine), sum(d >= at for d in mine), round(shared / days * 7, 6))
 
 
+def test_store_versions(spark, tmp_path):
+    """Appends write their rows alone, a stale rewrite is refused, and vacuum leaves the last version."""
+    s = Store(spark, f"file://{tmp_path}/s")
+    rows = spark.createDataFrame([("T1", "a", "x"), ("T2", "b", "y")], "technique_id string, name string, tactic string")
+    assert s.append("attack_technique", rows) == 2
+    first = s.read("attack_technique")
+    assert s.insert_if_absent("attack_technique", rows.unionByName(spark.createDataFrame([("T3", "c", "z")], rows.schema)), ["name"]) == 1
+    assert first.count() == 2 and s.read("attack_technique").count() == 3  # readers of a version aren't disturbed
+    assert len(s._current("attack_technique")[1]) == 2
+    since = s._current("attack_technique")[0]
+    s.append("attack_technique", spark.createDataFrame([("T4", "d", "z")], rows.schema))
+    with pytest.raises(store_module.ConcurrentUpdate):
+        s.replace("attack_technique", rows, since)
+    s.upsert("attack_technique", rows.withColumn("name", F.lit("new")), ["name"])
+    assert s.vacuum("attack_technique") == 4
+    assert sorted((r.technique_id, r.name) for r in s.read("attack_technique").collect()) == [("T1", "new"), ("T2", "new"), ("T3", "c"), ("T4", "d")]
+    assert s.read("report").count() == 0
+
+
+def test_reference_loader_and_alias_order(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/s")
+    attack = {"objects": [{"type": "attack-pattern", "name": "n", "external_references": [{"source_name": "mitre-attack", "external_id": "T1"}], "kill_chain_phases": [{"kill_chain_name": "mitre-attack", "phase_name": "p"}]}]}
+    galaxy = {"values": [{"value": "\tZulu ", "meta": {"synonyms": ["Shared", " Shared\t"]}}, {"value": "Alpha", "meta": {"synonyms": ["shared"]}}, {"value": "Zulu", "meta": {}}]}
+    bodies = [spark.createDataFrame([(json.dumps(x),)], "body string") for x in (attack, galaxy)]
+    for _ in range(2):
+        assert load.load(s, *bodies) == {"techniques": 1, "actors": 2}
+    actors = s.read("threat_actor")
+    assert [(r.canonical_name, r.aliases, r.load_ordinal) for r in actors.orderBy("load_ordinal").collect()] == [("Zulu", ["Shared"], 0), ("Alpha", ["shared"], 1)]
+    from threatlake.operators.guardrails import name_index
+
+    index = {r.name_key: r.actor_id for r in name_index(actors).collect()}
+    assert index["shared"] == index["zulu"]  # the entry loaded first wins
+
+
+def test_ingest_round_fetches_once(spark, tmp_path):
+    """The driver: due feeds are fetched, thin entries followed, and every address is asked for once."""
+    log = tmp_path / "log"
+
+    class Fake:
+        def fetch(self, url, etag=None, last_modified=None, most=0):
+            with log.open("a") as f:
+                f.write(url + "\n")
+            if "talos" in url:
+                raise fetch.FetchError("status 500")
+            if url.endswith("/article"):
+                return fetch.Fetched(PAGE.encode(), url, None, None)
+            return fetch.Fetched(RSS.replace("https://f.example/2", "https://www.cyber.gov.au/article").encode(), url, "e", None)
+
+    s = Store(spark, f"file://{tmp_path}/s")
+    done = ingest.run(s, "2024-01-01 00:00:00", Fake)
+    asked = log.read_text().split()
+    assert len(asked) == len({*asked}) == 5 and "https://www.cyber.gov.au/article" in asked
+    assert done == {"stored": 6, "deduped": 3, "fetched": 4}
+    assert s.read("raw_document").where("clean_text like 'A long body%'").count() == 1
+    assert ingest.run(s, "2024-01-01 01:00:00", Fake)["fetched"] == 1  # only the one that failed is still due
+
+
+def test_command_line(spark, store, capsys):
+    root = store.root
+    ingest.poll(store, bodies(spark), "2024-01-01 00:00:00")
+    assert cli.main(["--store", root, "enrich", "--offline"], spark) == 0
+    assert cli.main(["--store", root, "prune", "C%SA"], spark) == 0
+    assert cli.main(["--store", root, "vacuum", "report"], spark) == 0
+    assert cli.main(["--store", root, "doctor", "--offline"], spark) == 0
+    said = capsys.readouterr().out
+    assert "'reports': 2" in said and "reference data: ok" in said
+    store.replace("attack_technique", store.read("attack_technique").limit(0))
+    assert cli.main(["--store", root, "doctor", "--offline"], spark) == 1
+    checks = maintain.endpoint_checks(spark, {"a": ("u", "m"), "b": ("v", "x")}, probe=lambda base: ["m"] if base == "u" else None)
+    assert [r.status for r in checks.orderBy("check").collect()] == ["ok", "error"]
+
+
+def test_embedding_batches_and_width(spark, store):
+    class Picky(clients.HashEmbedder):
+        def embed(self, texts):
+            assert len(texts) <= enrich.EMBED_BATCH
+            if any("bad" in t for t in texts):
+                raise clients.ClientError("no")
+            return super().embed(texts)
+
+    rows = spark.createDataFrame([(f"{k:03d}", "bad" if k == 40 else f"t{k}") for k in range(100)], "document_id string, summary string").coalesce(1)
+    assert enrich.embed(rows, Picky, 64).where("embedding is null").count() == enrich.EMBED_BATCH
+    with pytest.raises(ValueError, match="vectors of 8"):
+        maintain.reembed(store, lambda: clients.HashEmbedder(8), "m", 64)
+
+
+def test_exact_text_rules(spark):
+    names = ["ΣΑΣ", "Straße", "ﬁn", "ıI", "Ǆ", "ſ", "ẞ", "K", "ΌΣΟΣ"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(X.casefold(F.col("n")).alias("k")).collect()
+    assert [r.k for r in got] == [n.casefold() for n in names]
+    one = spark.createDataFrame([("\tT1078\n", "\thttps://a.example/x\u00a0")], "t string, u string").select(X.technique_key(F.col("t")).alias("t"), X.defang_ioc(F.lit("url"), F.col("u"))["value_defanged"].alias("u")).first()
+    assert (one.t, one.u) == ("T1078", "hxxps://a[.]example/x") and U.inert("url", "\thttps://a.example/x\u00a0") == one.u
+    body = '{"summary": "s", "confidence": "low"}'
+    assert [U.parse_contract(x)[0] for x in (f"```json{body}```", f"```json\n{body}\n```", f"```\n{body}```", body)] == ["invalid_json", "ok", "ok", "ok"]
+    null = spark.createDataFrame([("f", "rss", "u", "n", None)], "feed_id string, kind string, url string, name string, body binary")
+    assert feeds.parse_bodies(null).first().error == "ValueError"
+
+
+def test_names_find_the_best_of_all():
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(8)
+    names = ["".join(r.choices("abcd ", k=r.randrange(0, 14))) for _ in range(300)]
+    for _ in range(100):
+        name = "".join(r.choices("abcd ", k=r.randrange(0, 14)))
+        ratios = [SequenceMatcher(None, n, name).ratio() for n in names]
+        top = max(ratios)
+        assert U.best_match(name, names) == ((ratios.index(top), top) if top else (-1, 0.0))
+
+
 def test_attempts():
     good = json.dumps({"summary": "s", "confidence": "low"})
     client = clients.ScriptedClient(["no json", good])
@@ -233,7 +353,9 @@ def test_configuration():
     assert clients.provider_of("sk-ant-x") == "anthropic" and clients.provider_of("sk-x") == "openai" and clients.provider_of("x") is None
     assert clients.resolve_completion({"LLM_API_KEY": "sk-ant-x"}).max_input_tokens == 150_000
     with pytest.raises(clients.ConfigError):
-        clients.resolve_completion({})
+        clients.resolve_completion({}, discover=lambda: None)
+    local = clients.resolve_completion({}, discover=lambda: ("http://localhost:8000/v1", ["embed-x", "small"]))
+    assert (local.base_url, local.model) == ("http://localhost:8000/v1", "small")
     assert clients.resolve_completion({}, probe=lambda: ["nomic-embed", "small"]).model == "small"
     assert clients.resolve_embedding({}) is None
     with pytest.warns(UserWarning):

@@ -112,7 +112,11 @@ class HttpClient:
             raise ClientError("the answer has an odd shape") from e
 
     def ping(self) -> list[str]:
-        return [self.model]
+        """The models that the endpoint lists; a ClientError if it doesn't answer."""
+        listed = advertised(self.base, self.key)
+        if listed is None:
+            raise ClientError(f"{self.base} lists no models")
+        return listed
 
 
 class MessagesClient(HttpClient):
@@ -165,8 +169,11 @@ class Endpoint:
     source: str
 
 
-def resolve_completion(env: Mapping[str, str] = os.environ, probe=None) -> Endpoint:
-    """Base address, then key prefix, then what a probe of the local machine finds."""
+def resolve_completion(env: Mapping[str, str] = os.environ, probe=None, discover=None) -> Endpoint:
+    """Base address, then key prefix, then what is found on the local machine.
+
+    probe gives a list of models; without it discover (discover_local) gives address and models.
+    """
     def get(*names):
         return next((env[n].strip() for n in names if env.get(n, "").strip()), None)
 
@@ -181,7 +188,7 @@ def resolve_completion(env: Mapping[str, str] = os.environ, probe=None) -> Endpo
             raise ConfigError("the key's prefix names no provider; set LLM_BASE_URL")
         kind, source = "native" if provider == "anthropic" else "hosted", "key prefix"
     else:
-        found = probe() if probe else None
+        base, found = (None, probe()) if probe else (discover or discover_local)() or (None, None)
         models = [m for m in (found or ()) if "embed" not in m.lower()]
         if not models:
             raise ConfigError("no key, no base address and nothing local")
@@ -190,13 +197,33 @@ def resolve_completion(env: Mapping[str, str] = os.environ, probe=None) -> Endpo
     return Endpoint(provider, base, model, positive_int(env, "MAX_INPUT_TOKENS", most_in), positive_int(env, "MAX_OUTPUT_TOKENS", most_out), source)
 
 
-def resolve_embedding(env: Mapping[str, str] = os.environ, probe=None) -> Endpoint | None:
+def resolve_embedding(env: Mapping[str, str] = os.environ, probe=None, discover=None) -> Endpoint | None:
     """The embedding endpoint, or None: search is then off; nothing is raised."""
     base, model = env.get("EMBEDDING_BASE_URL", "").strip(), env.get("EMBEDDING_MODEL", "").strip()
     if base and model:
         return Endpoint("openai_compatible", base, model, 0, 0, "EMBEDDING_BASE_URL")
-    models = [m for m in ((probe() if probe else None) or ()) if "embed" in m.lower()]
-    return Endpoint("local", None, models[0], 0, 0, "local probe") if models else None
+    base, found = (None, probe()) if probe else (discover or discover_local)() or (None, None)
+    models = [m for m in (found or ()) if "embed" in m.lower()]
+    return Endpoint("local", base, models[0], 0, 0, "local probe") if models else None
+
+
+# Where hosted providers listen.
+PROVIDER_BASES = {"openrouter": "https://openrouter.ai/api/v1", "openai": "https://api.openai.com/v1", "groq": "https://api.groq.com/openai/v1", "anthropic": "https://api.anthropic.com"}
+
+
+def completion_client(at: Endpoint, env: Mapping[str, str] = os.environ) -> HttpClient:
+    """The client of a resolved endpoint, with the environment's key."""
+    key = next((env[n].strip() for n in ("LLM_API_KEY", "ANTHROPIC_API_KEY", "OPENAI_API_KEY") if env.get(n, "").strip()), None)
+    base = at.base_url or PROVIDER_BASES.get(at.provider)
+    if base is None or at.model is None:
+        raise ConfigError("the endpoint needs an address and LLM_MODEL a model")
+    return (MessagesClient if at.provider == "anthropic" else HttpClient)(base, at.model, key)
+
+
+def embedding_client(at: Endpoint, env: Mapping[str, str] = os.environ) -> HttpClient:
+    if at.base_url is None or at.model is None:
+        raise ConfigError("the embedding endpoint needs an address and a model")
+    return HttpClient(at.base_url, at.model, env.get("EMBEDDING_API_KEY", "").strip() or None)
 
 
 # Where a local runtime listens.

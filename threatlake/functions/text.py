@@ -35,7 +35,8 @@ def trimmed(text: Column) -> Column:
 def casefold(text: Column) -> Column:
     """Full case folding: lower case of upper case, where a final sigma is a sigma and a dotless i stays."""
     dotless = F.lit("\ue000")
-    folded = F.lower(F.upper(F.replace(text, F.lit("ı"), dotless)))
+    upper = F.upper(F.replace(text, F.lit("ı"), dotless))
+    folded = F.lower(F.replace(upper, F.lit("ẞ"), F.lit("SS")))  # the optimiser would cut upper directly under lower
     return F.replace(F.replace(folded, F.lit("ς"), F.lit("σ")), dotless, F.lit("ı"))
 
 

@@ -367,7 +367,7 @@ class Names:
         """(index, ratio) of the most similar candidate, the earliest on ties; (-1, 0.0) if none is similar."""
         top = (0.0, 0)  # ratio, then the earlier index
         matcher = SequenceMatcher(None, "", name)
-        bound = {n: 2 * min(n, len(name)) / max(1, n + len(name)) for n in self.buckets}
+        bound = {n: 2 * min(n, len(name)) / (n + len(name)) if n or name else 1.0 for n in self.buckets}
         for n in sorted(self.buckets, key=lambda n: -bound[n]):
             if bound[n] < top[0] or not bound[n]:
                 break

@@ -79,18 +79,23 @@ def extractions(attempts: DataFrame) -> DataFrame:
     return good.select("document_id", F.coalesce("chunk_index", F.lit(0)).alias("chunk"), F.from_json("extraction_json", EXTRACTION).alias("extraction"))
 
 
+EMBED_BATCH = 32
+
+
 def embed(rows: DataFrame, client: Callable[[], EmbeddingClient], width: int, key: str = "document_id", text: str = "summary") -> DataFrame:
-    """key, embedding: null where the client failed or the width differs."""
+    """key, embedding: null where the client failed or the width differs. A call has EMBED_BATCH texts, and only its own fail with it."""
 
     def run(batches):
         own = client()
         for batch in batches:
-            try:
-                got = own.embed(batch[text].tolist())
-            except ClientError:
-                got = [None] * len(batch)
-            if len(got) != len(batch):
-                got = [None] * len(batch)
+            got = []
+            for lo in range(0, len(batch), EMBED_BATCH):
+                asked = batch[text].iloc[lo : lo + EMBED_BATCH].tolist()
+                try:
+                    found = own.embed(asked)
+                except ClientError:
+                    found = []
+                got += found if len(found) == len(asked) else [None] * len(asked)
             yield pd.DataFrame({key: batch[key], "embedding": [v if v is not None and len(v) == width else None for v in got]})
 
     return rows.select(key, text).mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, embedding array<float>")
@@ -122,7 +127,7 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
     store.append("enrichment_run", attempts.select("id", "document_id", F.lit(model).alias("model"), F.lit(prompt_version()).alias("prompt_version"), stamp.alias("started_at"), stamp.alias("finished_at"), "status", "raw_response", "attempt", "chunk_index"))
 
     documents = store.read("raw_document").select(F.col("id").alias("document_id"), "clean_text")
-    ranked = actors.withColumn("load_ordinal", F.xxhash64("canonical_name").bitwiseAND(F.lit((1 << 40) - 1)))
+    ranked = actors.withColumn("load_ordinal", F.coalesce("load_ordinal", F.lit((1 << 40) - 1)))
     got = enrich(documents, attempts, techniques, ranked)
     first_ok = attempts.where("status = 'ok'").groupBy("document_id").agg(F.min_by("id", F.struct(F.coalesce("chunk_index", F.lit(0)), F.col("attempt"))).alias("enrichment_run_id"))
     reports = got["reports"].join(first_ok, "document_id").withColumn("id", F.sha2(F.concat(F.lit("report|"), "document_id"), 256))
@@ -132,9 +137,15 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
         reports = reports.join(embed(got["reports"], embedder, width), "document_id", "left")
     has = F.col("embedding").isNotNull()
     reports = reports.withColumns({"embedding_model": F.when(has, F.lit(embedding_model)), "embedding_dim": F.when(has, F.size("embedding"))})
-    inserted = store.insert_if_absent("report", reports, ["id"])
-
-    ids = store.read("report").select("document_id", F.col("id").alias("report_id"))
+    path = f"{store.root}/_reports/{uuid.uuid4().hex}"
+    reports.write.parquet(path)
+    reports = spark.read.schema(reports.schema).parquet(path)
+    ids = reports.select("document_id", F.col("id").alias("report_id"))
+    # The report is written last: while it is missing its document stays pending, and what a
+    # run that broke off has left of the children goes first.
+    for name in ("report_actor", "report_technique", "report_target", "ioc", "actor_review_queue"):
+        if not store.read(name).join(ids, "report_id", "left_semi").isEmpty():
+            store.replace(name, store.read(name).join(ids, "report_id", "left_anti"))
 
     def child(name: str, rows: DataFrame, order: list[str], **more) -> None:
         full = rows.join(ids, "document_id").withColumns(more) if more else rows.join(ids, "document_id")
@@ -147,5 +158,6 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
     child("ioc", got["iocs"], ["kind", "value_defanged"])
     child("actor_review_queue", got["review_queue"], ["raw_name"], created_at=stamp, resolved=F.lit(False))
     targets = got["targets"].where("country is not null or sector is not null").join(ids, "document_id")
-    store.append("report_target", targets.withColumn("id", F.sha2(F.concat_ws("|", "report_id", F.to_json("place")), 256)))
+    store.insert_if_absent("report_target", targets.withColumn("id", F.sha2(F.concat_ws("|", "report_id", F.to_json("place")), 256)), ["id"])
+    inserted = store.insert_if_absent("report", reports, ["id"])
     return {"documents": todo.count() if limit else attempts.select("document_id").distinct().count(), "reports": inserted}

@@ -91,8 +91,8 @@ def _n(x) -> str:
     return "n/a" if x is None else f"{x:.3f}"
 
 
-def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: DataFrame, title: str, failures: list[str] = (), defects: list[str] = ()) -> str:
-    """Markdown: headline, macro, lift, guardrails, documents, failures, defects. A few rows for each field reach the driver."""
+def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: DataFrame, title: str, failures: list[str] = (), defects: list[str] = (), lift: list[tuple] = ()) -> str:
+    """Markdown: headline, macro, lift (of lift()), guardrails, documents, failures, defects. A few rows for each field reach the driver."""
     one = {r.field: r for r in model["micro"].collect()}
     two = {r.field: r for r in base["micro"].collect()}
     fields = sorted({*one, *two})
@@ -101,7 +101,7 @@ def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: Da
     macro = {r.field: r.macro_f1 for r in model["macro"].collect()}
     base_macro = {r.field: r.macro_f1 for r in base["macro"].collect()}
     out += ["", "## Macro F1", *_table([(f, _n(macro.get(f)), _n(base_macro.get(f))) for f in fields], ("field", "model", "baseline"))]
-    out += ["", "## Lift", *_table([(f, _n(one[f].f1 - two[f].f1 if f in one and f in two else None)) for f in fields], ("field", "F1 over baseline"))]
+    out += ["", "## Lift", *_table([(label, _n(a), _n(b), _n(None if a is None or b is None else a - b)) for label, a, b in lift], ("granularity", "model recall", "baseline recall", "difference"))]
     r = rates.first()
     out += ["", "## Guardrails", *_table([(k, "n/a" if v is None else f"{100 * v:.1f}%") for k, v in r.asDict().items()], ("rate", "model"))]
     gate = getattr(one.get("techniques_parent"), "f1", None)
@@ -111,6 +111,18 @@ def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: Da
     return "\n".join(out)
 
 
+def lift(wanted: DataFrame, predicted: DataFrame, base: DataFrame) -> list[tuple]:
+    """(granularity, model, baseline): recall of the techniques that gold marks as implicit, as they are and by their parent."""
+    implicit = wanted.where("field = 'techniques' and not coalesce(explicit, false)")
+
+    def recalled(found: DataFrame, parent: bool):
+        rows = (x.where("field = 'techniques'").select("doc", "field", (X.parent_technique(F.col("item")) if parent else F.col("item")).alias("item")).distinct() for x in (implicit, found))
+        gold, got = rows
+        return M.implicit_recall(gold.withColumn("explicit", F.lit(False)), got).first().recall
+
+    return [(label, recalled(predicted, parent), recalled(base, parent)) for label, parent in (("sub-technique", False), ("parent", True))]
+
+
 def comparison(results: dict[str, dict], base: dict[str, DataFrame], title: str = "Comparison") -> str:
     """Markdown: micro F1 and diagnostics of each backend beside the shared baseline."""
     heads = [f"{name} ({r['model']})" for name, r in results.items()]
@@ -198,16 +210,17 @@ def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors:
         wanted = resolved_gold(wanted, actors)
     wanted = wanted.persist()  # read by every score; recomputed if an executor is lost
     problems = [f"{r.id}: {r.problem} {r['item']}".rstrip() for r in gold.defects(fixtures, techniques, actors).orderBy("id", "problem", "item").collect()]
-    base = score(baseline(fixtures.select(F.col("id").alias("doc"), "text"), techniques, actors).persist(), wanted)
+    plain = baseline(fixtures.select(F.col("id").alias("doc"), "text"), techniques, actors).persist()
+    base = score(plain, wanted)
     none = spark.createDataFrame([], "kind string, quote_ok boolean, closed_world_ok boolean, resolved boolean")
     cards, results = {}, {}
     for name, (client, model) in backends.items():
         got = predict(fixtures, client, techniques, actors, f"{folder}/attempts-{slug(name)}", max_input_tokens)
         own = got | {"model": model, "scores": score(got["predicted"], wanted), "implicit": M.implicit_recall(wanted.where("field = 'techniques'"), got["predicted"].where("field = 'techniques'"))}
         results[name] = own
-        cards[f"{slug(name)}--{slug(model)}--{version}.md"] = scorecard(own["scores"], base, own["rates"], f"{name}: {model}", own["failures"], problems)
+        cards[f"{slug(name)}--{slug(model)}--{version}.md"] = scorecard(own["scores"], base, own["rates"], f"{name}: {model}", own["failures"], problems, lift(wanted, got["predicted"], plain))
     if not backends:
-        cards[f"baseline--{version}.md"] = scorecard(base, base, telemetry(none), "Baseline", (), problems)
+        cards[f"baseline--{version}.md"] = scorecard(base, base, telemetry(none), "Baseline", (), problems, lift(wanted, plain, plain))
     if len(results) > 1:
         cards[f"cross-backend--{version}.md"] = comparison(results, base)
     for name, card in cards.items():

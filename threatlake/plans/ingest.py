@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -36,18 +37,32 @@ def seed(store: Store) -> None:
     store.upsert("feed", feed_source.seeds(store.spark), ["name", "kind", "fetch_articles"])
 
 
-def poll(store: Store, bodies: DataFrame, now: str, pages: DataFrame | None = None) -> dict[str, int]:
+def _stored_once(store: Store, rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written before anything reads them: what several jobs read isn't fetched several times."""
+    path = f"{store.root}/_{name}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return store.spark.read.schema(rows.schema).parquet(path)
+
+
+def poll(store: Store, bodies: DataFrame, now: str, pages: DataFrame | Callable[[DataFrame], DataFrame] | None = None) -> dict[str, int]:
     """One round over fetched bodies: feed_id, body, etag, last_modified, status (ok, not_modified, error).
 
     An error leaves the feed due; an unchanged body only renews the time; a body
-    that doesn't parse is not asked for again until it changes.
+    that doesn't parse is not asked for again until it changes. Returns stored, deduped (entries
+    that the table or the round already had) and fetched. pages is a table of url and html, or a
+    function that fetches it for the thin entries' addresses (feed_url, source_url).
     """
+    bodies = _stored_once(store, bodies, "bodies")
     feeds = store.read("feed")
     stamp = F.lit(now).cast("timestamp")
     known = feeds.select(F.col("id").alias("feed_id"), "kind", F.col("url"), "name", "fetch_articles")
     parsed = feed_source.parse_bodies(bodies.where("status = 'ok'").select("feed_id", "body").join(known, "feed_id"))
-    entries = documents_of(parsed).join(known.select("feed_id", F.col("url").alias("feed_url"), "fetch_articles"), "feed_id")
+    parsed = documents_of(parsed)
+    entries = parsed.join(known.select("feed_id", F.col("url").alias("feed_url"), "fetch_articles"), "feed_id")
     entries = absent(first_by_key(entries, ["feed_id", "content_hash"], ["position"]), store.read("raw_document"), ["feed_id", "content_hash"])
+    if callable(pages):
+        follow = F.col("fetch_articles") & X.thin(F.col("clean_text")) & X.same_site(F.col("feed_url"), F.col("source_url"))
+        pages = _stored_once(store, pages(entries.where(follow).select("source_url").distinct()), "pages")
     if pages is not None:
         entries = with_articles(entries, pages)
     rows = entries.withColumns({"id": F.sha2(F.concat_ws("|", "feed_id", "content_hash"), 256), "fetched_at": stamp})
@@ -55,7 +70,31 @@ def poll(store: Store, bodies: DataFrame, now: str, pages: DataFrame | None = No
     seen = bodies.where("status in ('ok', 'not_modified')").select(F.col("feed_id").alias("id"), F.col("etag").alias("new_etag"), F.col("last_modified").alias("new_modified"), "status")
     moved = feeds.join(first_by_key(seen, ["id"], ["status"]), "id").withColumns({"etag": F.when(F.col("status") == "ok", F.col("new_etag")).otherwise(F.col("etag")), "last_modified": F.when(F.col("status") == "ok", F.col("new_modified")).otherwise(F.col("last_modified")), "last_polled_at": stamp})
     store.upsert("feed", moved.select(*feeds.columns), ["etag", "last_modified", "last_polled_at"])
-    return {"stored": stored, "fetched": bodies.count()}
+    return {"stored": stored, "deduped": parsed.count() - stored, "fetched": bodies.count()}
+
+
+def fetch_pages(client: Callable) -> Callable[[DataFrame], DataFrame]:
+    """A function from addresses (source_url) to url and html; one host goes to one task, and an address that fails has no row."""
+    import pandas as pd
+
+    def run(batches):
+        own = client()
+        for batch in batches:
+            rows = []
+            for url in batch["source_url"]:
+                try:
+                    rows.append((url, own.fetch(url).body.decode("utf-8", "replace")))
+                except (OSError, ValueError, RuntimeError):
+                    continue
+            yield pd.DataFrame(rows, columns=["url", "html"])
+
+    return lambda wanted: wanted.withColumn("host", X.url_host(F.col("source_url"))).repartition("host").mapInPandas(run, "url string, html string")
+
+
+def run(store: Store, now: str, client: Callable) -> dict[str, int]:
+    """One round: seed the registry, fetch the feeds that are due, store their entries and follow the thin ones."""
+    seed(store)
+    return poll(store, fetch_due(store, now, client), now, fetch_pages(client))
 
 
 def fetch_due(store: Store, now: str, client: Callable):

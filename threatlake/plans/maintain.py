@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..clients import EmbeddingClient
+from ..clients import EmbeddingClient, advertised
 from ..functions import text as X
 from ..functions import udfs as U
 from ..operators.store import Store, cascade, remaining
@@ -32,22 +32,41 @@ def needing_embedding(report: DataFrame, model: str, key: str = "id", limit: int
     return todo if limit is None else todo.limit(limit)
 
 
-def reembed(store: Store, client: Callable[[], EmbeddingClient], model: str, width: int, limit: int | None = None, dry_run: bool = False) -> int:
-    """Renews what needs it, vector, model and width together; how many that is. A failed vector stays as it was."""
-    report = store.read("report")
-    todo = needing_embedding(report, model, limit=limit)
+#: Reports that are renewed in one commit; a run that breaks off goes on after the last one.
+REEMBED_ROWS = 20_000
+
+
+def reembed(store: Store, client: Callable[[], EmbeddingClient], model: str, width: int, limit: int | None = None, dry_run: bool = False, rows: int = REEMBED_ROWS) -> int:
+    """Renews what needs it, vector, model and width together; how many that is. A failed vector stays as it was.
+
+    Refused if the client's vectors haven't the stored width. Each commit renews at most `rows` reports, in the order of their id.
+    """
     if dry_run:
-        return todo.count()
-    new = embed(todo.select("id", "summary"), client, width, key="id").where("embedding is not null")
-    rows = report.drop("embedding", "embedding_model", "embedding_dim").join(new, "id").withColumns({"embedding_model": F.lit(model), "embedding_dim": F.lit(width)})
-    count = rows.count()
-    store.upsert("report", rows.select(*report.columns), ["embedding", "embedding_model", "embedding_dim"])
-    return count
+        return needing_embedding(store.read("report"), model, limit=limit).count()
+    if (got := len(client().embed(["width"])[0])) != width:
+        raise ValueError(f"the model makes vectors of {got}, the table has {width}")
+    done, after = 0, ""
+    while limit is None or done < limit:
+        report = store.read("report")
+        todo = needing_embedding(report.where(F.col("id") > after), model, limit=rows if limit is None else min(rows, limit - done)).select("id", "summary").persist()
+        last = todo.agg(F.max("id").alias("id")).first().id
+        if last is None:
+            todo.unpersist()
+            break
+        new = embed(todo, client, width, key="id").where("embedding is not null")
+        made = report.drop("embedding", "embedding_model", "embedding_dim").join(new, "id").withColumns({"embedding_model": F.lit(model), "embedding_dim": F.lit(width)})
+        store.upsert("report", made.select(*report.columns), ["embedding", "embedding_model", "embedding_dim"])
+        asked = store.read("report").join(todo.select("id"), "id", "left_semi")
+        done += asked.where(F.col("embedding_model") == model).count()
+        after = last
+        todo.unpersist()
+    return done
 
 
 def prune(store: Store, prefix: str, apply: bool = False, drop_feed: bool = False, reset_poll_state: bool = False) -> dict[str, int]:
-    """Rows that go with the feeds whose name begins with the prefix; nothing is touched without apply."""
-    feeds = store.read("feed").where(F.col("name").startswith(prefix))
+    """Rows that go with the feeds whose name begins with the prefix, in which % and _ stand for any text and character; nothing is touched without apply."""
+    hit = F.col("name").like(f"{prefix}%")
+    feeds = store.read("feed").where(hit)
     gone = cascade(feeds, {t: store.read(t) for t, *_ in LINKS}, LINKS)
     counts = {("feed" if t == "root" else t): rows.count() for t, rows in gone.items()}
     if apply:
@@ -58,7 +77,6 @@ def prune(store: Store, prefix: str, apply: bool = False, drop_feed: bool = Fals
         if drop_feed:
             store.replace("feed", remaining(store.read("feed"), feeds, "id"))
         elif reset_poll_state:
-            hit = F.col("name").startswith(prefix)
             store.replace("feed", store.read("feed").withColumns({c: F.when(~hit, F.col(c)) for c in ("etag", "last_modified", "last_polled_at")}))
     return counts
 
@@ -111,3 +129,18 @@ def doctor(tables: dict[str, DataFrame], width: int) -> DataFrame:
     stored = v.select(F.lit("stored embeddings").alias("check"), F.when(F.col("models") > 1, "degraded").otherwise("ok").alias("status"), F.concat("reports", F.lit(" reports, "), "models", F.lit(" models")).alias("detail"))
     schema = v.select(F.lit("schema").alias("check"), F.when(F.col("odd") > 0, "error").otherwise("ok").alias("status"), F.concat("odd", F.lit(f" vectors not of width {width}")).alias("detail"))
     return reference.unionByName(stored).unionByName(schema)
+
+
+def endpoint_checks(spark, endpoints: dict[str, tuple[str, str]], probe=advertised) -> DataFrame:
+    """A row of doctor() for each endpoint (name -> address, model): error if it lists nothing, degraded if it doesn't list the model."""
+    rows = []
+    for name, (base, model) in endpoints.items():
+        listed = probe(base)
+        status = "error" if listed is None else "ok" if model in listed else "degraded"
+        rows.append((name, status, "no answer" if listed is None else f"{len(listed)} models" + ("" if status == "ok" else f", not {model}")))
+    return spark.createDataFrame(rows, "check string, status string, detail string")
+
+
+def exit_code(checks: DataFrame) -> int:
+    """1 if any check is an error."""
+    return int(not checks.where("status = 'error'").isEmpty())

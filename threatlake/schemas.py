@@ -13,7 +13,7 @@ S, I, B, D, TS, F64 = T.StringType(), T.IntegerType(), T.BooleanType(), T.DateTy
 
 FEED = _struct(id=S, name=S, url=S, kind=S, poll_interval_minutes=I, etag=S, last_modified=S, last_polled_at=TS, enabled=B, fetch_articles=B)
 RAW_DOCUMENT = _struct(id=S, feed_id=S, source_url=S, fetched_at=TS, content_hash=S, title=S, published_at=TS, raw_html=S, clean_text=S)
-THREAT_ACTOR = _struct(id=S, canonical_name=S, aliases=T.ArrayType(S), suspected_origin_country=S, misp_uuid=S)
+THREAT_ACTOR = _struct(id=S, canonical_name=S, aliases=T.ArrayType(S), suspected_origin_country=S, misp_uuid=S, load_ordinal=T.LongType())
 ATTACK_TECHNIQUE = _struct(technique_id=S, name=S, tactic=S)
 ENRICHMENT_RUN = _struct(id=S, document_id=S, model=S, prompt_version=S, started_at=TS, finished_at=TS, status=S, raw_response=S, attempt=I, chunk_index=I)
 REPORT = _struct(id=S, document_id=S, enrichment_run_id=S, summary=S, report_date=D, confidence=S, embedding=T.ArrayType(T.FloatType()), embedding_model=S, embedding_dim=I)
@@ -36,4 +36,4 @@ EXTRACTION = _struct(
 )
 PARSED_DOCUMENT = _struct(source_url=S, title=S, published_at=TS, raw_html=S, clean_text=S)
 #: Unique keys that sinks enforce.
-KEYS = {"feed": ("url",), "raw_document": ("feed_id", "content_hash"), "threat_actor": ("canonical_name",), "attack_technique": ("technique_id",), "report": ("document_id",), "report_actor": ("report_id", "actor_id"), "report_technique": ("report_id", "technique_id"), "ioc": ("report_id", "kind", "value_defanged"), "actor_review_queue": ("report_id", "raw_name")}
+KEYS = {"feed": ("url",), "raw_document": ("feed_id", "content_hash"), "threat_actor": ("canonical_name",), "attack_technique": ("technique_id",), "report": ("document_id",), "report_actor": ("report_id", "actor_id"), "report_technique": ("report_id", "technique_id"), "report_target": ("id",), "ioc": ("report_id", "kind", "value_defanged"), "actor_review_queue": ("report_id", "raw_name")}
