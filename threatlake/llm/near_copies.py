@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, column, map_columns, materialize, release
+from .common import BROADCAST_BYTES, column, materialize, release
 from .graph import components
 from .kernel import U64, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
 from .simhash import LOWER, chained, lane_bits
@@ -93,26 +93,28 @@ def _class_id(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sketch(size: int):
-    def step(batch):
-        cols = [[] for _ in range(3 + NARROW)]
-        ends = [np.zeros(0, np.int64)]
-        for _, values, first in shingle_sets(column(batch, "text"), size):
-            count = np.diff(first)
-            full = np.flatnonzero(count)
-            keys = np.zeros((len(full), BANDS), U64)
-            for k in range(BANDS * ROWS if len(full) else 0):
-                least = np.minimum.reduceat((values ^ _ODD[k - 1]) * _ODD[k], first[full])
-                band = k // ROWS
-                keys[:, band] = mix((keys[:, band] ^ least) * _ODD[k] + U64(band + 1))
-            bits = fingerprints_of(values, first, NARROW)
-            for c, x in zip(cols, (_class_id(values, first), count.astype(U64), keys.reshape(-1), *bits.T), strict=True):
-                c.append(np.ascontiguousarray(x))
-            ends.append(np.where(count > 0, BANDS, 0))
-        ids, counts, bands, *lanes = (pa.array((np.concatenate(c) if c else np.zeros(0, U64)).view(np.int64)) for c in cols)
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(ends))]).astype(np.int32)
-        return [ids, counts, pa.ListArray.from_arrays(pa.array(offsets), bands), *lanes]
-
-    return step
+    """Batches of doc_id and text -> doc_id, cls, n, bands and the narrow lanes, a batch for each block of texts."""
+    names = ["doc_id", "cls", "n", "bands", *(f"f{k}" for k in range(NARROW))]
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for texts, values, first in shingle_sets(column(batch, "text"), size):
+                count = np.diff(first)
+                full = np.flatnonzero(count)
+                keys = np.zeros((len(full), BANDS), U64)
+                for k in range(BANDS * ROWS if len(full) else 0):
+                    least = np.minimum.reduceat((values ^ _ODD[k - 1]) * _ODD[k], first[full])
+                    band = k // ROWS
+                    keys[:, band] = mix((keys[:, band] ^ least) * _ODD[k] + U64(band + 1))
+                ends = np.concatenate([[0], np.cumsum(np.where(count > 0, BANDS, 0))]).astype(np.int32)
+                lanes = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in fingerprints_of(values, first, NARROW).T]
+                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))
+                ids = pa.array(_class_id(values, first).view(np.int64))
+                yield pa.RecordBatch.from_arrays([column(batch, "doc_id").slice(at, texts), ids, pa.array(count.astype(np.int64)), bands, *lanes], names=names)
+                at += texts
+
+    return run
 
 
 def fingerprints_of(values: np.ndarray, first: np.ndarray, lanes: int) -> np.ndarray:
@@ -251,12 +253,12 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
 
 
 def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, cls, at) rows, and the keys of more than SMALL rows; at is the key's band, or 0 if any key was dealt anew.
+    """A row of classes for each key, with key and at, and the keys of more than SMALL rows; at is the key's band, or 0 if any key was dealt anew.
 
     A key of more than MOST rows is replaced by that key with each later band, and once more by triples:
     a pair is then lost only if it shares no more bands than that, and all of them are so large.
     """
-    rows = classes.select("cls", "bands", F.posexplode("bands").alias("at", "key"))
+    rows = classes.select("*", F.posexplode("bands").alias("at", "key"))
     done = []
     for last in (False, False, True):
         count = materialize(rows.groupBy("key").count().where(F.col("count") > SMALL), "large")
@@ -266,13 +268,12 @@ def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
         done.append((rows.join(hot, "key", "left_anti"), count.where(F.col("count") <= MOST)))
         more = F.transform("bands", lambda b, i: F.struct(i.alias("at"), F.xxhash64("key", b).alias("key")))
-        finer = rows.join(hot, "key", "left_semi").select("cls", "bands", F.explode(F.filter(more, lambda x: x["at"] > F.col("at"))).alias("x"))
-        rows = materialize(finer.select("cls", "bands", "x.at", "x.key"), "finer")
+        finer = rows.join(hot, "key", "left_semi").select(*classes.columns, F.explode(F.filter(more, lambda x: x["at"] > F.col("at"))).alias("x"))
+        rows = materialize(finer.select(*classes.columns, "x.at", "x.key"), "finer")
     keyed, large = done[0]
     for rows, count in done[1:]:
         keyed, large = keyed.unionByName(rows), large.unionByName(count)
-    at = F.col("at") if len(done) == 1 else F.lit(0).alias("at")
-    return keyed.select("key", "cls", at), large.select("key")
+    return (keyed if len(done) == 1 else keyed.withColumn("at", F.lit(0))), large.select("key")
 
 
 def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -289,7 +290,8 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     lanes = [f"f{k}" for k in range(NARROW)]
     fields = ", ".join(f"{x} long" for x in lanes)
-    prints = materialize(map_columns(texts, lambda: _sketch(shingle_words), f"cls long, n long, bands array<long>, {fields}").drop("text"), "sketches")
+    sketched = T.StructType([texts.schema["doc_id"], *T._parse_datatype_string(f"cls long, n long, bands array<long>, {fields}").fields])
+    prints = materialize(texts.mapInArrow(_sketch(shingle_words), sketched), "sketches")
     parts = [F.first(c).alias(c) for c in ("n", "bands", *lanes)]
     classes = materialize(prints.where("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"), *parts), "classes")
     keyed, large = _dealt(classes)
@@ -301,12 +303,11 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
         got = rows.select(*Pairs(similarity, rest).names).repartition("key").sortWithinPartitions("key", "cls")
         return got.mapInArrow(run, "a long, b long, u long, v long").distinct()
 
-    own = classes.drop("bands")
-    seen = materialize(candidates(own.join(keyed, "cls"), False), "pairs")
+    seen = materialize(candidates(keyed, False), "pairs")
     edges = _confirmed(seen, texts, shingle_words, similarity)
     found = components(edges, "u", "v")
     if not large.isEmpty():
-        rest = keyed.join(large, "key", "left_semi").join(classes.select("cls", "node", "n", "bands"), "cls").join(found, "node", "left")
+        rest = keyed.select("key", "cls", "at", "node", "n", "bands").join(large, "key", "left_semi").join(found, "node", "left")
         rest = materialize(rest.withColumn("root", F.coalesce("root", "node")), "rest")
         mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
         every, rest = rest, materialize(rest.join(mixed, "key", "left_semi"), "mixed")
