@@ -373,7 +373,7 @@ class Names:
                 break
             for k, candidate in self.buckets[n]:
                 matcher.set_seq1(candidate)
-                if matcher.quick_ratio() >= top[0]:
+                if (most := matcher.quick_ratio()) > top[0] or most == top[0] and k < -top[1]:
                     top = max(top, (matcher.ratio(), -k))
         return (-top[1], top[0]) if top[0] else (-1, 0.0)
 
