@@ -32,14 +32,41 @@ def found(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
 
 
-@pytest.mark.parametrize("window", [2, 5, 13, 20])
-def test_substring(docs, odd, window):
-    rows = shared_texts() + odd
-    got = substring_dedup.remove_repeats(docs(rows, clash=True), window, layout="words")
-    assert found(got, "doc_id", "n_words", "n_removed", F.sha2("text", 256)) == sorted(brute.substring(rows, window), key=str)
+@pytest.mark.parametrize(("window", "blocks", "direct"), [(2, None, 4096), (5, 9, 4), (13, None, 4096), (13, 40, 4), (20, None, 4096), (50, None, 4096), (50, 17, 4)])
+def test_substring(docs, odd, window, blocks, direct, monkeypatch):
+    """Also through nodes, beyond the number of blocks that ask every shard by themselves."""
+    monkeypatch.setattr(substring_dedup, "DIRECT_BLOCKS", direct)
+    long = [f"l{k}" for k in range(120)]
+    rows = shared_texts() + odd + [(200 + k, " ".join(["own", str(k), *long[a:b], "end"])) for k, (a, b) in enumerate([(0, 120), (10, 59), (10, 60), (0, 60), (40, 100), (3, 40), (0, 30), (90, 120), (0, 120)])]
+    got = substring_dedup.remove_repeats(docs(rows, clash=True), window, layout="words", blocks_wanted=blocks)
+    want = sorted(brute.substring(rows, window), key=str)
+    assert found(got, "doc_id", "n_words", "n_removed", F.sha2("text", 256)) == want
+    assert any(x[2] for x in want if (x[0] or 0) >= 200)
     assert "__x" in got.columns
 
 
+def test_substring_levels_ask_only_survivors():
+    """A level is asked by windows that passed the levels before it, and no repeat of a whole window fails to pass."""
+    passage = [f"p{k}" for k in range(50)]
+    texts = [" ".join(passage), " ".join(["x", *passage, "y"]), " ".join(passage[:30] + ["z"] * 30)]
+    raw = [t.encode() for t in texts]
+    w = substring_dedup.Windows(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 50)
+    assert w.steps == [7, 13, 25, 50]
+    told, alive = [], []
+    for level in range(3):
+        at = w.alive(told, 8)
+        alive.append({int(w.doc[k]) for k in at})
+        keys = substring_dedup._base_key(w.anchor(level)[at], 8)
+        mine = {d: set(keys[w.doc[at] == d].tolist()) for d in alive[-1]}
+        told.append(np.array(sorted({k for d in mine for k in mine[d] if sum(k in x for x in mine.values()) > 1}), np.uint64))
+    assert alive[0] == {0, 1, 2} and {int(w.doc[k]) for k in w.alive(told, 8)} == {0, 1}
+
+
+def test_substring_refuses_other_ids(spark):
+    with pytest.raises(ValueError):
+        substring_dedup.remove_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
 def test_substring_cut_keeps_form(docs):
     twice = " ".join(f"p{k}" for k in range(14))
     got = substring_dedup.remove_repeats(docs([(1, twice), (2, f"A\n\nb {twice}\nc  d")]), 13).where("doc_id = 2").first()
