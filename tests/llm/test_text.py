@@ -145,7 +145,9 @@ def test_quality_counts(docs, odd):
 
 def test_quality_model_on_held_out_rows(spark):
     d, lab = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
-    train, test = lab.where("doc_id % 2 = 0"), lab.where("doc_id % 2 = 1")
+    # By a hash of the text, so that copies of a text are on one side.
+    even = d.select("doc_id", (F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("even"))
+    train, test = (lab.join(even.where(side), "doc_id").drop("even") for side in ("even", "not even"))
     model = quality.train(d, train)
     got = quality.judge(d, model).join(test.select("doc_id", "quality"), "doc_id").select("quality", "base_failed", "p_good", "kept").collect()
     good, bad = [r for r in got if r.quality == 1 and not r.base_failed], [r for r in got if r.quality == 0]
@@ -156,6 +158,23 @@ def test_quality_model_on_held_out_rows(spark):
     assert abs(sure[:, 0].mean() - sure[:, 1].mean()) < 0.03  # calibrated
 
 
+def test_calibration_rows_have_no_near_copies_among_fitted_rows():
+    r = np.random.default_rng(4)
+    pair = quality.GROUPS.index(("word", 2)) << quality.BITS
+    base = [np.unique(r.integers(0, 1 << quality.BITS, 200)) + pair for _ in range(60)]
+    slots = [np.unique(np.concatenate([b[r.random(len(b)) > 0.03], r.integers(0, 1 << quality.BITS, 3) + pair])) for b in base for _ in range(r.integers(1, 5))] + [np.zeros(0, np.int64)] * 2
+    first = np.array([min((k for k in range(j + 1) if len(np.intersect1d(slots[k], s)) * 2 > len(s)), default=j) for j, s in enumerate(slots)])
+    first[-2:] = len(slots) - 2  # rows without pairs are alike
+    assert (quality.near_groups(slots) == first).all()
+    labels = first % 2
+    out = quality.held_out_rows(slots, labels)
+    assert not set(first[out]) & set(first[~out])
+    for label in (0, 1):
+        assert 0.15 < out[labels == label].mean() <= 0.25
+    labels[-1] = 1 - labels[-2]
+    assert not quality.held_out_rows(slots, labels)[-2:].any()  # labelled both ways
+
+
 def test_licences(docs, odd):
     rows = [
         (1, "Some text.\nLicensed under the Apache License, Version 2.0.\nmore"), (2, "released under the mit license"), (3, "All rights reserved.\nReleased under the MIT License."),

@@ -10,6 +10,8 @@ weights up in one table of fixed size and averages by document.
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -151,10 +153,50 @@ def _sparse(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["label", "slots", "values"])
 
 
+def near_groups(slots: list[np.ndarray], similarity: float = 0.5) -> np.ndarray:
+    """For each row the smallest row of its group; rows whose word pairs have about that Jaccard similarity (by 64 MinHash values) are of one group.
+
+    For the bounded rows of a sample, whose pairs are compared in memory.
+    """
+    seeds = mix(np.arange(1, 65, dtype=U64))
+    pairs = [s[(s >> BITS) == GROUPS.index(("word", 2))].astype(U64) for s in slots]
+    sketch = np.stack([mix((s * U64(0x9E3779B97F4A7C15))[None, :] ^ seeds[:, None]).min(axis=1) if len(s) else np.zeros(64, U64) for s in pairs])
+    alike = np.zeros((len(slots), len(slots)), bool)
+    for k, row in enumerate(sketch):
+        alike[k] = (sketch == row).sum(axis=1) >= similarity * 64
+    group = np.arange(len(slots))
+    while True:
+        new = np.where(alike, group[None, :], len(slots)).min(axis=1)
+        new = new[new]
+        if (new == group).all():
+            return group
+        group = new
+
+
+def held_out_rows(slots: list[np.ndarray], labels: np.ndarray, share: float = 0.25) -> np.ndarray:
+    """Which rows calibrate: about a share of each label's, near copies of fitted rows never among them.
+
+    Whole groups of near copies go one way, by a hash of their content; a label's
+    groups calibrate in that order until its share is full, and one at least is fitted.
+    """
+    group = near_groups(slots)
+    out = np.zeros(len(labels), bool)
+    content = {g: hashlib.sha256(slots[g].tobytes()).digest() for g in set(group.tolist())}
+    for label in sorted(set(labels.tolist()), reverse=True):
+        sizes = Counter(group[(labels == label) & ~out].tolist())
+        mixed = set(group[labels != label].tolist())
+        room = share * (labels == label).sum()
+        for g in sorted((g for g in sizes if g not in mixed), key=content.__getitem__):
+            if sizes[g] <= room:
+                out[group == g] = True
+                room -= sizes[g]
+    return out
+
+
 def fit(slots: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, rate: float, steps: int = 120, held_out: float = 0.25) -> Model:
-    """Logistic regression by full-batch Adam; every fourth row calibrates. rate: the share of good rows at large."""
+    """Logistic regression by full-batch Adam; held-out rows calibrate. rate: the share of good rows at large."""
     n = len(labels)
-    own = np.arange(n) % round(1 / held_out) != 0
+    own = ~held_out_rows(slots, labels, held_out)
     used, column_of = np.unique(np.concatenate(slots), return_inverse=True)
     row = np.repeat(np.arange(n), [len(s) for s in slots])
     value = np.concatenate(values).astype(np.float64)
@@ -206,7 +248,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, do
 
     At most sample_rows labelled ids of each label are fitted, chosen by a
     hash of the id, so any input size costs the driver the same. Rows whose label
-    is not 0 or 1 are left out; an id labelled twice has its smaller label.
+    is not 0 or 1 are left out; an id labelled twice has its smaller label. Texts
+    of the same n-grams are fitted once, and near copies never lie on both sides
+    of the split between fitting and calibration. Rows that repeat a labelled id
+    are rows of their own; empty tables give None.
     """
     clean = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("label"))
     counts = {r.label: r.n for r in clean.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -219,7 +264,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, do
     got = rows.select("label", "text", F.xxhash64("id").alias("order")).select("label", "text").mapInArrow(_sparse, "label int, slots binary, values binary").collect()
     if len({r.label for r in got}) < 2:
         return None
-    got.sort(key=lambda r: bytes(r.slots))  # an order that doesn't depend on how tasks ended
+    # Copies count once, in an order that doesn't depend on how tasks ended; a copy labelled both ways has its smaller label.
+    once: dict[bytes, object] = {}
+    for r in sorted(got, key=lambda r: (r.label, bytes(r["values"]))):
+        once.setdefault(bytes(r.slots), r)
+    got = [once[k] for k in sorted(once)]
+    if len({r.label for r in got}) < 2:
+        return None
     slots = [np.frombuffer(r.slots, "<i4") for r in got]
     values = [np.frombuffer(r["values"], "<f4") for r in got]
     return fit(slots, values, np.array([r.label for r in got]), counts[1] / (counts[0] + counts[1]))
@@ -234,7 +285,8 @@ def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, te
     base_failed: fewer than 10 words, or over a fifth of the words lie in 5-word
     windows that the text has twice. kept: not base_failed and p_good at least
     the threshold. Without a model p_good is null and only base rules decide.
-    Null text has no words. Columns of the new names are replaced, others pass through.
+    Null text has no words. Repeated rows are judged each by itself, an empty table stays
+    empty. Columns of the new names are replaced, others pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
