@@ -35,6 +35,8 @@ from .kernel import U64, Words, blocks, find_words, member, pack, range_hash, te
 
 #: Parquet bytes of documents for each block and each shard.
 BLOCK_INPUT = 4 << 20
+#: Block numbers end here (256 TB of Parquet).
+MOST_BLOCKS = 1 << 26
 #: Blocks up to which each one asks every shard by itself.
 DIRECT_BLOCKS = 4096
 #: Bytes of a hash that travel besides its shard: at the base level, where a
@@ -392,7 +394,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
         raise ValueError("a window has two words or more")
     if not isinstance(docs.select(doc_id).schema[0].dataType, T.IntegralType):
         raise ValueError(f"{doc_id} must be of an integer type")
-    count = blocks_wanted or block_count(docs, BLOCK_INPUT)
+    count = blocks_wanted or block_count(docs, BLOCK_INPUT, most=MOST_BLOCKS)
     # Shards of a node exchange are (lane, part); below, "shard" is the lane.
     shards = count if count <= DIRECT_BLOCKS else math.isqrt(count - 1) + 1
     parts = -(-count // shards)
