@@ -166,7 +166,7 @@ def near_groups(slots: list[np.ndarray], similarity: float = 0.5) -> np.ndarray:
         alike[k] = (sketch == row).sum(axis=1) >= similarity * 64
     group = np.arange(len(slots))
     while True:
-        new = np.where(alike, group[None, :], len(slots)).min(axis=1)
+        new = np.array([group[row].min() for row in alike], np.int64)
         new = new[new]
         if (new == group).all():
             return group
