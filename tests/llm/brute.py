@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
+from itertools import permutations
 
 import xxhash
 
@@ -127,3 +129,89 @@ def best_fit(lengths, capacity):
         else:
             room.append(capacity - n)
     return sorted(room)
+
+
+def runs(words, least=12):
+    """(start, length, period) of each run, lag by lag, word by word."""
+    n, found = len(words), {}
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, 2 * q) and j > i:
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapse(words, own):
+    gone = {k for s, length, q in own for k in range(s + q, s + length)}
+    return " ".join(w for k, w in enumerate(words) if k not in gone)
+
+
+def planted(doc_id, text):
+    w = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if doc_id is None or h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def leaks(docs, items, window):
+    """(doc_id, n_words, hit words, item ids) of each document."""
+    own = {}
+    for i, text in items:
+        w = ITEM_WORD.findall((text or "").translate(LOWER))
+        k = min(window, len(w))
+        if w and i is not None:
+            own.setdefault(k, {})
+            for j in range(len(w) - k + 1):
+                own[k].setdefault(tuple(w[j : j + k]), set()).add(str(i))
+    out = []
+    for d, text in docs:
+        w = ITEM_WORD.findall((text or "").translate(LOWER))
+        hit, ids = set(), set()
+        for k, windows in own.items():
+            for j in range(len(w) - k + 1):
+                if got := windows.get(tuple(w[j : j + k])):
+                    hit |= set(range(j, j + k))
+                    ids |= got
+        out.append((d, len(w), sorted(hit), sorted(ids)))
+    return out
+
+
+def audit(docs, labels):
+    """docs: (doc_id, text, lang). Rows of the five filters' interactions."""
+    least = {}
+    for i, text, _ in docs:
+        if i is not None:
+            least[text or ""] = min(i, least.get(text or "", i))
+    good, toxic = ({i for i, *x in labels if x[k] == 1 and i is not None} for k in (0, 1))
+    rows = []
+    for i, text, lang in docs:
+        t = text or ""
+        w = WORD.findall(t)
+        fails = [len(w) < 100, 100 * len(set(w)) < 80 * len(w), 100 * sum("A" <= c <= "Z" for c in t) > 10 * len(t), any(c in "#$%&*|" for c in t), i is not None and i > least[t]]
+        rows.append((lang or "", {x for x, f in zip("ABCDE", fails, strict=True) if f}, i in good, i in toxic))
+    out = []
+    for part in {r[0] for r in rows}:
+        own, lost = [r for r in rows if r[0] == part], Counter()
+        counts = {}
+        for order in permutations("ABCDE"):
+            left = own
+            for step, x in enumerate(order, 1):
+                gone = [r for r in left if x in r[1]]
+                failed = sum(x in r[1] for r in own)
+                left = [r for r in left if x not in r[1]]
+                lost[x] += len(gone)
+                counts["".join(order), step] = len(left), len(gone), failed - len(gone), sum(r[1] == {x} for r in own), sum(r[2] for r in gone), sum(r[3] for r in gone), x
+        out += [(part, order, step, *c[:6], lost[c[6]]) for (order, step), c in counts.items()]
+    return sorted(out)

@@ -68,6 +68,14 @@ def kept_fields(schema: T.StructType, new: T.StructType) -> list[T.StructField]:
     return [f for f in schema if f.name.lower() not in names]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have, in any case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def map_columns(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], list]], new: str | T.StructType) -> DataFrame:
     """df with the columns `new`, made batch by batch; they replace any of the same names.
 

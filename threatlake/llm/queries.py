@@ -1,4 +1,4 @@
-"""The corpus operators' queries: opN_<name> for N from 1 to 10, and the pipeline.
+"""The corpus operators' queries: opN_<name> for N from 1 to 13, and the pipeline.
 
 A query is thin: it reads its whole table, applies its operator with production
 parameters and derives the contract's digest columns from the operator's output.
@@ -101,6 +101,39 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_common_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit
+
+    return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import decontaminate
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import collapse_runs, planted
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", planted("doc_id", "text").alias("text"))
+    found = collapse_runs(docs, min_length=12)
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"]))), 1)
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select("doc_id", "runs", "text", F.when(F.size("runs") > 0, best).alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.less") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line.alias("l"), ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,7 +142,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_license_scan, op2_substring_dedup, op3_chat_format, op4_pack, op5_quality, op6_ann, op7_simhash, op8_token_counts, op9_bpe, op10_line_dedup, pipeline)
+    for f in (op1_license_scan, op2_substring_dedup, op3_chat_format, op4_pack, op5_quality, op6_ann, op7_simhash, op8_token_counts, op9_bpe, op10_line_dedup, op11_filter_audit, op12_decontaminate, op13_periodic_runs, pipeline)
 }
 
 #: DuckDB SQL where SQL can express the query; the others are tested against
@@ -149,4 +182,33 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(x, chr(10) order by i) filter (where coalesce(n, 0) < 10), '')) kept_sha256
         from k left join c using (key) group by doc_id
     """,
+    "op11_filter_audit": """
+        with t as (select doc_id, coalesce(lang, '') part, coalesce(text, '') x from documents),
+        w as (select *, regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+') ws, min(doc_id) over (partition by x) lo from t),
+        l as (select doc_id, bool_or(quality = 1) g, bool_or(toxic = 1) h from labels group by doc_id),
+        m as (select part, {'A': len(ws) < 100, 'B': 100 * len(list_distinct(ws)) < 80 * len(ws), 'C': 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x),
+                'D': regexp_matches(x, '[#$%&*|]'), 'E': coalesce(w.doc_id > lo, false)} f, coalesce(g, false) g, coalesce(h, false) h from w left join l on w.doc_id = l.doc_id),
+        c as (select part, f.A::int::varchar a, f.B::int::varchar b, f.C::int::varchar c, f.D::int::varchar d, f.E::int::varchar e, count(*) n, count(*) filter (where g) good, count(*) filter (where h) toxic from m group by all),
+        s as (select *, case when a = '1' then 'A' else '' end || case when b = '1' then 'B' else '' end || case when c = '1' then 'C' else '' end || case when d = '1' then 'D' else '' end || case when e = '1' then 'E' else '' end fails from c),
+        letters as (select unnest(['A', 'B', 'C', 'D', 'E']) x),
+        orders as (select a.x || b.x || c.x || d.x || e.x filter_order from letters a, letters b, letters c, letters d, letters e
+            where a.x not in (b.x, c.x, d.x, e.x) and b.x not in (c.x, d.x, e.x) and c.x not in (d.x, e.x) and d.x <> e.x),
+        steps as (select filter_order, step::int step, filter_order[step] x, filter_order[1:step - 1] before from orders, range(1, 6) r(step)),
+        j as (select s.*, filter_order, step, steps.x, contains(fails, steps.x) mine, length(translate(fails, before, '')) < length(fails) gone from s, steps),
+        r as (select part, filter_order, step, x, coalesce(sum(n) filter (where not mine and not gone), 0)::bigint kept, coalesce(sum(n) filter (where mine and not gone), 0)::bigint removed,
+            coalesce(sum(n) filter (where mine and gone), 0)::bigint redundant, coalesce(sum(n) filter (where fails = x), 0)::bigint unique_fails,
+            coalesce(sum(good) filter (where mine and not gone), 0)::bigint good_lost, coalesce(sum(toxic) filter (where mine and not gone), 0)::bigint toxic_lost from j group by all)
+        select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) over (partition by part, x))::bigint shapley from r
+    """,
+    "op12_decontaminate": """
+        with d as (select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') ws from documents),
+        b as (select item_id, ws, least(10, len(ws)) k from (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') ws from benchmark where item_id is not null) where len(ws) > 0),
+        bw as (select distinct item_id, k, array_to_string(ws[i:i + k - 1], ' ') g from (select *, unnest(range(1, len(ws) - k + 2)) i from b)),
+        dw as (select r, k, i, array_to_string(ws[i:i + k - 1], ' ') g from (select d.r, d.ws, ks.k, unnest(range(1, len(ws) - ks.k + 2)) i from d, (select distinct k from bw) ks)),
+        h as (select dw.r, dw.i, dw.k, bw.item_id from dw join bw using (k, g)),
+        n as (select r, count(distinct i + o) n_hit from h, range(0, 10) x(o) where o < k group by r),
+        t as (select r, count(*) n_items, string_agg(id, ',' order by id) ids from (select distinct r, item_id::varchar id from h) group by r)
+        select doc_id, len(ws)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items, sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+        from d left join n using (r) left join t using (r)
+    """,
 }
