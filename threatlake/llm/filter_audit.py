@@ -104,9 +104,10 @@ def refine(rows: DataFrame) -> DataFrame:
     ended, now, depth = None, rows.select("n_chars", "hashes", "key", F.col("n_chars").alias("cls")), 0
     scratch = []
     while True:
-        split = now.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls")
+        # Written first, so that both sides of the join are plain exchanges and a class of very many rows can be split.
+        split = materialize(now.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls"), "refined")
         left = materialize(now.join(split, "cls", "left_semi"), "refine")
-        scratch.append(left)
+        scratch += [split, left]
         over = left.where(F.size("hashes") <= depth).select("key")
         ended = over if ended is None else ended.unionByName(over)
         going = left.where(F.size("hashes") > depth)
