@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from threatlake.functions import text as X
 from threatlake.functions import udfs as U
+from threatlake.operators.similar import Cell
 
 
 def one(spark, column, **values):
@@ -102,8 +103,8 @@ def test_contract(raw, status):
 
 
 def test_best_match_keeps_the_first_of_equals():
-    assert U.best_match("volt typhoon", ["volt tyfoon", "volt typhoons"])[0] == 1
-    assert U.best_match("zzz", ["abc"]) == (-1, 0.0)
+    assert Cell(["volt tyfoon", "volt typhoons"], [0, 1]).best("volt typhoon")[0] == 1
+    assert Cell(["abc"], [0]).best("zzz") == (-1, 0.0)
 
 
 @pytest.mark.parametrize("body", ["<!DOCTYPE r [<!ENTITY a 'x'>]><r>&a;</r>", "<r>", ""])

@@ -14,6 +14,7 @@ from threatlake.functions import udfs as U
 from threatlake.operators import merge
 from threatlake.operators import metrics as M
 from threatlake.operators import store as store_module
+from threatlake.operators.similar import Cell
 from threatlake.operators.store import Store
 from threatlake.plans import api, enrich, evaluate, ingest, load, maintain
 from threatlake.sources import feeds, fetch, gold
@@ -201,7 +202,7 @@ def test_names_find_the_best_of_all():
         name = "".join(r.choices("abcd ", k=r.randrange(0, 14)))
         ratios = [SequenceMatcher(None, n, name).ratio() for n in names]
         top = max(ratios)
-        assert U.best_match(name, names) == ((ratios.index(top), top) if top else (-1, 0.0))
+        assert Cell(names, list(range(len(names)))).best(name) == ((ratios.index(top), top) if top else (-1, 0.0))
 
 
 def test_attempts():

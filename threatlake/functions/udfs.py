@@ -9,7 +9,6 @@ import re
 import unicodedata
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
-from difflib import SequenceMatcher
 from email.utils import parsedate_to_datetime
 from html.parser import HTMLParser
 from xml.etree import ElementTree
@@ -355,33 +354,6 @@ def disallowed(address: str | None) -> bool:
     return any((ip.is_private, ip.is_loopback, ip.is_link_local, ip.is_reserved, ip.is_multicast, ip.is_unspecified))
 
 
-class Names:
-    """Candidates in buckets of equal length; a bucket is entered only while its lengths alone allow a better ratio."""
-
-    def __init__(self, names: list[str]):
-        self.buckets: dict[int, list[tuple[int, str]]] = {}
-        for k, n in enumerate(names):
-            self.buckets.setdefault(len(n), []).append((k, n))
-
-    def best(self, name: str) -> tuple[int, float]:
-        """(index, ratio) of the most similar candidate, the earliest on ties; (-1, 0.0) if none is similar."""
-        top = (0.0, 0)  # ratio, then the earlier index
-        matcher = SequenceMatcher(None, "", name)
-        bound = {n: 2 * min(n, len(name)) / (n + len(name)) if n or name else 1.0 for n in self.buckets}
-        for n in sorted(self.buckets, key=lambda n: -bound[n]):
-            if bound[n] < top[0] or not bound[n]:
-                break
-            for k, candidate in self.buckets[n]:
-                matcher.set_seq1(candidate)
-                if (most := matcher.quick_ratio()) > top[0] or most == top[0] and k < -top[1]:
-                    top = max(top, (matcher.ratio(), -k))
-        return (-top[1], top[0]) if top[0] else (-1, 0.0)
-
-
-def best_match(name: str, candidates: list[str]) -> tuple[int, float]:
-    return Names(candidates).best(name)
-
-
 class SchemaFail(ValueError):
     pass
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.udfs import Names, canonicalize
+from ..functions.udfs import canonicalize
+from .similar import most_similar
 
 FUZZY_THRESHOLD = 0.9
 
@@ -49,27 +49,12 @@ def name_index(actors: DataFrame) -> DataFrame:
 def resolve_actors(mentions: DataFrame, index: DataFrame, column: str = "name", threshold: float = FUZZY_THRESHOLD) -> DataFrame:
     """mentions with actor_id, match (exact, fuzzy or null), best_match_actor_id and best_match_score.
 
-    Exact lookup first; only distinct names that miss are compared with the
-    index's names, in Arrow batches. The index is a reference table (some
-    thousand names) and is collected once its count is checked.
+    Exact lookup first; only distinct names that miss look for their most similar name.
     """
     keyed = mentions.withColumn("__key", X.name_key(F.col(column)))
     exact = keyed.join(index.select(F.col("name_key").alias("__key"), F.col("actor_id").alias("__exact")), "__key", "left")
     missed = exact.where("__exact is null and __key != ''").select("__key").distinct()
-    if index.limit(MOST_NAMES + 1).count() > MOST_NAMES:
-        raise ValueError(f"an actor index has at most {MOST_NAMES} names")
-    listed = index.orderBy("ordinal").select("name_key", "actor_id").collect()
-    ids = [r.actor_id for r in listed]
-    names = mentions.sparkSession.sparkContext.broadcast([r.name_key for r in listed])
-    id_type = index.schema["actor_id"].dataType.simpleString()
-
-    def compare(batches):
-        known = Names(names.value)
-        for batch in batches:
-            got = [known.best(k) for k in batch["__key"]]
-            yield pd.DataFrame({"__key": batch["__key"], "__best": [ids[i] if i >= 0 else None for i, _ in got], "__score": [s if i >= 0 else None for i, s in got]})
-
-    near = missed.mapInPandas(compare, f"__key string, __best {id_type}, __score double")
+    near = most_similar(missed, index.select("name_key", "actor_id", "ordinal"), "__key").select("__key", F.col("actor_id").alias("__best"), F.col("score").alias("__score"))
     joined = exact.join(near, "__key", "left")
     hit = F.col("__score") > threshold
     return joined.withColumns(
@@ -82,10 +67,6 @@ def resolve_actors(mentions: DataFrame, index: DataFrame, column: str = "name",
     ).drop("__key", "__exact", "__best", "__score")
 
 
-#: Names of an actor index that are compared in memory; more is refused, not cut.
-MOST_NAMES = 200_000
-
-
 def _first(rows: DataFrame, *keys: str) -> DataFrame:
     n = F.row_number().over(Window.partitionBy(*keys).orderBy("place"))
     return rows.withColumn("__n", n).where("__n = 1").drop("__n")
