@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import udfs as U
 from ..operators.store import Store, absent, first_by_key
+from ..sources import feed_stream
 from ..sources import feeds as feed_source
 
 
@@ -97,6 +98,18 @@ def run(store: Store, now: str, client: Callable) -> dict[str, int]:
     return poll(store, fetch_due(store, now, client), now, fetch_pages(client))
 
 
+def follow(store: Store, landing: str, checkpoint: str, pages: Callable[[DataFrame], DataFrame] | None = None, **options: str):
+    """The stream of feed bodies into the store: each round of answers is one poll(); a round that is run again stores nothing twice."""
+    rows = feed_stream.read_stream(store.spark, store.folders("feed"), landing, **options)
+
+    def write(batch: DataFrame, _: int) -> None:
+        at = batch.agg(F.max("polled_at").cast("string").alias("at")).first().at
+        if at is not None:
+            poll(store, batch.drop("url", "polled_at"), at, pages)
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def fetch_due(store: Store, now: str, client: Callable):
     """Bodies of the feeds that are due, fetched where each feed's partition runs, one host to one task."""
     import pandas as pd
