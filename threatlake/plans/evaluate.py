@@ -12,6 +12,7 @@ from ..clients import SYSTEM_PROMPT, CompletionClient, prompt_version
 from ..functions import text as X
 from ..operators import merge
 from ..operators import metrics as M
+from ..operators.find_names import find_names
 from ..operators.guardrails import check_quotes, check_techniques, name_index, resolve_actors, validate
 from ..sources import gold
 from . import enrich
@@ -23,17 +24,13 @@ GATE = 0.85
 def find_actors(documents: DataFrame, actors: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
     """(doc, canonical_name) of names and aliases written in the text, the longest at each place.
 
-    Names of 4 characters or more that aren't numbers, as one alternation; it is
-    built from the reference table, whose names are few thousand.
+    Names of 4 characters or more that aren't numbers, in one pass of each text.
     """
-    names = name_index(actors).where((F.length("name") >= MIN_ALIAS_CHARS) & ~F.col("name").rlike("^[0-9]+$"))
-    listed = sorted((r.name for r in names.select("name").distinct().collect()), key=lambda n: (-len(n), n))
-    if not listed:
-        return documents.select(doc, F.lit("").alias("canonical_name")).where(F.lit(False))
-    pattern = "(?iu)(?<![\\p{L}\\p{N}_])(?:" + "|".join("\\Q" + n.replace("\\E", "") + "\\E" for n in listed) + ")(?![\\p{L}\\p{N}_])"
-    hits = documents.select(doc, F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).alias("name")).withColumn("name_key", X.name_key(F.col("name"))).select(doc, "name_key").distinct()
-    canonical = name_index(actors).join(actors.select(F.col("id").alias("actor_id"), "canonical_name"), "actor_id")
-    return hits.join(canonical.select("name_key", "canonical_name"), "name_key").select(doc, "canonical_name").distinct()
+    index = name_index(actors)
+    names = index.where((F.length("name") >= MIN_ALIAS_CHARS) & ~F.col("name").rlike("^[0-9]+$"))
+    found = find_names(documents, names.select("name", F.col("name_key").alias("key")), doc, text).withColumnRenamed("key", "name_key")
+    canonical = index.join(actors.select(F.col("id").alias("actor_id"), "canonical_name"), "actor_id").select("name_key", "canonical_name")
+    return found.join(canonical, "name_key").select(doc, "canonical_name").distinct()
 
 
 def baseline(documents: DataFrame, techniques: DataFrame, actors: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:

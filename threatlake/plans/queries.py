@@ -409,6 +409,19 @@ def technique_find(t: Tables) -> DataFrame:
     return t.read("part").select("p_partkey", F.array_join(X.technique_mentions(said), ",").alias("found"))
 
 
+_ITEM_WORDS = "regexp_extract_all(text, '[\\p{L}\\p{N}_]+')"
+
+
+@query(f"""with n as (select min(item_id) as item_id, lower(name) as name from (select item_id, array_to_string(({_ITEM_WORDS})[2:4], ' ') as name from benchmark) where length(name) >= 4 group by lower(name))
+    select distinct doc_id, 'item ' || item_id as canonical_name from documents d join n on contains(lower(text), n.name) and regexp_matches(' ' || lower(coalesce(text, '')) || ' ', '[^\\p{{L}}\\p{{N}}_]' || n.name || '[^\\p{{L}}\\p{{N}}_]')""")
+def actor_find(t: Tables) -> DataFrame:
+    """Passages of three words of each test item, looked for as an actor's alias in all documents."""
+    words = F.regexp_extract_all("text", F.lit("[\\p{L}\\p{N}_]+"), F.lit(0))
+    items = t.read("benchmark").select("item_id", F.array_join(F.slice(words, 2, 3), " ").alias("name"))
+    actors = items.select(F.col("item_id").alias("id"), F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("canonical_name"), F.array("name").alias("aliases"), F.col("item_id").alias("load_ordinal"))
+    return evaluate.find_actors(t.read("documents"), actors, "doc_id")
+
+
 @query("select doc_id, floor(length(text) / 3.5)::bigint as tokens, length(text) > 7248 as over from documents")
 def token_budget(t: Tables) -> DataFrame:
     budget = X.document_budget(3000, 1502)
