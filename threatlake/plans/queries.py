@@ -412,8 +412,10 @@ def technique_find(t: Tables) -> DataFrame:
 _ITEM_WORDS = "regexp_extract_all(text, '[\\p{L}\\p{N}_]+')"
 
 
-@query(f"""with n as (select min(item_id) as item_id, lower(name) as name from (select item_id, array_to_string(({_ITEM_WORDS})[2:4], ' ') as name from benchmark) where length(name) >= 4 group by lower(name))
-    select distinct doc_id, 'item ' || item_id as canonical_name from documents d join n on contains(lower(text), n.name) and regexp_matches(' ' || lower(coalesce(text, '')) || ' ', '[^\\p{{L}}\\p{{N}}_]' || n.name || '[^\\p{{L}}\\p{{N}}_]')""")
+@query(f"""with n as (select min(item_id) as item_id, lower(name) as name from (select item_id, array_to_string(({_ITEM_WORDS})[2:4], ' ') as name from benchmark) where length(name) >= 4 group by lower(name)),
+    u as (select doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]') as u from documents),
+    g as (select distinct doc_id, array_to_string(u[i:i + 4], '') as name from (select doc_id, u, unnest(range(1, len(u) - 3)) as i from u))
+    select distinct doc_id, 'item ' || item_id as canonical_name from g join n using (name)""")
 def actor_find(t: Tables) -> DataFrame:
     """Passages of three words of each test item, looked for as an actor's alias in all documents."""
     words = F.regexp_extract_all("text", F.lit("[\\p{L}\\p{N}_]+"), F.lit(0))
