@@ -14,6 +14,7 @@ from ..functions.vocabulary import ATTRIBUTION
 from ..operators import guardrails as G
 from ..operators import merge
 from ..operators import metrics as M
+from ..operators import quotes
 from ..operators import store as S
 from ..sources import feeds, gold, reference
 from . import api, enrich, evaluate, maintain
@@ -238,29 +239,8 @@ def report_actor_dedup(t: Tables) -> DataFrame:
 
 @query(f"select item_id, doc_id from (select item_id, trim(regexp_replace(text, '{WS}+', ' ', 'g')) q from benchmark) b, (select doc_id, trim(regexp_replace(text, '{WS}+', ' ', 'g')) h from documents) d where length(q) >= 20 and contains(h, q)")
 def evidence_quote_check(t: Tables) -> DataFrame:
-    """Which documents hold which passages: whole words of the quote meet first, then the verdict decides.
-
-    The quote's second to last but one words are whole words of any text that holds it, so runs of six
-    words are an equi-join key. Shorter quotes meet on their second word, and those of one or two words,
-    which may lie inside a longer word, on their first 20 characters.
-    """
-    quotes = t.read("benchmark").select("item_id", U.canonicalize("text").alias("quote")).where(F.length("quote") >= X.MIN_QUOTE_CHARS).withColumn("w", F.split("quote", " "))
-    texts = t.read("documents").select("doc_id", U.canonicalize("text").alias("hay"))
-    # A column of its own: inside the lambda the split would run for every word.
-    split = texts.withColumn("w", F.split("hay", " "))
-    runs = split.select("doc_id", F.explode(F.when(F.size("w") >= 6, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.xxhash64(F.array_join(F.slice("w", i, 6), " ")))))).alias("key"))
-    long = quotes.where(F.size("w") >= 8).select("item_id", F.xxhash64(F.array_join(F.slice("w", 2, 6), " ")).alias("key"))
-    pairs = runs.join(long, "key").select("item_id", "doc_id")
-    short = quotes.where(F.size("w").between(3, 7)).select("item_id", F.element_at("w", 2).alias("word"))
-    if not short.isEmpty():
-        pairs = pairs.unionByName(split.select("doc_id", F.explode(F.array_distinct("w")).alias("word")).join(short, "word").select("item_id", "doc_id"))
-    least = X.MIN_QUOTE_CHARS
-    few = quotes.where(F.size("w") < 3).select("item_id", F.substring("quote", 1, least).alias("gram"))
-    if not few.isEmpty():
-        grams = F.when(F.length("hay") >= least, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("hay") - least + 1), lambda i: F.substr(F.col("hay"), i, F.lit(least)))))
-        pairs = pairs.unionByName(texts.select("doc_id", F.explode(grams).alias("gram")).join(few, "gram").select("item_id", "doc_id"))
-    both = pairs.distinct().join(quotes.select("item_id", "quote"), "item_id").join(texts, "doc_id")
-    return both.where(X.evidence_verdict(F.col("hay"), F.col("quote")).isNull()).select("item_id", "doc_id")
+    """Which documents hold which passages of the test items."""
+    return quotes.quoted_in(t.read("documents"), t.read("benchmark"))
 
 
 @query("""with m as (select doc_id, unnest(regexp_extract_all(' ' || replace(replace(text, chr(10), ' '), ' ', '  ') || ' ', '[^0-9.]((?:[0-9]{1,3}[.]){3}[0-9]{1,3})(?:[^0-9.]|[.][^0-9])', 1)) as ip from documents)
