@@ -141,23 +141,21 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
     reports.write.parquet(path)
     reports = spark.read.schema(reports.schema).parquet(path)
     ids = reports.select("document_id", F.col("id").alias("report_id"))
-    # The report is written last: while it is missing its document stays pending, and what a
-    # run that broke off has left of the children goes first.
-    for name in ("report_actor", "report_technique", "report_target", "ioc", "actor_review_queue"):
-        if not store.read(name).join(ids, "report_id", "left_semi").isEmpty():
-            store.replace(name, store.read(name).join(ids, "report_id", "left_anti"))
+    # The report and its children become visible together, so a run that breaks off leaves its documents pending and nothing else.
+    together = store.transaction()
 
     def child(name: str, rows: DataFrame, order: list[str], **more) -> None:
         full = rows.join(ids, "document_id").withColumns(more) if more else rows.join(ids, "document_id")
         if "id" in store.read(name).columns:
             full = full.withColumn("id", F.sha2(F.concat_ws("|", F.lit(name), "report_id", F.to_json("place"), *order), 256))
-        store.insert_if_absent(name, full, order)
+        together.insert_if_absent(name, full, order)
 
     child("report_actor", got["actors"].withColumn("actor_id", F.col("actor_id").cast("string")), ["actor_id"])
     child("report_technique", got["techniques"], ["technique_id"])
     child("ioc", got["iocs"], ["kind", "value_defanged"])
     child("actor_review_queue", got["review_queue"], ["raw_name"], created_at=stamp, resolved=F.lit(False))
     targets = got["targets"].where("country is not null or sector is not null").join(ids, "document_id")
-    store.insert_if_absent("report_target", targets.withColumn("id", F.sha2(F.concat_ws("|", "report_id", F.to_json("place")), 256)), ["id"])
-    inserted = store.insert_if_absent("report", reports, ["id"])
+    together.insert_if_absent("report_target", targets.withColumn("id", F.sha2(F.concat_ws("|", "report_id", F.to_json("place")), 256)), ["id"])
+    together.insert_if_absent("report", reports, ["id"])
+    inserted = together.commit()["report"]
     return {"documents": todo.count() if limit else attempts.select("document_id").distinct().count(), "reports": inserted}
