@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -121,9 +120,14 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
     made = complete(chunked(todo, budget), client)
     uid = F.sha2(F.concat_ws("|", "document_id", F.coalesce(F.col("chunk_index").cast("string"), F.lit("-")), "attempt", F.lit(now)), 256)
     stamp = F.lit(now).cast("timestamp")
-    path = f"{store.root}/_attempts/{uuid.uuid4().hex}"
-    made.withColumn("id", uid).write.parquet(path)
-    attempts = spark.read.parquet(path)
+    with store.scratch("attempts") as path, store.scratch("reports") as reports_path:
+        made.withColumn("id", uid).write.parquet(path)
+        attempts = spark.read.parquet(path)
+        return _store_run(store, attempts, reports_path, techniques, actors, embedder, model, embedding_model, width, stamp)
+
+
+def _store_run(store: Store, attempts: DataFrame, reports_path: str, techniques: DataFrame, actors: DataFrame, embedder: Callable[[], EmbeddingClient] | None, model: str, embedding_model: str | None, width: int, stamp) -> dict[str, int]:
+    """Attempts, then what they come to, into the store's tables."""
     store.append("enrichment_run", attempts.select("id", "document_id", F.lit(model).alias("model"), F.lit(prompt_version()).alias("prompt_version"), stamp.alias("started_at"), stamp.alias("finished_at"), "status", "raw_response", "attempt", "chunk_index"))
 
     documents = store.read("raw_document").select(F.col("id").alias("document_id"), "clean_text")
@@ -137,9 +141,8 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
         reports = reports.join(embed(got["reports"], embedder, width), "document_id", "left")
     has = F.col("embedding").isNotNull()
     reports = reports.withColumns({"embedding_model": F.when(has, F.lit(embedding_model)), "embedding_dim": F.when(has, F.size("embedding"))})
-    path = f"{store.root}/_reports/{uuid.uuid4().hex}"
-    reports.write.parquet(path)
-    reports = spark.read.schema(reports.schema).parquet(path)
+    reports.write.parquet(reports_path)
+    reports = store.spark.read.schema(reports.schema).parquet(reports_path)
     ids = reports.select("document_id", F.col("id").alias("report_id"))
     # The report and its children become visible together, so a run that breaks off leaves its documents pending and nothing else.
     together = store.transaction()
@@ -158,4 +161,4 @@ def run(store: Store, client: Callable[[], CompletionClient], embedder: Callable
     together.insert_if_absent("report_target", targets.withColumn("id", F.sha2(F.concat_ws("|", "report_id", F.to_json("place")), 256)), ["id"])
     together.insert_if_absent("report", reports, ["id"])
     inserted = together.commit()["report"]
-    return {"documents": todo.count() if limit else attempts.select("document_id").distinct().count(), "reports": inserted}
+    return {"documents": attempts.select("document_id").distinct().count(), "reports": inserted}

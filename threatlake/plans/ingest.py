@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -38,11 +37,11 @@ def seed(store: Store) -> None:
     store.upsert("feed", feed_source.seeds(store.spark), ["name", "kind", "fetch_articles"])
 
 
-def _stored_once(store: Store, rows: DataFrame, name: str) -> DataFrame:
-    """The rows, written before anything reads them: what several jobs read isn't fetched several times."""
-    path = f"{store.root}/_{name}/{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return store.spark.read.schema(rows.schema).parquet(path)
+def _written(rows: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """The rows, written before anything reads them, and how many: counted as they are written."""
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), seen.get["n"]
 
 
 def poll(store: Store, bodies: DataFrame, now: str, pages: DataFrame | Callable[[DataFrame], DataFrame] | None = None) -> dict[str, int]:
@@ -52,26 +51,27 @@ def poll(store: Store, bodies: DataFrame, now: str, pages: DataFrame | Callable[
     that doesn't parse is not asked for again until it changes. Returns stored, deduped (entries
     that the table or the round already had) and fetched. pages is a table of url and html, or a
     function that fetches it for the thin entries' addresses (feed_url, source_url).
+    Bodies are fetched, parsed and counted once each.
     """
-    bodies = _stored_once(store, bodies, "bodies")
-    feeds = store.read("feed")
     stamp = F.lit(now).cast("timestamp")
-    known = feeds.select(F.col("id").alias("feed_id"), "kind", F.col("url"), "name", "fetch_articles")
-    parsed = feed_source.parse_bodies(bodies.where("status = 'ok'").select("feed_id", "body").join(known, "feed_id"))
-    parsed = documents_of(parsed)
-    entries = parsed.join(known.select("feed_id", F.col("url").alias("feed_url"), "fetch_articles"), "feed_id")
-    entries = absent(first_by_key(entries, ["feed_id", "content_hash"], ["position"]), store.read("raw_document"), ["feed_id", "content_hash"])
-    if callable(pages):
-        follow = F.col("fetch_articles") & X.thin(F.col("clean_text")) & X.same_site(F.col("feed_url"), F.col("source_url"))
-        pages = _stored_once(store, pages(entries.where(follow).select("source_url").distinct()), "pages")
-    if pages is not None:
-        entries = with_articles(entries, pages)
-    rows = entries.withColumns({"id": F.sha2(F.concat_ws("|", "feed_id", "content_hash"), 256), "fetched_at": stamp})
-    stored = store.insert_if_absent("raw_document", rows, ["id"])
-    seen = bodies.where("status in ('ok', 'not_modified')").select(F.col("feed_id").alias("id"), F.col("etag").alias("new_etag"), F.col("last_modified").alias("new_modified"), "status")
-    moved = feeds.join(first_by_key(seen, ["id"], ["status"]), "id").withColumns({"etag": F.when(F.col("status") == "ok", F.col("new_etag")).otherwise(F.col("etag")), "last_modified": F.when(F.col("status") == "ok", F.col("new_modified")).otherwise(F.col("last_modified")), "last_polled_at": stamp})
-    store.upsert("feed", moved.select(*feeds.columns), ["etag", "last_modified", "last_polled_at"])
-    return {"stored": stored, "deduped": parsed.count() - stored, "fetched": bodies.count()}
+    with store.scratch("bodies") as bodies_at, store.scratch("parsed") as parsed_at, store.scratch("pages") as pages_at:
+        bodies, fetched = _written(bodies, bodies_at)
+        feeds = store.read("feed")
+        known = feeds.select(F.col("id").alias("feed_id"), "kind", F.col("url"), "name", "fetch_articles")
+        parsed, found = _written(documents_of(feed_source.parse_bodies(bodies.where("status = 'ok'").select("feed_id", "body").join(known, "feed_id"))), parsed_at)
+        entries = parsed.join(known.select("feed_id", F.col("url").alias("feed_url"), "fetch_articles"), "feed_id")
+        entries = absent(first_by_key(entries, ["feed_id", "content_hash"], ["position"]), store.read("raw_document"), ["feed_id", "content_hash"])
+        if callable(pages):
+            follow = F.col("fetch_articles") & X.thin(F.col("clean_text")) & X.same_site(F.col("feed_url"), F.col("source_url"))
+            pages, _ = _written(pages(entries.where(follow).select("source_url").distinct()), pages_at)
+        if pages is not None:
+            entries = with_articles(entries, pages)
+        rows = entries.withColumns({"id": F.sha2(F.concat_ws("|", "feed_id", "content_hash"), 256), "fetched_at": stamp})
+        stored = store.insert_if_absent("raw_document", rows, ["id"])
+        seen = bodies.where("status in ('ok', 'not_modified')").select(F.col("feed_id").alias("id"), F.col("etag").alias("new_etag"), F.col("last_modified").alias("new_modified"), "status")
+        moved = feeds.join(first_by_key(seen, ["id"], ["status"]), "id").withColumns({"etag": F.when(F.col("status") == "ok", F.col("new_etag")).otherwise(F.col("etag")), "last_modified": F.when(F.col("status") == "ok", F.col("new_modified")).otherwise(F.col("last_modified")), "last_polled_at": stamp})
+        store.upsert("feed", moved.select(*feeds.columns), ["etag", "last_modified", "last_polled_at"])
+        return {"stored": stored, "deduped": found - stored, "fetched": fetched}
 
 
 def fetch_pages(client: Callable) -> Callable[[DataFrame], DataFrame]:

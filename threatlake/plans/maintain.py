@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -32,34 +33,41 @@ def needing_embedding(report: DataFrame, model: str, key: str = "id", limit: int
     return todo if limit is None else todo.limit(limit)
 
 
-#: Reports that are renewed in one commit; a run that breaks off goes on after the last one.
+#: Reports of a part; a run that breaks off goes on with the parts that are left.
 REEMBED_ROWS = 20_000
 
 
 def reembed(store: Store, client: Callable[[], EmbeddingClient], model: str, width: int, limit: int | None = None, dry_run: bool = False, rows: int = REEMBED_ROWS) -> int:
     """Renews what needs it, vector, model and width together; how many that is. A failed vector stays as it was.
 
-    Refused if the client's vectors haven't the stored width. Each commit renews at most `rows` reports, in the order of their id.
+    Refused if the client's vectors haven't the stored width. What needs a vector is dealt
+    once to parts of about `rows` reports, each part's vectors are written by themselves and kept if
+    a run breaks off, and the table is rewritten once, so the cost follows the reports that are renewed.
     """
     if dry_run:
         return needing_embedding(store.read("report"), model, limit=limit).count()
     if (got := len(client().embed(["width"])[0])) != width:
         raise ValueError(f"the model makes vectors of {got}, the table has {width}")
-    done, after = 0, ""
-    while limit is None or done < limit:
+    place = f"_vectors/{hashlib.sha256(f'{model}|{width}|{limit}'.encode()).hexdigest()[:16]}"
+    spark, todo, parts_at = store.spark, f"{store.root}/{place}/todo", f"{place}/todo/_SUCCESS"
+    if not store.exists(parts_at):
+        wanted = needing_embedding(store.read("report"), model, limit=limit).select("id", "summary")
+        parts = max(1, -(-wanted.count() // rows))
+        wanted.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).repartition("part").write.mode("overwrite").partitionBy("part").parquet(todo)
+    dealt = spark.read.schema("id string, summary string, part int").parquet(todo)
+    made = [r.part for r in dealt.select("part").distinct().orderBy("part").collect()]
+    for part in made:
+        if not store.exists(f"{place}/vectors/part-{part}/_SUCCESS"):
+            embed(dealt.where(F.col("part") == part), client, width, key="id").where("embedding is not null").write.mode("overwrite").parquet(f"{store.root}/{place}/vectors/part-{part}")
+    done = 0
+    if made:
+        new = spark.read.schema("id string, embedding array<float>").parquet(*(f"{store.root}/{place}/vectors/part-{part}" for part in made))
         report = store.read("report")
-        todo = needing_embedding(report.where(F.col("id") > after), model, limit=rows if limit is None else min(rows, limit - done)).select("id", "summary").persist()
-        last = todo.agg(F.max("id").alias("id")).first().id
-        if last is None:
-            todo.unpersist()
-            break
-        new = embed(todo, client, width, key="id").where("embedding is not null")
-        made = report.drop("embedding", "embedding_model", "embedding_dim").join(new, "id").withColumns({"embedding_model": F.lit(model), "embedding_dim": F.lit(width)})
-        store.upsert("report", made.select(*report.columns), ["embedding", "embedding_model", "embedding_dim"])
-        asked = store.read("report").join(todo.select("id"), "id", "left_semi")
-        done += asked.where(F.col("embedding_model") == model).count()
-        after = last
-        todo.unpersist()
+        renewed = report.drop("embedding", "embedding_model", "embedding_dim").join(new, "id").withColumns({"embedding_model": F.lit(model), "embedding_dim": F.lit(width)})
+        done = renewed.count()
+        if done:
+            store.upsert("report", renewed.select(*report.columns), ["embedding", "embedding_model", "embedding_dim"])
+    store.discard(place)
     return done
 
 
