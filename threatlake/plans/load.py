@@ -22,13 +22,22 @@ def load(store: Store, attack: DataFrame | None, galaxy: DataFrame | None) -> di
     A name that occurs twice keeps its first entry. An actor's load_ordinal is its place in the
     bundle, which decides whose alias wins; it is renewed with the rest.
     """
+    return load_rows(store, None if attack is None else reference.techniques(attack), None if galaxy is None else reference.actors(galaxy))
+
+
+def load_files(store: Store, attack: list[str], galaxy: list[str]) -> dict[str, int]:
+    """load() of bundles that lie in files, however large: each is cut into its objects by many tasks."""
+    return load_rows(store, reference.split_techniques(store.spark, attack), reference.split_actors(store.spark, galaxy))
+
+
+def load_rows(store: Store, techniques: DataFrame | None, actors: DataFrame | None) -> dict[str, int]:
     counts = {}
-    if attack is not None:
-        rows = first_by_key(reference.techniques(attack), ["technique_id"], ["name", "tactic"])
+    if techniques is not None:
+        rows = first_by_key(techniques, ["technique_id"], ["name", "tactic"])
         store.upsert("attack_technique", rows, ["name", "tactic"])
         counts["techniques"] = rows.count()
-    if galaxy is not None:
-        rows = first_by_key(reference.actors(galaxy), ["canonical_name"], ["load_ordinal"]).withColumn("id", F.sha2(F.concat(F.lit("actor|"), "canonical_name"), 256))
+    if actors is not None:
+        rows = first_by_key(actors, ["canonical_name"], ["load_ordinal"]).withColumn("id", F.sha2(F.concat(F.lit("actor|"), "canonical_name"), 256))
         store.upsert("threat_actor", rows, ["aliases", "suspected_origin_country", "misp_uuid", "load_ordinal"])
         counts["actors"] = rows.count()
     return counts

@@ -346,7 +346,7 @@ def stix_techniques(t: Tables) -> DataFrame:
     phases = F.when(F.col("p_size") % 2 == 0, F.array(phase("persistence"), phase("execution"), phase("persistence"))).otherwise(F.array(phase("persistence"), phase("other", "elsewhere")))
     refs = F.array(F.struct(F.lit("capec").alias("source_name"), F.lit("C1").alias("external_id")), F.struct(F.lit("mitre-attack").alias("source_name"), F.concat(F.lit("T"), (F.col("p_partkey") + 1000).cast("string")).alias("external_id")))
     o = F.struct(F.when(F.col("p_partkey") % 4 == 0, "malware").otherwise("attack-pattern").alias("type"), F.col("p_name").alias("name"), (F.col("p_partkey") % 5 == 0).alias("revoked"), refs.alias("external_references"), phases.alias("kill_chain_phases"))
-    bundles = p.groupBy((F.col("p_partkey") % 16).alias("b")).agg(F.to_json(F.struct(F.collect_list(o).alias("objects"))).alias("body"))
+    bundles = p.groupBy(F.floor(F.col("p_partkey") / BODY_DOCUMENTS).alias("b")).agg(F.to_json(F.struct(F.collect_list(o).alias("objects"))).alias("body"))
     return reference.techniques(bundles)
 
 
@@ -355,7 +355,7 @@ def misp_actors(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     meta = F.struct(F.when(k % 2 == 0, " ab ").otherwise("abc").alias("country"), F.array(F.concat(k.cast("string"), F.lit(" alias ")), F.lit("alpha"), F.upper("s_name"), F.lit(" "), F.lit("alpha")).alias("synonyms"))
     v = F.struct(F.when(k % 7 == 0, " ").otherwise(F.concat(F.lit(" "), "s_name")).alias("value"), F.lit("no uuid").alias("uuid"), meta.alias("meta"))
-    bundles = t.read("supplier").groupBy((k % 8).alias("b")).agg(F.to_json(F.struct(F.collect_list(v).alias("values"))).alias("body"))
+    bundles = t.read("supplier").groupBy(F.floor(k / BODY_DOCUMENTS).alias("b")).agg(F.to_json(F.struct(F.collect_list(v).alias("values"))).alias("body"))
     # Digits sort before letters, so the order is spelled out here as in the SQL.
     return reference.actors(bundles).select("canonical_name", F.array_join(F.reverse("aliases"), ",").alias("aliases"), F.col("suspected_origin_country").alias("country"))
 
