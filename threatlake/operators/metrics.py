@@ -73,3 +73,8 @@ def status_rollup(chunks: DataFrame, doc: str = "document_id") -> DataFrame:
         F.count("*").alias("chunks"),
         F.sum(F.when(F.col("status") != "ok", 1).otherwise(0)).cast("long").alias("failed_chunks"),
     )
+
+
+def first_ok(attempts: DataFrame, *order: str | Column, key: str = "document_id") -> DataFrame:
+    """key, enrichment_run_id: the id of each document's first usable attempt in the given order; a document without one has no row."""
+    return attempts.where("status = 'ok'").groupBy(key).agg(F.min_by("id", F.struct(*order)).alias("enrichment_run_id"))

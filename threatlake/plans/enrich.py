@@ -12,6 +12,7 @@ from ..clients import SYSTEM_PROMPT, ClientError, CompletionClient, EmbeddingCli
 from ..functions import text as X
 from ..functions import udfs as U
 from ..operators import merge
+from ..operators import metrics as M
 from ..operators.guardrails import validate
 from ..operators.store import Store
 from ..schemas import EXTRACTION
@@ -133,7 +134,7 @@ def _store_run(store: Store, attempts: DataFrame, reports_path: str, techniques:
     documents = store.read("raw_document").select(F.col("id").alias("document_id"), "clean_text")
     ranked = actors.withColumn("load_ordinal", F.coalesce("load_ordinal", F.lit((1 << 40) - 1)))
     got = enrich(documents, attempts, techniques, ranked)
-    first_ok = attempts.where("status = 'ok'").groupBy("document_id").agg(F.min_by("id", F.struct(F.coalesce("chunk_index", F.lit(0)), F.col("attempt"))).alias("enrichment_run_id"))
+    first_ok = M.first_ok(attempts, F.coalesce("chunk_index", F.lit(0)), "attempt")
     reports = got["reports"].join(first_ok, "document_id").withColumn("id", F.sha2(F.concat(F.lit("report|"), "document_id"), 256))
     if embedder is None:
         reports = reports.withColumn("embedding", F.lit(None).cast("array<float>"))

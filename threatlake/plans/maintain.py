@@ -71,10 +71,15 @@ def reembed(store: Store, client: Callable[[], EmbeddingClient], model: str, wid
     return done
 
 
+def feeds_named(feeds: DataFrame, prefix: str) -> DataFrame:
+    """Feeds whose name begins with the prefix, in which % and _ stand for any text and character."""
+    return feeds.where(F.col("name").like(f"{prefix}%"))
+
+
 def prune(store: Store, prefix: str, apply: bool = False, drop_feed: bool = False, reset_poll_state: bool = False) -> dict[str, int]:
     """Rows that go with the feeds whose name begins with the prefix, in which % and _ stand for any text and character; nothing is touched without apply."""
     hit = F.col("name").like(f"{prefix}%")
-    feeds = store.read("feed").where(hit)
+    feeds = feeds_named(store.read("feed"), prefix)
     gone = cascade(feeds, {t: store.read(t) for t, *_ in LINKS}, LINKS)
     counts = {("feed" if t == "root" else t): rows.count() for t, rows in gone.items()}
     if apply:

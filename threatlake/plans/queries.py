@@ -107,15 +107,21 @@ def needs_enrichment(t: Tables) -> DataFrame:
     return enrich.pending(t.documents(), t.read("labels").select(F.col("doc_id").alias("document_id"))).select("id")
 
 
-_POLLED = "select source as name, max(ts) as polled from (select distinct source from documents) s left join events e on e.user_id % 20 = cast(substring(source, 4) as bigint) and e.event_type = 'click' group by source"
+#: When feeds are looked at; only what happened before counts.
+_POLL_TIME = "2024-01-30 12:00:00"
 
 
-@query(f"select name from ({_POLLED}) where polled is null or date_diff('second', polled, timestamp '2024-01-31 12:00:00') / 60.0 >= 2880")
+@query(f"""with f as (select distinct source as name, cast(substring(source, 4) as bigint) as n from documents),
+    p as (select user_id % 20 as n, max(ts) as polled from events where event_type = 'click' and ts <= timestamp '{_POLL_TIME}' and user_id % 5 <> 4 group by 1)
+    select name, case when polled is null then 'never polled' else 'waited' end as why from f left join p using (n)
+    where n % 10 <> 7 and (polled is null or date_diff('second', polled, timestamp '{_POLL_TIME}') / 60.0 >= 120 * (1 + n % 4))""")
 def due_feeds(t: Tables) -> DataFrame:
-    e = t.read("events").where("event_type = 'click'").select(F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("name"), F.col("ts").cast("timestamp").alias("ts"))
-    polled = e.groupBy("name").agg(F.max("ts").alias("last_polled_at"))
-    rows = t.feeds().select("name").join(polled, "name", "left").withColumns({"enabled": F.lit(True), "poll_interval_minutes": F.lit(2880)})
-    return feeds.due(rows, "2024-01-31 12:00:00").select("name")
+    """A feed a source, polled when a user of its number clicked; some were never polled, some are switched off, intervals differ."""
+    e = t.read("events").where((F.col("event_type") == "click") & (F.col("ts") <= F.lit(_POLL_TIME).cast("timestamp")) & (F.col("user_id") % 5 != 4))
+    polled = e.groupBy((F.col("user_id") % 20).alias("n")).agg(F.max("ts").cast("timestamp").alias("last_polled_at"))
+    n = F.substring("name", 4, 9).cast("long")
+    rows = t.feeds().select("name", n.alias("n"), (n % 10 != 7).alias("enabled"), (120 * (1 + n % 4)).alias("poll_interval_minutes")).join(polled, "n", "left")
+    return feeds.due(rows, _POLL_TIME).select("name", F.when(F.col("last_polled_at").isNull(), "never polled").otherwise("waited").alias("why"))
 
 
 _HASHED = f"select doc_id, source, sha256(trim(regexp_replace(text, '{WS}+', ' ', 'g'))) as content_hash from documents"
@@ -155,7 +161,7 @@ def upsert_feed_seed(t: Tables) -> DataFrame:
 @query("""with d as (select doc_id from documents where starts_with(source, 'src1')), r as (select o_orderkey from orders where o_orderkey in (select doc_id from d)), l as (select * from lineitem where l_orderkey in (select o_orderkey from r))
     select 'documents' as "table", count(*)::bigint as n from d union all select 'reports', count(*) from r union all select 'report_actor', count(*) from (select distinct l_orderkey, l_suppkey from l) union all select 'feed', count(*) from (select distinct source from documents where starts_with(source, 'src1'))""")
 def cascade_prune_counts(t: Tables) -> DataFrame:
-    roots = t.feeds().where(F.col("name").startswith("src1"))
+    roots = maintain.feeds_named(t.feeds(), "src1")
     tables = {"documents": t.documents().select("id", "feed_id"), "reports": t.report().select(F.col("report_id").alias("id"), F.col("report_id").alias("document_id")), "report_actor": t.report_actor().select("report_id", "actor_id")}
     gone = S.cascade(roots.select("id"), tables, (("documents", "feed_id", "root", "id"), ("reports", "document_id", "documents", "id"), ("report_actor", "report_id", "reports", "id")))
     out = None
@@ -246,7 +252,7 @@ def evidence_quote_check(t: Tables) -> DataFrame:
 @query("""with m as (select doc_id, unnest(regexp_extract_all(' ' || replace(replace(text, chr(10), ' '), ' ', '  ') || ' ', '[^0-9.]((?:[0-9]{1,3}[.]){3}[0-9]{1,3})(?:[^0-9.]|[.][^0-9])', 1)) as ip from documents)
     select doc_id, count(*)::bigint as n, min(ip) as first_ip from m group by doc_id""")
 def ipv4_scan(t: Tables) -> DataFrame:
-    found = F.regexp_extract_all("text", F.lit(r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"), F.lit(0))
+    found = F.regexp_extract_all("text", F.lit(dict(U.SCANS)["ipv4"]), F.lit(0))
     return t.read("documents").select("doc_id", F.explode(found).alias("ip")).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("ip").alias("first_ip"))
 
 
@@ -255,18 +261,36 @@ def defang_url(t: Tables) -> DataFrame:
     return t.read("pages").select("page_id", X.defang_ioc(F.lit("url"), F.col("url"))["value_defanged"].alias("value_defanged"))
 
 
-_IOCS = (
-    ("url", "https://a.b.example/p.bin", "hxxps://a[.]b[.]example/p.bin"), ("url", "http://192.0.2.44/s", "hxxp://192[.]0[.]2[.]44/s"), ("url", "hxxps://a[.]b[.]example/p", "hxxps://a[.]b[.]example/p"),
-    ("domain", "a.b.example", "a[.]b[.]example"), ("ipv4", "192.0.2.44", "192[.]0[.]2[.]44"), ("ipv6", "2001:db8::1", "2001[:]db8[:][:]1"), ("email", "x@b.example", "x[@]b[.]example"),
-    ("sha256", "AB" * 32, "ab" * 32), ("md5", "CD" * 16, "cd" * 16), ("ipv4", "999.0.2.44", None), ("sha256", "AB", None), ("md5", "a" * 66, None), ("email", "nobody", None), ("domain", "a b.example", None),
-    ("url", "ftp://a.example/x", None), ("sha256", "https://a.example/x", None), ("domain", "https://a.example/x", None), ("mutex", "x", None),
-)
+_HOST = "split_part(split_part(url, '://', 2), '/', 1)"
+_DOMAIN_OK = f"regexp_matches({_HOST}, '^([a-zA-Z0-9]([a-zA-Z0-9-]{{0,61}}[a-zA-Z0-9])?[.])+[a-zA-Z]{{2,63}}$')"
+_IOC_KINDS = ("url", "domain", "email", "ipv4", "md5", "sha256", "ipv6", "mutex")
 
 
-@query("select k as kind, v as value, d as value_defanged from (values " + ", ".join(f"('{k}', '{v}', {'null' if d is None else repr(d)})" for k, v, d in _IOCS) + ") t(k, v, d)")
+@query(f"""select page_id, case page_id % 8
+    when 0 then case when starts_with(url, 'https://') then 'hxxps' else 'hxxp' end || '://' || replace({_HOST}, '.', '[.]') || substring(split_part(url, '://', 2), length({_HOST}) + 1)
+    when 1 then case when {_DOMAIN_OK} then replace({_HOST}, '.', '[.]') end
+    when 2 then case when {_DOMAIN_OK} then 'user' || page_id || '[@]' || replace({_HOST}, '.', '[.]') end
+    when 3 then case when page_id % 300 <= 255 then '10[.]0[.]' || (page_id % 300) || '[.]7' end
+    when 4 then md5(html) when 5 then sha256(html)
+    when 6 then '2001[:]db8[:][:]' || (page_id % 1000) end as value_defanged from pages""")
 def defang_by_kind(t: Tables) -> DataFrame:
-    rows = t.spark.createDataFrame([(k, v) for k, v, _ in _IOCS], "kind string, value string")
-    return rows.select("kind", "value", X.defang_ioc(F.col("kind"), F.col("value"))["value_defanged"].alias("value_defanged"))
+    """An indicator of one of eight kinds from each page, written as people do: with brackets, upper-case hashes, octets over 255, unknown kinds."""
+    n, text = F.col("page_id"), F.col("page_id").cast("string")
+    host = F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))
+    bracketed = F.when(n % 3 == 0, F.replace(host, F.lit("."), F.lit("[.]"))).otherwise(host)
+    said = {
+        "url": F.when(n % 3 == 0, F.replace("url", F.lit("http"), F.lit("hxxp"))).otherwise(F.col("url")),
+        "domain": bracketed,
+        "email": F.concat(F.lit("user"), text, F.lit("[at]"), bracketed),
+        "ipv4": F.concat(F.lit(" 10(.)0."), (n % 300).cast("string"), F.lit(".7 ")),
+        "md5": F.upper(F.md5("html")),
+        "sha256": F.upper(F.sha2("html", 256)),
+        "ipv6": F.concat(F.lit("2001[:]db8::"), (n % 1000).cast("string")),
+        "mutex": F.lit("x"),
+    }
+    kind = F.element_at(F.array(*map(F.lit, _IOC_KINDS)), (n % 8 + 1).cast("int"))
+    value = F.coalesce(*(F.when(n % 8 == k, said[name]) for k, name in enumerate(_IOC_KINDS)))
+    return t.read("pages").select("page_id", X.defang_ioc(kind, value)["value_defanged"].alias("value_defanged"))
 
 
 @query()
@@ -330,13 +354,15 @@ def json_snapshot(t: Tables) -> DataFrame:
     return _parsed(t, "json").select("feed_id", "title", "clean_text")
 
 
-_XML = (("plain", "<rss><channel/></rss>", True), ("doctype", "<!DOCTYPE r [<!ENTITY e 'x'>]><r>&e;</r>", False), ("external", '<!DOCTYPE r SYSTEM "file:///etc/hosts"><r/>', False), ("broken", "<rss><channel></rss>", False), ("quoted", "<r><![CDATA[<!DOCTYPE x>]]></r>", True))
-
-
-@query("select n as name, ok from (values " + ", ".join(f"('{n}', {str(ok).lower()})" for n, _, ok in _XML) + ") t(n, ok)")
+@query("select page_id, page_id % 4 in (0, 2) as ok from pages")
 def xml_guard(t: Tables) -> DataFrame:
-    rows = t.spark.createDataFrame([(n, x) for n, x, _ in _XML], "name string, body string")
-    return rows.select("name", U.xml_is_safe(F.col("body").cast("binary")).alias("ok"))
+    """Each page's HTML as an XML body: escaped, with its own document type, in a section where that is text, or cut off."""
+    plain = F.regexp_replace("html", r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", " ")
+    escaped = F.replace(F.replace(F.replace(plain, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    section = F.concat(F.lit("<page><![CDATA["), F.replace(plain, F.lit("]]>"), F.lit("]] >")), F.lit("]]></page>"))
+    k = F.col("page_id") % 4
+    body = F.when(k == 0, F.concat(F.lit("<page>"), escaped, F.lit("</page>"))).when(k == 1, F.concat(F.lit("<!DOCTYPE page><page>"), escaped, F.lit("</page>"))).when(k == 2, section).otherwise(F.concat(F.lit("<page>"), escaped))
+    return t.read("pages").select("page_id", U.xml_is_safe(body.cast("binary")).alias("ok"))
 
 
 @query("select 'T' || (1000 + p_partkey) as technique_id, p_name as name, case when p_size % 2 = 0 then 'execution,persistence' else 'persistence' end as tactic from part where p_partkey % 4 <> 0 and p_partkey % 5 <> 0")
@@ -440,8 +466,9 @@ def merge_scalars(t: Tables) -> DataFrame:
 
 @query(sql("select document_id, count(*)::bigint as attempts, arg_min(id, started_at) filter (status = 'ok') as run_id, count(*) filter (status <> 'ok')::bigint as failed from (select *, started_at + to_microseconds(id) as moment from runs) group by document_id", "runs").replace("arg_min(id, started_at)", "arg_min(id, moment)"))
 def attempt_audit(t: Tables) -> DataFrame:
-    ok = F.col("status") == "ok"
-    return t.runs().groupBy("document_id").agg(F.count("*").alias("attempts"), F.min_by("id", F.when(ok, F.struct("started_at", "id"))).alias("run_id"), F.count_if(~ok).alias("failed"))
+    runs = t.runs()
+    counts = runs.groupBy("document_id").agg(F.count("*").alias("attempts"), F.count_if(F.col("status") != "ok").alias("failed"))
+    return counts.join(M.first_ok(runs, "started_at", "id").withColumnRenamed("enrichment_run_id", "run_id"), "document_id", "left").select("document_id", "attempts", "run_id", "failed")
 
 
 @query("select event_id, case when event_id % 5 = 0 then 'invalid_json' when event_id % 5 < 3 then 'schema_fail' else 'ok' end as status from events")
