@@ -319,21 +319,45 @@ def test_evaluation_run(spark, tmp_path):
     fixtures, _ = gold.load(spark, f"file://{tmp_path}/gold")
     actors = spark.createDataFrame([("a1", "Crew One", ["APT 28"], 0)], "id string, canonical_name string, aliases array<string>, load_ordinal long")
     techniques = spark.createDataFrame([("T1078",)], "technique_id string")
-    answer = json.dumps({"summary": "s", "report_date": None, "confidence": "low", "actors": [{"name": "apt 28", "attribution_confidence": "likely"}], "techniques": [{"technique_id": "T1078", "evidence_quote": "signed in with stolen accounts"}], "targets": [{"country": "AU", "sector": None}], "iocs": []})
+    answer = json.dumps({"summary": "s", "report_date": None, "confidence": "low", "actors": [{"name": "apt 28", "attribution_confidence": "likely"}], "techniques": [{"technique_id": "T1078", "evidence_quote": "signed in with stolen accounts"}], "targets": [{"country": "AU", "sector": None}, {"country": None, "sector": "Moon Mining"}], "iocs": []})
     good, bad = (lambda: clients.ScriptedClient([answer])), (lambda: clients.ScriptedClient(["prose", "prose"]))
     cards = evaluate.run(spark, fixtures, techniques, actors, {"one": (good, "org/m1"), "two": (bad, "m2")}, f"file://{tmp_path}/cards", resolve_gold=True)
-    version = clients.prompt_version(clients.SYSTEM_PROMPT)
+    version = clients.prompt_version()
     assert sorted(cards) == sorted([f"one--org-m1--{version}.md", f"two--m2--{version}.md", f"cross-backend--{version}.md"])
     assert all((tmp_path / "cards" / n).read_text() == c for n, c in cards.items())
     one = cards[f"one--org-m1--{version}.md"]
     assert "| actors | 1.000 | 1.000 | 1.000 |" in one and "| quote_validity | 100.0% |" in one and "- none" in one
     assert "- 0001: invalid_json" in cards[f"two--m2--{version}.md"]
+    assert "- 0001: invalid_json after 2 attempts: " in cards[f"two--m2--{version}.md"] and "| 0001 | invalid_json | 0.000 |" in cards[f"two--m2--{version}.md"]
+    assert all(line in one for line in ("| backend | one |", "| model | org/m1 |", "| documents chunked | 0 of 1 |", "| gold documents | 1 |", "| failed_chunks | 0 |", "| 0001 | ok | 1.000 | 1.000 | 1.000 |"))
+    assert "| sectors outside the vocabulary | 1 |" in one and "- sector outside the vocabulary: moon mining" in one
     both = cards[f"cross-backend--{version}.md"]
     assert "| techniques | 1.000 | 0.000 | 0.000 |" in both and "| implicit recall | 1.000 | 0.000 | n/a |" in both
     only = evaluate.run(spark, fixtures, techniques, actors, {}, f"file://{tmp_path}/cards")
     assert list(only) == [f"baseline--{version}.md"]
 
 
+def test_documents_without_a_prediction_are_skipped(spark):
+    """A document that was never asked about isn't scored; one that was and failed is all misses."""
+    want = spark.createDataFrame([(d, "actors", "A") for d in ("asked", "failed", "never")], "doc string, field string, item string")
+    got = spark.createDataFrame([("asked", "actors", "A")], "doc string, field string, item string")
+    processed = spark.createDataFrame([("asked",), ("failed",)], "doc string")
+    assert [(r.tp, r.fp, r.fn) for r in evaluate.score(got, want, processed)["micro"].collect()] == [(1, 0, 1)]
+    assert [(r.tp, r.fp, r.fn) for r in evaluate.score(got, want)["micro"].collect()] == [(1, 0, 2)]
+
+
+def test_chunks_and_prompt_files(spark, tmp_path):
+    rows = [("a", None, 1, "ok"), ("b", 0, 1, "ok"), ("b", 1, 1, "schema_fail"), ("b", 1, 2, "schema_fail"), ("c", 0, 1, "api_error"), ("c", 1, 1, "api_error")]
+    attempts = spark.createDataFrame(rows, "document_id string, chunk_index int, attempt int, status string").withColumn("error", F.lit("why  so"))
+    assert evaluate.chunk_counts(attempts).first().asDict() == {"documents": 3, "chunked_documents": 2, "failed_chunks": 3}
+    assert evaluate.failed_documents(attempts) == ["c: api_error after 2 attempts: why so"]
+    (tmp_path / "one.md").write_text("x")
+    first = clients.prompt_version(tmp_path)
+    (tmp_path / "one.md").write_text("y")
+    assert first != clients.prompt_version(tmp_path) and len(first) == 12
+    assert clients.SYSTEM_PROMPT == (clients.PROMPTS / "extract_system.md").read_text()
+
+
 def test_fixture_export(spark, tmp_path):
     names = spark.createDataFrame([("0007-x.json",), ("0009-y.txt",), ("notes.json",)], "name string")
     assert maintain.next_index(names) == 8 and maintain.next_index(names.limit(0)) == 1

@@ -66,9 +66,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "enrich":
         done = _enrich(store, a, now)
     elif a.command == "evaluate":
-        fixtures, _ = gold.load(store.spark, a.gold)
+        fixtures, waiting = gold.load(store.spark, a.gold)
         backends = {b: _backend(b) for b in a.backend or ()}
-        done = sorted(evaluate.run(store.spark, fixtures, store.read("attack_technique"), store.read("threat_actor"), backends, a.out, a.limit, a.resolve_gold))
+        done = sorted(evaluate.run(store.spark, fixtures, store.read("attack_technique"), store.read("threat_actor"), backends, a.out, a.limit, a.resolve_gold, about={b: {"generated at": now} for b in backends}, placeholders=waiting.count()))
     elif a.command == "reembed":
         at = clients.resolve_embedding()
         if at is None:

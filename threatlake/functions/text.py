@@ -245,19 +245,6 @@ def number(value: Column, digits: int = 3) -> Column:
     return F.coalesce(F.format_string(f"%.{digits}f", value), F.lit("n/a"))
 
 
-def percent(value: Column) -> Column:
-    return F.coalesce(F.concat(F.format_string("%.1f", value * 100), F.lit("%")), F.lit("n/a"))
-
-
-def truncated(stop_reason: Column) -> Column:
-    return F.coalesce(stop_reason.isin("max_tokens", "length"), F.lit(False))
-
-
-def shortened(message: Column, limit: int = 200) -> Column:
-    first = F.split_part(trimmed(message), F.lit("\n"), F.lit(1))
-    return F.when(F.length(first) > limit, F.concat(F.substring(first, 1, limit - 1), F.lit("…"))).otherwise(first)
-
-
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity in double precision; null where a norm is zero or the widths differ."""
 

@@ -59,8 +59,15 @@ def predictions(validated: dict[str, DataFrame], actors: DataFrame, doc: str = "
     return a.unionByName(t).unionByName(c).unionByName(s).distinct()
 
 
-def score(predicted: DataFrame, gold: DataFrame) -> dict[str, DataFrame]:
-    """Counts by document and field, micro and macro averages by field."""
+def score(predicted: DataFrame, gold: DataFrame, processed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Counts by document and field, micro and macro averages by field.
+
+    processed (doc): the documents that a system was asked about. What gold says of
+    others is skipped; a document that was asked about and came to nothing is all misses.
+    """
+    if processed is not None:
+        own = processed.select("doc").distinct()
+        predicted, gold = predicted.join(own, "doc", "left_semi"), gold.join(own, "doc", "left_semi")
     counts = M.confusion(with_parents(predicted), with_parents(gold.select("doc", "field", "item")))
     return {"documents": counts, "micro": M.micro(counts, "field"), "macro": M.macro_f1(counts, "field")}
 
@@ -88,22 +95,73 @@ def _n(x) -> str:
     return "n/a" if x is None else f"{x:.3f}"
 
 
-def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: DataFrame, title: str, failures: list[str] = (), defects: list[str] = (), lift: list[tuple] = ()) -> str:
-    """Markdown: headline, macro, lift (of lift()), guardrails, documents, failures, defects. A few rows for each field reach the driver."""
+def off_vocabulary(validated: dict[str, DataFrame]) -> DataFrame:
+    """sector: the distinct sectors of guarded extractions that the vocabulary doesn't have."""
+    sector = X.normalize_sector(F.col("sector"))
+    return validated["targets"].where(F.col("sector").isNotNull() & ~X.in_vocabulary(sector)).select(sector.alias("sector")).distinct()
+
+
+def chunk_counts(attempts: DataFrame) -> DataFrame:
+    """documents, chunked_documents (that no call saw whole) and failed_chunks (of documents that had others), in one row."""
+    split = attempts.groupBy("document_id").agg(F.bool_or(F.col("chunk_index").isNotNull()).alias("split"))
+    each = M.status_rollup(attempts).join(split, "document_id")
+    return each.agg(F.count("*").alias("documents"), F.count_if("split").alias("chunked_documents"), F.coalesce(F.sum(F.when(F.col("split"), F.col("failed_chunks"))), F.lit(0)).alias("failed_chunks"))
+
+
+def failed_documents(attempts: DataFrame) -> list[str]:
+    """Documents without a usable chunk: status, attempts and the last error, in brief. Fixtures are annotated by hand, so few."""
+    last = attempts.groupBy("document_id").agg(F.max_by("error", F.struct(F.coalesce("chunk_index", F.lit(0)), "attempt")).alias("error"))
+    rows = M.status_rollup(attempts).where("status != 'ok'").join(last, "document_id").orderBy("document_id")
+    return [f"{r.document_id}: {r.status} after {r.attempts} attempts: {' '.join((r.error or '').split())[:160]}".rstrip(": ") for r in rows.collect()]
+
+
+#: The fields of a document's row, and the baseline's beside them.
+DOCUMENT_FIELDS = ("actors", "techniques_parent", "countries", "sectors")
+
+
+def _documents(model: DataFrame, base: DataFrame, status: dict[str, str]) -> list[str]:
+    """F1 of each document's main fields; a document whose status isn't known was read by rules alone."""
+    own = model.groupBy("doc").pivot("field", list(DOCUMENT_FIELDS)).agg(F.first(M.f1(F.col("tp"), F.col("fp"), F.col("fn"))))
+    other = base.where("field = 'techniques_parent'").select("doc", M.f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("base"))
+    rows = own.join(other, "doc", "left").orderBy("doc").toLocalIterator()
+    return _table([(r.doc, status.get(r.doc, "ok"), *(_n(r[f]) for f in DOCUMENT_FIELDS), _n(r.base)) for r in rows], ("document", "status", *(f"{f} F1" for f in DOCUMENT_FIELDS), "baseline techniques_parent F1"))
+
+
+def scorecard(model: dict[str, DataFrame], base: dict[str, DataFrame], rates: DataFrame, title: str, failures: list[str] = (), defects: list[str] = (), lift: list[tuple] = (), about: dict | None = None, counts: dict | None = None, sectors: list[str] = ()) -> str:
+    """Markdown: the run, headline, macro, lift (of lift()), guardrails, failures, documents, defects. A few rows for each field reach the driver.
+
+    about: what the run table says; counts: chunked_documents and failed_chunks; sectors: those outside the vocabulary.
+    """
     one = {r.field: r for r in model["micro"].collect()}
     two = {r.field: r for r in base["micro"].collect()}
     fields = sorted({*one, *two})
-    out = [f"# {title}", "", "## Micro averages"]
-    out += _table([(f, *(_n(getattr(s.get(f), m, None)) for s in (one, two) for m in ("precision", "recall", "f1"))) for f in fields], ("field", "P", "R", "F1", "baseline P", "baseline R", "baseline F1"))
+    out = [f"# {title}", ""]
+    if about:
+        out += ["## Run", *_table(list(about.items()), ("key", "value")), ""]
+
+    def gain(f: str) -> str:
+        a, b = getattr(one.get(f), "f1", None), getattr(two.get(f), "f1", None)
+        return "n/a" if a is None or b is None else f"{a - b:+.3f}"
+
+    def support(f: str) -> int:
+        r = one.get(f) or two[f]
+        return r.tp + r.fn
+
+    out += ["## Micro averages"]
+    out += _table([(f, *(_n(getattr(s.get(f), m, None)) for s in (one, two) for m in ("precision", "recall", "f1")), gain(f), support(f)) for f in fields], ("field", "P", "R", "F1", "baseline P", "baseline R", "baseline F1", "F1 gained", "gold items"))
     macro = {r.field: r.macro_f1 for r in model["macro"].collect()}
     base_macro = {r.field: r.macro_f1 for r in base["macro"].collect()}
     out += ["", "## Macro F1", *_table([(f, _n(macro.get(f)), _n(base_macro.get(f))) for f in fields], ("field", "model", "baseline"))]
     out += ["", "## Lift", *_table([(label, _n(a), _n(b), _n(None if a is None or b is None else a - b)) for label, a, b in lift], ("granularity", "model recall", "baseline recall", "difference"))]
     r = rates.first()
-    out += ["", "## Guardrails", *_table([(k, "n/a" if v is None else f"{100 * v:.1f}%") for k, v in r.asDict().items()], ("rate", "model"))]
+    guards = [(k, "n/a" if v is None else f"{100 * v:.1f}%") for k, v in r.asDict().items()]
+    guards += [("sectors outside the vocabulary", len(sectors)), *((counts or {}).items())]
+    out += ["", "## Guardrails", *_table(guards, ("measure", "model"))]
+    out += ["", *(f"- sector outside the vocabulary: {s}" for s in sorted(sectors))]
     gate = getattr(one.get("techniques_parent"), "f1", None)
     out += ["", f"Gate (parent technique F1 over {GATE}): {'n/a' if gate is None else 'passed' if gate > GATE else 'failed'}"]
-    out += ["", "## Documents", *_table([(d.doc, d.field, d.tp, d.fp, d.fn) for d in model["documents"].orderBy("doc", "field").toLocalIterator()], ("document", "field", "tp", "fp", "fn"))]
+    status = {f.split(": ")[0]: f.split(": ")[1].split(" ")[0] for f in failures}
+    out += ["", "## Documents", *_documents(model["documents"], base["documents"], status)]
     out += ["", "## Failures", *(f"- {f}" for f in failures or ["none"]), "", "## Gold defects", *(f"- {d}" for d in defects or ["none"]), ""]
     return "\n".join(out)
 
@@ -169,12 +227,15 @@ def predict(fixtures: DataFrame, client: Callable[[], CompletionClient], techniq
     none = F.lit(None).cast("boolean")
     emitted = t.select(F.lit("technique").alias("kind"), F.col("evidence_reason").isNull().alias("quote_ok"), F.col("technique_reason").isNull().alias("closed_world_ok"), none.alias("resolved"))
     emitted = emitted.unionByName(a.select(F.lit("actor").alias("kind"), none.alias("quote_ok"), none.alias("closed_world_ok"), F.col("actor_id").isNotNull().alias("resolved")))
-    failed = M.status_rollup(attempts).where("status != 'ok'").orderBy("document_id")
+    valid = validate(lists, documents, techniques, actors)
     return {
-        "predicted": predictions(validate(lists, documents, techniques, actors), actors).persist(),
+        "predicted": predictions(valid, actors).persist(),  # run() releases it
         "rates": telemetry(emitted),
         "tokens": token_totals(attempts),
-        "failures": [f"{r.document_id}: {r.status}" for r in failed.collect()],  # fixtures are annotated by hand, so few
+        "processed": attempts.select(F.col("document_id").alias("doc")).distinct(),
+        "counts": chunk_counts(attempts).first().asDict(),
+        "sectors": [r.sector for r in off_vocabulary(valid).orderBy("sector").collect()],  # of a few fixtures
+        "failures": failed_documents(attempts),
     }
 
 
@@ -191,9 +252,11 @@ def resolved_gold(items: DataFrame, actors: DataFrame) -> DataFrame:
     return keyed.join(canonical, "name_key", "left").withColumn("item", F.coalesce("canonical_name", "item")).drop("name_key", "canonical_name").distinct()
 
 
-def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors: DataFrame, backends: dict[str, tuple[Callable[[], CompletionClient], str]], folder: str, limit: int | None = None, resolve_gold: bool = False, max_input_tokens: int = 6000) -> dict[str, str]:
+def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors: DataFrame, backends: dict[str, tuple[Callable[[], CompletionClient], str]], folder: str, limit: int | None = None, resolve_gold: bool = False, max_input_tokens: int = 6000, about: dict[str, dict] | None = None, placeholders: int = 0) -> dict[str, str]:
     """Scores each backend (name -> client factory, model) against gold and writes scorecards.
 
+    about: for each backend what its run table says besides (provider, endpoint, commit, time).
+
     Returns written file names and their texts: one scorecard a backend, named by
     backend, model and prompt version, and a comparison for more than one backend.
     Without backends only the baseline's card is written. limit keeps the first
@@ -201,7 +264,7 @@ def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors:
     """
     if limit is not None:
         fixtures = fixtures.orderBy("id").limit(limit)
-    version = prompt_version(SYSTEM_PROMPT)
+    version = prompt_version()
     wanted = gold.items(fixtures)
     if resolve_gold:
         wanted = resolved_gold(wanted, actors)
@@ -213,13 +276,17 @@ def run(spark: SparkSession, fixtures: DataFrame, techniques: DataFrame, actors:
     cards, results = {}, {}
     for name, (client, model) in backends.items():
         got = predict(fixtures, client, techniques, actors, f"{folder}/attempts-{slug(name)}", max_input_tokens)
-        own = got | {"model": model, "scores": score(got["predicted"], wanted), "implicit": M.implicit_recall(wanted.where("field = 'techniques'"), got["predicted"].where("field = 'techniques'"))}
+        own = got | {"model": model, "scores": score(got["predicted"], wanted, got["processed"]), "implicit": M.implicit_recall(wanted.where("field = 'techniques'"), got["predicted"].where("field = 'techniques'"))}
         results[name] = own
-        cards[f"{slug(name)}--{slug(model)}--{version}.md"] = scorecard(own["scores"], base, own["rates"], f"{name}: {model}", own["failures"], problems, lift(wanted, got["predicted"], plain))
+        tokens = got["tokens"].first()
+        ran = {"backend": name, "model": model, **(about or {}).get(name, {}), "prompt version": version, "gold documents": fixtures.count(), "placeholders skipped": placeholders, "token budget in": max_input_tokens, "documents chunked": f"{got['counts']['chunked_documents']} of {got['counts']['documents']}", "tokens in / out": f"{tokens.tokens_in} / {tokens.tokens_out}"}
+        cards[f"{slug(name)}--{slug(model)}--{version}.md"] = scorecard(own["scores"], base, own["rates"], f"{name}: {model}", own["failures"], problems, lift(wanted, got["predicted"], plain), ran, {k: v for k, v in got["counts"].items() if k != "documents"}, got["sectors"])
     if not backends:
         cards[f"baseline--{version}.md"] = scorecard(base, base, telemetry(none), "Baseline", (), problems, lift(wanted, plain, plain))
     if len(results) > 1:
         cards[f"cross-backend--{version}.md"] = comparison(results, base)
     for name, card in cards.items():
         write(spark, f"{folder}/{name}", card)
+    for reused in (wanted, plain, *(r["predicted"] for r in results.values())):
+        reused.unpersist()
     return cards
