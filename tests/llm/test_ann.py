@@ -36,6 +36,21 @@ def test_odd_vectors_and_ties(spark):
     assert search(table.limit(0), table).count() == 0 and search(table, table.limit(0)).count() == 0
 
 
+def test_double_vectors_keep_their_digits(spark):
+    """Scores of double vectors are exact on the vectors as they are, not on rounded ones; the two sides may differ in type."""
+    x = np.random.default_rng(5).normal(size=(300, 8)) * 1.2345678901234567
+    doubles = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for asked, y in ((doubles, x), (doubles.withColumn("embedding", F.col("embedding").cast("array<float>")), x.astype(np.float32).astype(np.float64))):
+        got = sorted(map(tuple, search(doubles, asked.where("vec_id % 100 = 0")).collect()))
+        want = []
+        for k in range(0, 300, 100):
+            d = np.sqrt(((x - y[k]) ** 2).sum(axis=1))
+            d[k] = np.inf
+            want += [(k, n + 1, int(v), d[v]) for n, v in enumerate(np.argsort(d)[:10])]
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert max(abs(g[3] - w[3]) for g, w in zip(got, want, strict=True)) < 1e-14
+
+
 def test_query_blocks_agree(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     asked = vectors.where("vec_id % 50 = 0")

@@ -263,3 +263,36 @@ def test_typed_layouts_agree_with_json(spark):
     assert chat_format.field_paths(spark.createDataFrame([], typed[2][0]).schema) == sorted(["conv_id", "messages", "messages[]", "messages[].role", "messages[].content", "messages[].content[]", "messages[].content[].text", "messages[].content[].type", "meta", "meta.a"])
     with pytest.raises(ValueError):
         chat_format.format_conversations(spark.createDataFrame([], "conv_id long, note string"))
+
+
+PREFERENCES = [
+    ('{"prompt": [{"role": "user", "content": "q"}], "chosen": [{"role": "assistant", "content": "a"}], "rejected": [{"role": "assistant", "content": "b"}]}', [("user", "q"), ("assistant", "a")]),
+    ('{"prompt": "q", "chosen": [{"role": "assistant", "content": "a"}], "rejected": [{"role": "assistant", "content": "b"}]}', [("user", "q"), ("assistant", "a")]),
+    ('{"prompt": "q", "chosen": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "rejected": []}', [("user", "q"), ("assistant", "a")]),
+    ('{"prompt": "", "chosen": [{"role": "user", "content": "x"}, {"role": "assistant", "content": "a"}]}', [("user", "x"), ("assistant", "a")]),
+    ('{"chosen": [{"role": "user", "content": "x"}, {"role": "assistant", "content": "a"}]}', [("user", "x"), ("assistant", "a")]),
+    ('{"prompt": [{"role": "system", "content": "s"}, {"role": "human", "content": "q"}], "chosen": [{"role": "gpt", "content": "a"}], "score": 1}', [("system", "s"), ("user", "q"), ("assistant", "a")]),
+    ('{"prompt": "q", "chosen": "a", "rejected": "b"}', [("user", "q"), ("assistant", "a")]),
+    ('{"instruction": "i", "response": "a"}', [("user", "i"), ("assistant", "a")]),
+    ('{"instruction": "i", "input": "more", "response": "a"}', [("user", "i\nmore"), ("assistant", "a")]),
+    ('{"instruction": "i", "input": "more", "output": "a"}', [("user", "i\nmore"), ("assistant", "a")]),
+    ('{"query": "q", "response": "a"}', [("user", "q"), ("assistant", "a")]),
+    ('{"input": "q", "output": "a"}', [("user", "q"), ("assistant", "a")]),
+    ('{"conversation": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}', [("user", "q"), ("assistant", "a")]),
+    ('{"conversation": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}', [("user", "q"), ("assistant", "a")]),
+    ('{"conversations": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "id": 7}', [("user", "q"), ("assistant", "a")]),
+    ('{"system": "s", "conversations": [{"role": "user", "content": "q"}]}', [("system", "s"), ("user", "q")]),
+]
+
+
+def test_no_prompt_is_lost(spark):
+    """Preference records keep their prompt, as a list or a text, once; further common layouts are mapped; typed rows agree."""
+    table = spark.createDataFrame([(k, r) for k, (r, _) in enumerate(PREFERENCES)], "conv_id long, record string")
+    want = {k: "".join(f"<|{role}|>{text}<|end|>" for role, text in turns) for k, (_, turns) in enumerate(PREFERENCES)}
+    assert {r.conv_id: r.formatted for r in chat_format.format_json(table).collect()} == want
+    for k, (record, turns) in enumerate(PREFERENCES):
+        if "[]" in record or '""' in record:
+            continue  # a type can't be told from an empty list
+        typed = spark.read.json(spark.sparkContext.parallelize([record]))
+        said = typed.select(chat_format.turns_of(typed.schema, F.col).alias("t")).first().t
+        assert [(t.role, t.text) for t in said] == turns, k

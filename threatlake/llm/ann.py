@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import column, materialize
 
@@ -114,11 +115,13 @@ def _nearest(x: np.ndarray, centre: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """vec_id long and embedding array<float> of vectors without null or non-finite components and not zero."""
+    """vec_id long and embedding of vectors without null or non-finite components and not zero; array<double> stays, others are array<float>."""
     e = F.col(embedding)
     bad = F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     some = F.exists(e, lambda v: v != 0)
-    return vectors.select(F.col(vec_id).cast("long").alias("vec_id"), e.cast("array<float>").alias("embedding")).where(F.col(vec_id).isNotNull() & e.isNotNull() & ~bad & some)
+    kind = vectors.schema[embedding].dataType
+    kept = e if kind == T.ArrayType(T.DoubleType(), kind.containsNull) else e.cast("array<float>")
+    return vectors.select(F.col(vec_id).cast("long").alias("vec_id"), kept.alias("embedding")).where(F.col(vec_id).isNotNull() & e.isNotNull() & ~bad & some)
 
 
 def _matrix(col: pa.Array, d: int) -> np.ndarray:
@@ -160,7 +163,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "v
             codes, norm, left = (np.concatenate(p) for p in zip(*parts, strict=True))
             yield pa.RecordBatch.from_arrays([column(batch, "vec_id"), column(batch, "embedding"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(left)], names=["vec_id", "embedding", "codes", "norm", "left"])
 
-    coded = materialize(rows.mapInArrow(encode, "vec_id long, embedding array<float>, codes binary, norm double, left double"), "codes")
+    coded = materialize(rows.mapInArrow(encode, f"vec_id long, embedding {rows.schema['embedding'].dataType.simpleString()}, codes binary, norm double, left double"), "codes")
 
     # Only one block of queries at a time is on the driver.
     total = asked.count()

@@ -85,16 +85,25 @@ def _pair(asked: str, answer: str) -> Mapping:
     return lambda r: F.array(_turn("user", r.text(asked)), _turn("assistant", r.text(answer)))
 
 
-def _instruction(r: Record) -> Column:
-    more = F.coalesce(r.text("input"), F.lit(""))
-    asked = F.when(more == "", F.coalesce(r.text("instruction"), F.lit(""))).otherwise(F.concat_ws("\n", r.text("instruction"), more))
-    return F.array(_turn("user", asked), _turn("assistant", r.text("output")))
+def _instruction_to(answer: str) -> Mapping:
+    def turns(r: Record) -> Column:
+        more = F.coalesce(r.text("input"), F.lit(""))
+        asked = F.when(more == "", F.coalesce(r.text("instruction"), F.lit(""))).otherwise(F.concat_ws("\n", r.text("instruction"), more))
+        return F.array(_turn("user", asked), _turn("assistant", r.text(answer)))
+
+    return turns
 
 
 def _with_system(inner: Mapping) -> Mapping:
     return lambda r: F.concat(_some(_turn("system", r.text("system")), F.coalesce(r.text("system"), F.lit("")) != ""), inner(r))
 
 
+def _preferred(r: Record) -> Column:
+    """The prompt's turns, a list or one text, before the preferred ones, unless these begin with them already."""
+    own, lead = _list("chosen", "role", "content")(r).cast(TURN), r.lead("prompt").cast(TURN)
+    return F.when(F.slice(own, 1, F.size(lead)) == lead, own).otherwise(F.concat(lead, own))
+
+
 def _parts_joined(parts: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "")
 
@@ -116,6 +125,14 @@ class TypedRecord:
     def text(self, name: str) -> Column:
         return self._said(self.field(name), self.schema[name].dataType) if name in self.schema.names else F.lit(None).cast("string")
 
+    def lead(self, name: str) -> Column:
+        """Turns of a list of role and content, or one user turn of a text; none if the field is absent, null or empty."""
+        if name not in self.schema.names:
+            return F.array().cast(TURN)
+        if isinstance(self.schema[name].dataType, T.ArrayType):
+            return F.coalesce(_list(name, "role", "content")(self).cast(TURN), F.array().cast(TURN))
+        return _some(_turn("user", self.text(name)), F.coalesce(self.text(name), F.lit("")) != "").cast(TURN)
+
     def items(self, name: str, role: str, text: str, turn: str | None = None) -> Column:
         kinds = self.schema[name].dataType.elementType
         if not isinstance(kinds, T.StructType):
@@ -150,6 +167,10 @@ class VariantRecord:
     def text(self, name: str) -> Column:
         return _variant_text(F.try_variant_get(self.record, f"$.{name}", "variant"))
 
+    def lead(self, name: str) -> Column:
+        text = F.coalesce(self.text(name), F.lit(""))
+        return F.coalesce(_list(name, "role", "content")(self).cast(TURN), _some(_turn("user", text), text != "").cast(TURN))
+
     def items(self, name: str, role: str, text: str, turn: str | None = None) -> Column:
         fields = f"`{role}`:string,`{text}`:variant" + (f",`{turn}`:bigint" if turn else "")
         found = F.transform(F.try_variant_get(self.record, f"$.{name}", f"array<struct<{fields}>>"), lambda m: _item(m[role], _variant_text(m[text]), m[turn] if turn else None))
@@ -178,13 +199,21 @@ LAYOUTS = (
     Layout("system, from and value", ("system", "conversations[]", "conversations[].from", "conversations[].value"), _with_system(_list("conversations", "from", "value"))),
     Layout("no messages", ("messages[]",), _no_items("messages")),
     Layout("no conversations", ("conversations[]",), _no_items("conversations")),
-    Layout("instruction", ("instruction", "output"), _instruction, ("input",)),
+    Layout("instruction", ("instruction", "output"), _instruction_to("output"), ("input",)),
     Layout("prompt and completion", ("prompt", "completion"), _pair("prompt", "completion")),
     Layout("prompt and response", ("prompt", "response"), _pair("prompt", "response")),
     Layout("system, prompt and response", ("system", "prompt", "response"), _with_system(_pair("prompt", "response"))),
     Layout("question and answer", ("question", "answer"), _pair("question", "answer")),
+    Layout("prompt messages and preferred messages", ("prompt[]", "prompt[].role", "prompt[].content", "chosen[]", "chosen[].role", "chosen[].content"), _preferred, ("rejected", "rejected[]", "rejected[].role", "rejected[].content")),
+    Layout("preferred messages", ("chosen[]", "chosen[].role", "chosen[].content"), _preferred, ("prompt", "rejected", "rejected[]", "rejected[].role", "rejected[].content")),
     Layout("preferred answer", ("prompt", "chosen", "rejected"), _pair("prompt", "chosen")),
-    Layout("preferred messages", ("chosen[]", "chosen[].role", "chosen[].content"), _list("chosen", "role", "content"), ("prompt", "rejected", "rejected[]", "rejected[].role", "rejected[].content")),
+    Layout("conversations of roles", ("conversations[]", "conversations[].role", "conversations[].content"), _list("conversations", "role", "content")),
+    Layout("system, conversations of roles", ("system", "conversations[]", "conversations[].role", "conversations[].content"), _with_system(_list("conversations", "role", "content"))),
+    Layout("conversation of roles", ("conversation[]", "conversation[].role", "conversation[].content"), _list("conversation", "role", "content")),
+    Layout("conversation, from and value", ("conversation[]", "conversation[].from", "conversation[].value"), _list("conversation", "from", "value")),
+    Layout("instruction and response", ("instruction", "response"), _instruction_to("response"), ("input",)),
+    Layout("query and response", ("query", "response"), _pair("query", "response")),
+    Layout("input and output", ("input", "output"), _pair("input", "output")),
 )
 #: Paths that mappings know; a record's others take no part in its fingerprint. A list's own name goes with its elements.
 KNOWN = tuple(sorted({p for x in LAYOUTS for p in (*x.paths, *x.optional)} | {p[:-2] for x in LAYOUTS for p in (*x.paths, *x.optional) if p.endswith("[]")}))
