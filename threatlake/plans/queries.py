@@ -80,9 +80,11 @@ def actor_timeline_week(t: Tables) -> DataFrame:
     return api.actor_timeline(t.report(), t.report_actor()).withColumn("bucket", F.col("bucket").cast("string"))
 
 
-@query(sql("""with m as (select actor_id, date_trunc('month', report_date)::date as bucket, count(*) as n from report_actor join report using (report_id) group by all),
-    s as (select actor_id, unnest(generate_series(min(bucket)::timestamp, max(bucket)::timestamp, interval 1 month))::date as bucket from m group by actor_id)
-    select actor_id, strftime(bucket, '%Y-%m-%d') as bucket, coalesce(n, 0)::bigint as n_reports from s left join m using (actor_id, bucket)""", "report_actor", "report"))
+_MONTHS = "(select actor_id, date_trunc('month', report_date)::date as bucket, count(*) as n from report_actor join report using (report_id) group by all)"
+
+
+@query(sql(f"""select actor_id, strftime(bucket, '%Y-%m-%d') as bucket, coalesce(n, 0)::bigint as n_reports
+    from (select actor_id, unnest(generate_series(min(bucket)::timestamp, max(bucket)::timestamp, interval 1 month))::date as bucket from {_MONTHS} group by actor_id) left join {_MONTHS} using (actor_id, bucket)""", "report_actor", "report"))
 def actor_timeline_filled(t: Tables) -> DataFrame:
     return api.actor_timeline(t.report(), t.report_actor(), "month", filled=True).withColumn("bucket", F.col("bucket").cast("string"))
 
