@@ -37,6 +37,7 @@ SPDX: dict[str, tuple[str, ...]] = {
     "agpl": ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"), "mpl": ("MPL-1.1", "MPL-2.0"), "epl": ("EPL-1.0", "EPL-2.0"),
     "boost": ("BSL-1.0",), "zlib": ("Zlib",), "unlicense": ("Unlicense",), "wtfpl": ("WTFPL",), "cc0": ("CC0-1.0",),
     "cc-by": ("CC-BY-3.0", "CC-BY-4.0"), "cc-by-sa": ("CC-BY-SA-3.0", "CC-BY-SA-4.0"), "cc-by-nc": ("CC-BY-NC-4.0", "CC-BY-NC-SA-4.0"), "cc-by-nd": ("CC-BY-ND-4.0", "CC-BY-NC-ND-4.0"),
+    "ofl": ("OFL-1.1",), "eupl": ("EUPL-1.1", "EUPL-1.2"), "cddl": ("CDDL-1.0", "CDDL-1.1"), "artistic": ("Artistic-1.0", "Artistic-2.0"), "psf": ("PSF-2.0", "Python-2.0"), "postgresql": ("PostgreSQL",),
 }
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "apache-2.0": (
@@ -46,7 +47,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
     "mit": (
-        "Released under the MIT License", "This project is licensed under the terms of the MIT license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "Released under the MIT License", "Licensed under the MIT licence", "This project is MIT licensed", "This project is licensed under the terms of the MIT license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
@@ -54,7 +55,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
     "gpl": (
-        "This work is licensed under the GNU General Public License, version 3", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "Released under the GPL version 2 or later", "Released under the GPL", "Licensed under the GPLv2", "Licensed under the GPLv3",
+        "This work is licensed under the GNU General Public License, version 3", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "Released under the GPL version 2 or later", "Released under the GPL", "Licensed under the GPLv2", "Licensed under the GPLv3", "Licensed under the GNU GPL v2", "Licensed under the GNU GPL v3 or later",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program. If not, see",
     ),
@@ -98,10 +99,26 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "cc-by-nc": ("Licensed under CC BY-NC 4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "Licensed under CC BY-NC-SA 4.0", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
     "cc-by-nd": ("Licensed under CC BY-ND 4.0", "licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
     "cc0": ("Released under CC0 1.0 Universal", "dedicated to the public domain under CC0", "To the extent possible under law, the author has waived all copyright and related rights"),
+    "ofl": (
+        "This Font Software is licensed under the SIL Open Font License, Version 1.1", "Licensed under the SIL Open Font License",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of the Font Software, to use, study, copy, merge, embed, modify, redistribute, and sell modified and unmodified copies of the Font Software",
+    ),
+    "eupl": ("Licensed under the EUPL, Version 1.2", "Licensed under the EUPL", "licensed under the European Union Public Licence, version 1.2", "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by the European Commission - subsequent versions of the EUPL"),
+    "cddl": ("Licensed under the CDDL", "The contents of this file are subject to the terms of the Common Development and Distribution License", "licensed under the Common Development and Distribution License (CDDL), Version 1.0"),
+    "artistic": ("Licensed under the Artistic License 2.0", "you can redistribute it and/or modify it under the terms of the Artistic License", "Released under the Perl Artistic License"),
+    "psf": ("Licensed under the Python Software Foundation License Version 2", "Released under the PSF License", "licensed under the Python Software Foundation License"),
+    "postgresql": ("Released under the PostgreSQL License", "Licensed under the PostgreSQL License", "This software is released under the PostgreSQL License, a liberal Open Source license"),
     "all-rights-reserved": ("All rights reserved", "Copyright 2020 Example Company. All rights reserved", "No part of this publication may be reproduced without permission", "No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher"),
 }
 #: Families under which training on a document is commonly allowed.
-PERMISSIVE = ("apache-2.0", "mit", "isc", "bsd", "boost", "zlib", "unlicense", "wtfpl", "cc-by", "cc0")
+PERMISSIVE = ("apache-2.0", "mit", "isc", "bsd", "boost", "zlib", "unlicense", "wtfpl", "cc-by", "cc0", "psf", "postgresql")
+#: Words that name a family. A template of few words that holds some of them is only found where one of these is said.
+NAMES = {
+    "apache-2.0": ("apache",), "mit": ("mit",), "isc": ("isc",), "gpl": ("gpl", "gplv2", "gplv3", "gnu"), "lgpl": ("lgpl", "lesser"), "agpl": ("agpl", "affero"), "bsd": ("bsd", "bsd-style"), "mpl": ("mpl", "mozilla"),
+    "epl": ("epl", "eclipse"), "boost": ("boost",), "zlib": ("zlib",), "unlicense": ("unencumbered",), "wtfpl": ("fuck",), "cc-by": ("cc", "commons"), "cc-by-sa": ("by-sa", "attribution-sharealike"), "cc-by-nc": ("by-nc", "by-nc-sa", "attribution-noncommercial", "attribution-noncommercial-sharealike"),
+    "cc-by-nd": ("by-nd", "attribution-noderivatives"), "cc0": ("cc0",), "ofl": ("font",), "eupl": ("eupl", "european"), "cddl": ("cddl", "development"), "artistic": ("artistic",), "psf": ("psf", "python"), "postgresql": ("postgresql",), "all-rights-reserved": ("reserved",),
+}
+NAMED_WORDS = 12
 #: Words so common that a pair of them points to no template.
 COMMON = frozenset("a all an and any are as at be by for form from have if in is it its may not of on one or out so such that the their this to under was which with you your".split())
 BITS = 18
@@ -236,7 +253,7 @@ def _encoded(texts: list[str] | list[bytes]):
     return np.concatenate(rows), np.concatenate(slots)
 
 
-def train(seed: int = 7, each: int = 80, steps: int = 150) -> Model:
+def train(seed: int = 7, each: int = 120, steps: int = 150) -> Model:
     """Softmax regression with an L1 proximal step, then a temperature on held-out variants."""
     texts, families = _variants(seed, each)
     names = [UNKNOWN, *TEMPLATES]
@@ -284,14 +301,16 @@ class Templates:
     """Templates as sets of word pairs, and the index from their telling pairs to them."""
 
     def __init__(self):
-        self.families, self.pairs, self.span, self.least = [], [], [], []
+        self.families, self.pairs, self.span, self.least, self.names = [], [], [], [], []
         index = []
         for k, (family, text) in enumerate(_all_templates()):
             raw = np.frombuffer(normal(text.encode()), np.uint8)
             words = plain_words(raw, np.array([0, len(raw)]))
             said = [raw[a:b].tobytes().decode() for a, b in zip(words.start.tolist(), words.end.tolist(), strict=True)]
-            h = pair_hashes(raw, words)
+            word = range_hash(raw, words.start, words.end)
+            h = window_hash(word, 2, 32)
             own = np.unique(h)
+            self.names.append(np.unique(word[[x in NAMES.get(family, ()) for x in said]]) if len(said) <= NAMED_WORDS else word[:0])
             telling = np.unique(h[[not (a in COMMON and b in COMMON) for a, b in zip(said, said[1:], strict=False)]])
             needed = int(np.ceil(MIN_CONTAINMENT * len(own) - 1e-9))
             self.families.append(family)
@@ -303,10 +322,6 @@ class Templates:
         self.key, self.template = np.array([x for x, _ in index], U64), np.array([k for _, k in index])
 
 
-def pair_hashes(buffer: np.ndarray, words: Words) -> np.ndarray:
-    return window_hash(range_hash(buffer, words.start, words.end), 2, 32)
-
-
 TEMPLATE = Templates()
 
 
@@ -317,7 +332,8 @@ def passages(flat: np.ndarray, words: Words):
     often as the template needs, make a passage, from the first to the last of the template's pairs around them.
     """
     t = TEMPLATE
-    h = pair_hashes(flat, words)
+    word = range_hash(flat, words.start, words.end)
+    h = window_hash(word, 2, 32)
     valid = window_valid(words.first, 2, len(h))
     hit = np.flatnonzero(valid & member(h, t.key))
     if not len(hit):
@@ -345,7 +361,8 @@ def passages(flat: np.ndarray, words: Words):
         mine = np.flatnonzero(member(h[begin:stop], t.pairs[k]))
         mine = mine[(begin + mine >= first - len(t.pairs[k])) & (begin + mine <= last + len(t.pairs[k]))]
         like = len(np.unique(h[begin:stop][mine])) / len(t.pairs[k])
-        if like >= MIN_CONTAINMENT:
+        said = word[begin + int(mine[0]) : begin + int(mine[-1]) + 2] if len(mine) else word[:0]
+        if like >= MIN_CONTAINMENT and (not len(t.names[k]) or member(said, t.names[k]).any()):
             yield k, begin + int(mine[0]), begin + int(mine[-1]) + 1, like
 
 
