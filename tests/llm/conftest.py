@@ -12,7 +12,7 @@ def docs(spark):
 
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
         if clash:
-            for name in ("n_words", "n_lines", "kept", "__x", "shard", "h", "fp", "key", "ids", "a", "blk", "root"):
+            for name in ("n_words", "n_lines", "kept", "__x", "shard", "h", "fp", "key", "ids", "a", "blk", "root", "__blk", "__id"):
                 df = df.withColumn(name, F.lit("own"))
         return df
 

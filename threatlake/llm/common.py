@@ -76,6 +76,20 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """df with other names for columns that are called like an operator's own, and those names (new to old) for put_back()."""
+    aside = {}
+    for c in df.columns:
+        if c.lower() in own:
+            new = unused(df, f"{c}_aside")
+            df, aside = df.withColumnRenamed(c, new), aside | {new: c}
+    return df, aside
+
+
+def put_back(df: DataFrame, aside: dict[str, str]) -> DataFrame:
+    return df.withColumnsRenamed(aside) if aside else df
+
+
 def map_columns(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], list]], new: str | T.StructType) -> DataFrame:
     """df with the columns `new`, made batch by batch; they replace any of the same names.
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, block_count, blocked, column, kept_fields, map_columns, materialize
+from .common import BROADCAST_BYTES, block_count, blocked, column, kept_fields, map_columns, materialize, put_back, set_aside
 from .kernel import U64, blocks, combine, mix, pack, text_buffer, unpack
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -227,6 +227,8 @@ def _probe_broadcast(docs: DataFrame, index: DataFrame, min_docs: int, min_chars
 
 
 def _probe_routed(docs: DataFrame, index: DataFrame, min_docs: int, min_chars: int, text: str) -> DataFrame:
+    docs, aside = set_aside(docs, "__blk")
+    text = {old: new for new, old in aside.items()}.get(text, text)
     shards, count = block_count(docs, SHARD_INPUT), block_count(docs, SHARD_INPUT)
     held = blocked(docs, count, *docs.columns)
 
@@ -258,7 +260,7 @@ def _probe_routed(docs: DataFrame, index: DataFrame, min_docs: int, min_chars: i
 
     asked = held.groupBy("__blk").applyInArrow(ask, "shard int, blk int, h long, g long")
     told = asked.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(answer, "__blk int, h long, g long")
-    return held.groupBy("__blk").cogroup(told.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(made.fields)))
+    return put_back(held.groupBy("__blk").cogroup(told.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(made.fields))), aside)
 
 
 def _schema(text: str):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import block_count, blocked, column, kept_fields
+from .common import block_count, blocked, column, kept_fields, put_back, set_aside
 from .kernel import U64, Words, blocks, find_words, member, pack, range_hash, text_buffer, unpack, widen, window_hash, window_valid
 
 #: Parquet bytes of documents for each block and each shard.
@@ -392,6 +392,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
         raise ValueError("layout is cut or words")
     if window < 2:
         raise ValueError("a window has two words or more")
+    docs, aside = set_aside(docs, "__blk", "__id")
+    doc_id, text = ({old: new for new, old in aside.items()}.get(c, c) for c in (doc_id, text))
     if not isinstance(docs.select(doc_id).schema[0].dataType, T.IntegralType):
         raise ValueError(f"{doc_id} must be of an integer type")
     count = blocks_wanted or block_count(docs, BLOCK_INPUT, most=MOST_BLOCKS)
@@ -463,7 +465,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, doc_id: str = "doc_id", te
         return pa.table([column(table, n) for n in names] + [pa.array(texts, pa.string()), pa.array(words, pa.int64()), pa.array(removed, pa.int64())], names=names + new.names)
 
     answers = told.select("*", nothing.alias("h"), nothing.alias("g")).unionByName(lost.select("*", nothing.alias("keys"), F.lit(0).alias("level")))
-    return dealt.cogroup(answers.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(new.fields)))
+    return put_back(dealt.cogroup(answers.groupBy("__blk")).applyInArrow(finish, T.StructType(fields + list(new.fields))), aside)
 
 
 def _in_pairs(h: np.ndarray, g: np.ndarray, set_h: np.ndarray, set_g: np.ndarray) -> np.ndarray:
