@@ -64,7 +64,7 @@ def test_odd_documents(spark, odd):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels", "benchmark"):
         con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     df = QUERIES[name](spark, DATA)
     relation = con.sql(ORACLES[name])
