@@ -12,8 +12,14 @@ none is an estimate.
 Buckets of up to SMALL sets try all pairs. In a larger one, mostly one group of
 near copies, all are tried against its hub (the set nearest to the bucket's
 majority fingerprint); then, with those links' components known, only pairs that are still in
-different components are tried, by the wide fingerprint. Keys with more than
-MOST sets, however many, are dealt anew by pairs and triples of bands.
+different components are tried, by the wide fingerprint: the sets outside of the bucket's
+main component with each other and with that component's.
+
+A bucket of more than MOST sets does the same in parts. A slice of about MOST of its sets
+chooses the hub, which the others meet by a join, so no task holds the bucket. For the second
+round both sides, the main component's sets and the others, are cut into slices of about MOST
+sets, and each pair of slices that has pairs to try is a cell of its own: the same pairs
+are tried at every size, by tasks of bounded memory.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ from .simhash import LOWER, chained, lane_bits
 BANDS, ROWS = 20, 4
 #: 64-bit lanes of the two fingerprints; the narrow one is the beginning of the wide one.
 NARROW, WIDE = 4, 32
-#: Sets of a bucket that all try each other, and sets beyond which a key is dealt anew.
+#: Sets of a bucket that all try each other, and sets beyond which a bucket is tried in parts.
 SMALL, MOST = 16, 20_000
 #: Sets of fewer than FEW shingles are not pruned; up to COARSE, the share of differing bits still depends on the number's parity.
 FEW, COARSE = 5, 64
@@ -137,22 +143,23 @@ def _wide(values: np.ndarray, first: np.ndarray) -> pa.Array:
 class Pairs:
     """Candidate pairs inside buckets of equal keys, read in key order.
 
-    Rows are (key, cls, node, n, fp) and, with `rest`, root, at and bands: then large buckets give the pairs that are in
-    different components, each one in the first band that it shares; without it, small ones give all pairs and large
-    ones those with their hub. All pairs pass the size bound and the fingerprints.
+    Rows are (key, cls, node, n, fp) and, with `rest`, root, at, side and bands: then a bucket gives the pairs of side 0
+    with each other and of sides 0 and 1 with side 2 that are in different components, each one in the first band
+    that it shares; without it, small buckets give all pairs and large ones those with their hub. All pairs pass the
+    size bound and the fingerprints.
     """
 
     def __init__(self, similarity: float, rest: bool):
         self.similarity, self.rest, self.lanes = similarity, rest, WIDE if rest else NARROW
-        self.names = ["key", "cls", "node", "n", *(["root", "at", "wide", "bands"] if rest else [f"f{k}" for k in range(NARROW)])]
+        self.names = ["key", "cls", "node", "n", *(["root", "at", "side", "wide", "bands"] if rest else [f"f{k}" for k in range(NARROW)])]
 
     def read(self, batch) -> list[np.ndarray]:
         new = [column(batch, c) for c in self.names]
         if not self.rest:
             new = [x.to_numpy() for x in new]
             return [*new[:4], np.stack(new[4:], axis=1).view(U64)]
-        wide = np.frombuffer(b"".join(new[6].to_pylist()), U64).reshape(-1, WIDE)
-        return [*(x.to_numpy() for x in new[:4]), wide, new[4].to_numpy(), new[5].to_numpy(), new[7].flatten().to_numpy().reshape(-1, BANDS)]
+        wide = np.frombuffer(b"".join(new[7].to_pylist()), U64).reshape(-1, WIDE)
+        return [*(x.to_numpy() for x in new[:4]), wide, *(x.to_numpy() for x in new[4:7]), new[8].flatten().to_numpy().reshape(-1, BANDS)]
 
     def run(self, batches):
         held: list[list[np.ndarray]] = []
@@ -169,37 +176,45 @@ class Pairs:
             yield from self.buckets([np.concatenate(x) for x in zip(*held, strict=True)])
 
     def buckets(self, rows):
-        key, fp = rows[0], rows[4]
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[: len(key)]
-        size = np.diff(np.append(begin, len(key)))
-        if not self.rest:
-            few = np.flatnonzero(np.repeat(size <= SMALL, size))
-            own, at = key[few], np.arange(len(few))
-            for lag in range(1, SMALL):
-                at = at[at + lag < len(few)]
-                at = at[own[at] == own[at + lag]]
-                if not len(at):
-                    break
-                yield from self.out(rows, few[at], few[at + lag])
+        begin, size = _starts(rows[0])
+        if self.rest:
+            for lo, n in zip(begin.tolist(), size.tolist(), strict=True):
+                yield from self.cell([x[lo : lo + n] for x in rows])
+            return
+        few = np.flatnonzero(np.repeat(size <= SMALL, size))
+        own, at = rows[0][few], np.arange(len(few))
+        for lag in range(1, SMALL):
+            at = at[at + lag < len(few)]
+            at = at[own[at] == own[at + lag]]
+            if not len(at):
+                break
+            yield from self.out(rows, few[at], few[at + lag])
         for lo, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-            every = np.arange(lo, lo + n)
-            if not self.rest:
-                ones = np.zeros(64 * NARROW, np.int64)
-                for k in range(lo, lo + n, 8192):
-                    ones += np.unpackbits(fp[k : min(k + 8192, lo + n)].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-                middle = np.packbits(2 * ones > n, bitorder="little").view(U64)
-                hub = lo + int(np.bitwise_count(fp[every] ^ middle).sum(axis=1).argmin())
-                yield from self.out(rows, np.full(n - 1, hub), np.delete(every, hub - lo))
-            else:
-                for x in range(lo, lo + n - 1):
-                    yield from self.out(rows, np.full(lo + n - 1 - x, x), np.arange(x + 1, lo + n))
+            hub = lo + _hub(rows[4][lo : lo + n])
+            yield from self.out(rows, np.full(n - 1, hub), np.delete(np.arange(lo, lo + n), hub - lo))
+
+    def cell(self, rows):
+        """The pairs of one bucket, those of too different sizes skipped by order of size."""
+        order = np.argsort(rows[3], kind="stable")
+        rows = [x[order] for x in rows]
+        n, side = rows[3], rows[7]
+        every, left, right = (np.flatnonzero(x) for x in (side == 0, side < 2, side == 2))
+        end = np.searchsorted(n[every], n[every] / self.similarity + 1e-6, side="right")
+        for k, (x, z) in enumerate(zip(every.tolist(), end.tolist(), strict=True)):
+            if z > k + 1:
+                yield from self.out(rows, np.full(z - k - 1, x), every[k + 1 : z])
+        begin = np.searchsorted(n[right], n[left] * self.similarity - 1e-6)
+        end = np.searchsorted(n[right], n[left] / self.similarity + 1e-6, side="right")
+        for x, y, z in zip(left.tolist(), begin.tolist(), end.tolist(), strict=True):
+            if z > y:
+                yield from self.out(rows, np.full(z - y, x), right[y:z])
 
     def out(self, rows, a, b):
         _, cls, node, n, fp, *rest = rows
         least = np.minimum(n[a], n[b])
         ok = least >= self.similarity * np.maximum(n[a], n[b]) - 1e-9
         if rest:
-            root, at, bands = rest
+            root, at, _, bands = rest
             ok &= root[a] != root[b]
         a, b, least = a[ok], b[ok], least[ok]
         for lanes in dict.fromkeys((NARROW, self.lanes)):
@@ -217,6 +232,98 @@ class Pairs:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[a], cls[b], node[a], node[b])], names=["a", "b", "u", "v"])
 
 
+class Hubs(Pairs):
+    """One row for each bucket, its hub: key, and cls, node, n and the lanes with h_ before them."""
+
+    def __init__(self):
+        super().__init__(1, False)
+        self.fields = ", ".join(f"{'' if c == 'key' else 'h_'}{c} long" for c in self.names)
+
+    def buckets(self, rows):
+        begin, size = _starts(rows[0])
+        at = np.array([lo + _hub(rows[4][lo : lo + n]) for lo, n in zip(begin.tolist(), size.tolist(), strict=True)], np.int64)
+        lanes = [np.ascontiguousarray(x).view(np.int64) for x in rows[4][at].T]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*(x[at] for x in rows[:4]), *lanes)], names=[x.split()[0] for x in self.fields.split(", ")])
+
+
+def _starts(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and size of the runs of equal keys."""
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))[: len(key)]
+    return begin, np.diff(np.append(begin, len(key)))
+
+
+def _hub(fp: np.ndarray) -> int:
+    """The row nearest to the rows' majority fingerprint."""
+    ones = np.zeros(64 * NARROW, np.int64)
+    for k in range(0, len(fp), 8192):
+        ones += np.unpackbits(fp[k : k + 8192].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    middle = np.packbits(2 * ones > len(fp), bitorder="little").view(U64)
+    return int(np.bitwise_count(fp ^ middle).sum(axis=1).argmin())
+
+
+def _small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """df, to be broadcast if its counted rows are few enough for that."""
+    return F.broadcast(df) if row_bytes * df.count() <= BROADCAST_BYTES else df
+
+
+def _tried(rows: DataFrame, pairs: Pairs) -> DataFrame:
+    """(a, b, u, v): candidates of the rows' buckets."""
+
+    def run(batches):
+        yield from pairs.run(batches)
+
+    return rows.select(*pairs.names).repartition("key").sortWithinPartitions("key", "cls").mapInArrow(run, "a long, b long, u long, v long")
+
+
+def _with_hubs(rows: DataFrame, hot: DataFrame, similarity: float) -> DataFrame:
+    """Candidates (a, b, u, v) of each row of a hot key with the key's hub, and of all other buckets.
+
+    A slice of about MOST of the key's rows chooses the hub; one that chances to have none leaves its key to the second round.
+    """
+    pairs, hubs = Pairs(similarity, False), Hubs()
+    few = _small(hot, 16)
+    own = rows.select(*pairs.names).join(few, "key")
+
+    def choose(batches):
+        yield from hubs.run(batches)
+
+    def meet(batches):
+        for batch in batches:
+            if batch.num_rows:
+                other = pa.RecordBatch.from_arrays([batch.column(c if c == "key" else f"h_{c}") for c in pairs.names], names=pairs.names)
+                both = [np.concatenate(x) for x in zip(pairs.read(batch), pairs.read(other), strict=True)]
+                at = np.flatnonzero(both[1][: batch.num_rows] != both[1][batch.num_rows :])
+                yield from pairs.out(both, at, at + batch.num_rows)
+
+    slice_rows = own.where(F.pmod(F.xxhash64("cls"), "slices") == 0).select(*pairs.names).repartition("key").sortWithinPartitions("key", "cls")
+    chosen = materialize(slice_rows.mapInArrow(choose, hubs.fields), "hubs")
+    met = own.join(_small(chosen, 80), "key").drop("slices").mapInArrow(meet, "a long, b long, u long, v long")
+    return _tried(rows.join(few, "key", "left_anti"), pairs).unionByName(met)
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """rows with a key and a side for each cell that they take part in; `main` is the key's main component, `inside` its sets, `sets` all.
+
+    Up to MOST sets the key is one cell; else each pair of slices with pairs to try is one.
+    """
+    inner = F.col("root") == F.col("main")
+    others, mains = (F.greatest(F.lit(1), F.ceil(x / F.lit(MOST))) for x in (F.col("sets") - F.col("inside"), F.col("inside")))
+    own = F.pmod(F.xxhash64("cls"), F.when(inner, mains).otherwise(others))
+
+    def cell(kind: int, a, b, side):
+        return F.struct(F.xxhash64("key", F.lit(kind), a, b).alias("key"), side.cast("int").alias("side"))
+
+    def each(count, make):
+        return F.transform(F.sequence(F.lit(0).cast("long"), count - 1), make)
+
+    with_others = each(others, lambda k: cell(0, F.least(own, k), F.greatest(own, k), F.when(own == k, 0).when(own < k, 1).otherwise(2)))
+    with_main = each(mains, lambda k: cell(1, own, k, F.lit(1)))
+    of_main = each(others, lambda k: cell(1, k, own, F.lit(2)))
+    whole = F.array(F.struct(F.col("key").alias("key"), F.when(inner, 2).otherwise(0).cast("int").alias("side")))
+    cells = F.when(F.col("sets") <= MOST, whole).when(inner, of_main).otherwise(F.concat(with_others, with_main))
+    return rows.withColumn("cell", F.explode(cells)).withColumns({"key": F.col("cell.key"), "side": F.col("cell.side")}).drop("cell")
+
+
 def _of_classes(needed: DataFrame, texts: DataFrame, size: int, of, kind: str) -> DataFrame:
     """(cls, x) of the needed (doc_id, cls): x is of(values, first) of their texts, which are read again.
 
@@ -252,30 +359,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     return links
 
 
-def _dealt(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A row of classes for each key, with key and at, and the keys of more than SMALL rows; at is the key's band, or 0 if any key was dealt anew.
-
-    A key of more than MOST rows is replaced by that key with each later band, and once more by triples:
-    a pair is then lost only if it shares no more bands than that, and all of them are so large.
-    """
-    rows = classes.select("*", F.posexplode("bands").alias("at", "key"))
-    done = []
-    for last in (False, False, True):
-        count = materialize(rows.groupBy("key").count().where(F.col("count") > SMALL), "large")
-        hot = count.where(F.col("count") > MOST).select("key")
-        if last or hot.isEmpty():
-            done.append((rows, count))
-            break
-        done.append((rows.join(hot, "key", "left_anti"), count.where(F.col("count") <= MOST)))
-        more = F.transform("bands", lambda b, i: F.struct(i.alias("at"), F.xxhash64("key", b).alias("key")))
-        finer = rows.join(hot, "key", "left_semi").select(*classes.columns, F.explode(F.filter(more, lambda x: x["at"] > F.col("at"))).alias("x"))
-        rows = materialize(finer.select(*classes.columns, "x.at", "x.key"), "finer")
-    keyed, large = done[0]
-    for rows, count in done[1:]:
-        keyed, large = keyed.unionByName(rows), large.unionByName(count)
-    return (keyed if len(done) == 1 else keyed.withColumn("at", F.lit(0))), large.select("key")
-
-
 def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: doc_id and component_id, by exact Jaccard similarity of shingle sets.
 
@@ -294,25 +377,22 @@ def near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8
     prints = materialize(texts.mapInArrow(_sketch(shingle_words), sketched), "sketches")
     parts = [F.first(c).alias(c) for c in ("n", "bands", *lanes)]
     classes = materialize(prints.where("doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"), *parts), "classes")
-    keyed, large = _dealt(classes)
-
-    def candidates(rows: DataFrame, rest: bool) -> DataFrame:
-        def run(batches):
-            yield from Pairs(similarity, rest).run(batches)
-
-        got = rows.select(*Pairs(similarity, rest).names).repartition("key").sortWithinPartitions("key", "cls")
-        return got.mapInArrow(run, "a long, b long, u long, v long").distinct()
-
-    seen = materialize(candidates(keyed, False), "pairs")
+    keyed = classes.select("*", F.posexplode("bands").alias("at", "key"))
+    large = materialize(keyed.groupBy("key").count().where(F.col("count") > SMALL), "large")
+    hot = materialize(large.where(F.col("count") > MOST).select("key", F.ceil(F.col("count") / F.lit(MOST)).alias("slices")), "hot")
+    tried = _tried(keyed, Pairs(similarity, False)) if hot.isEmpty() else _with_hubs(keyed, hot, similarity)
+    seen = materialize(tried.distinct(), "pairs")
     edges = _confirmed(seen, texts, shingle_words, similarity)
     found = components(edges, "u", "v")
     if not large.isEmpty():
-        rest = keyed.select("key", "cls", "at", "node", "n", "bands").join(large, "key", "left_semi").join(found, "node", "left")
+        rest = keyed.select("key", "cls", "at", "node", "n", "bands").join(large.select("key"), "key", "left_semi").join(found, "node", "left")
         rest = materialize(rest.withColumn("root", F.coalesce("root", "node")), "rest")
-        mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-        every, rest = rest, materialize(rest.join(mixed, "key", "left_semi"), "mixed")
+        main = [F.max_by("root", F.struct("count", "root")).alias("main"), F.max("count").alias("inside"), F.sum("count").alias("sets")]
+        mixed = rest.groupBy("key", "root").count().groupBy("key").agg(*main).where("inside < sets")
+        every, rest = rest, materialize(rest.join(mixed, "key"), "mixed")
         wide = _of_classes(materialize(rest.select(F.col("node").alias("doc_id"), "cls").distinct(), "needed"), texts, shingle_words, _wide, "binary")
-        more = materialize(candidates(rest.join(wide.withColumnRenamed("x", "wide"), "cls"), True).join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        cells = _cells(rest.join(wide.withColumnRenamed("x", "wide"), "cls"))
+        more = materialize(_tried(cells, Pairs(similarity, True)).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         release(every, rest, wide)
         if not more.isEmpty():
             found = components(edges.unionByName(_confirmed(more, texts, shingle_words, similarity)), "u", "v")
