@@ -43,6 +43,8 @@ BANDS, ROWS = 20, 4
 NARROW, WIDE = 4, 32
 #: Sets of a bucket that all try each other, and sets beyond which a bucket is tried in parts.
 SMALL, MOST = 16, 20_000
+#: Text bytes sketched at once: a quarter of other kernels', since the shingles' hashes and their order are held side by side.
+SKETCH_BYTES = 512 << 10
 #: Sets of fewer than FEW shingles are not pruned; up to COARSE, the share of differing bits still depends on the number's parity.
 FEW, COARSE = 5, 64
 
@@ -65,7 +67,7 @@ def shingle_sets(text: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, n
     A text of fewer words is one shingle; one without words has none. A null text counts as empty.
     """
     buffer, offsets = text_buffer(text)
-    for lo, hi, raw, own in blocks(buffer, offsets):
+    for lo, hi, raw, own in blocks(buffer, offsets, SKETCH_BYTES):
         raw = _LOWER[raw]
         words = find_words(raw, own)
         h = range_hash(raw, words.start, words.end)
