@@ -59,3 +59,38 @@ def test_whole_tables_names(spark):
     assert {r.c_custkey: (r.best_match_actor_id, r.best_match_score) for r in got if r.match != "exact"} == {k: want[k] for k in (r.c_custkey for r in got if r.match != "exact")}
     assert all(r.match == "fuzzy" and r.actor_id == want[r.c_custkey][0] for r in got if r.match != "exact" and want[r.c_custkey][1] > 0.9)
     assert len(got) == c.count()
+
+
+def test_numbered_names_cost_few_comparisons(monkeypatch):
+    """Names that differ in their numbers only: what one asked name costs doesn't follow the number of names."""
+    asked = [*(f"s {k}" for k in range(7, 20_000, 900)), *(f"suplier#{k:09d}" for k in range(3, 20_000, 900)), "s 5", "zz"]
+    calls = []
+
+    class Counted(SequenceMatcher):
+        def ratio(self):
+            calls.append(1)
+            return super().ratio()
+
+    for form in ("sup {:09d}", "supplier#{:09d}"):
+        names, ordinals = [form.format(k) for k in range(20_000)], [k * 3 for k in range(20_000)]
+        monkeypatch.setattr(similar, "SequenceMatcher", Counted)
+        scores, order = [0.0] * len(asked), [1 << 62] * len(asked)
+        calls.clear()
+        got = similar.Tree(names, ordinals).best(asked, scores, order)
+        assert len(calls) < 40 * len(asked)
+        monkeypatch.undo()
+        cell = similar.Cell(names, ordinals)
+        assert list(zip(got, scores, strict=True)) == [cell.best(n) for n in asked]
+
+
+def test_trees_agree_with_cells_from_any_start():
+    r = random.Random(3)
+    names = list(dict.fromkeys(invented(5, 400)))
+    asked = [n[:63] for n in invented(6, 30)] + ["q"]
+    for length in {len(n) for n in names}:
+        own = [n for n in names if len(n) == length]
+        ordinals = r.sample(range(900), len(own))
+        start = [(r.choice([0.0, 0.3, 0.5]), r.choice([1 << 62, 400])) for _ in asked]
+        scores, order = [s for s, _ in start], [o for _, o in start]
+        got = similar.Tree(own, ordinals).best(asked, scores, order)
+        assert list(zip(got, scores, strict=True)) == [similar.Cell(own, ordinals).best(n, s, o) for n, (s, o) in zip(asked, start, strict=True)]
