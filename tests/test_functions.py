@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import UTC, datetime
 
 import duckdb
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -161,3 +162,23 @@ def test_html_references_without_their_semicolon(spark, tmp_path):
     duck = duckdb.connect()
     duck.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
     assert [tuple(r) for r in Q.QUERIES["html_clean_text"](spark, str(tmp_path)).collect()] == duck.sql(Q.ORACLES["html_clean_text"]).fetchall()
+
+
+def test_chunks_come_in_small_batches(spark):
+    """Texts of 300 KB, many to a batch: what goes back is cut by bytes, and whole."""
+
+    class Stub:
+        schema = spark.createDataFrame([], "id long, text string").schema
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = ["word. " * 50_000 + str(k) if k % 5 else None for k in range(40)] + ["", " "]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    out = list(U.with_chunks(Stub(), 2000)(iter([batch])))
+    assert max(b.nbytes for b in out) < 3 * U.SLICE_BYTES
+    got = {r["id"]: r["parts"] for b in out for r in b.to_pylist()}
+    assert list(got) == list(range(len(texts)))
+    assert all(p is None if t is None else "".join(x["chunk"] for x in p) == t for t, p in zip(texts, got.values(), strict=True))
+    rows = spark.createDataFrame([(1, "a. b c"), (2, None)], "id long, text string")
+    assert {r.id: r.parts and [tuple(p) for p in r.parts] for r in U.with_chunks(rows, 3).collect()} == {1: [(0, 0, 3, "a. "), (1, 3, 6, "b c")], 2: None}

@@ -28,7 +28,7 @@ def pending(documents: DataFrame, reports: DataFrame, limit: int | None = None)
 
 def chunked(documents: DataFrame, budget: int, doc: str = "id", text: str = "clean_text") -> DataFrame:
     """document_id, chunk_index (null for a document of one chunk), chunk."""
-    parts = documents.select(F.col(doc).alias("document_id"), U.chunks(budget)(text).alias("parts"))
+    parts = U.with_chunks(documents.select(F.col(doc).alias("document_id"), text), budget, text)
     return parts.select("document_id", F.size("parts").alias("n"), F.explode("parts").alias("p")).select("document_id", F.when(F.col("n") > 1, F.col("p.pos")).alias("chunk_index"), F.col("p.chunk").alias("chunk"))
 
 
