@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -461,3 +462,21 @@ def test_stream(spark, tmp_path):
     for _ in range(2):
         landing.sink(landing.documents(landing.read(spark, f"file://{tmp_path}/land/*")), store, f"{tmp_path}/cp").awaitTermination()
     assert store.read("raw_document").count() == 1
+
+
+def test_attempts_go_back_in_small_batches(spark):
+    """Many long chunks in one batch: answers are written by slices, each chunk's once and in order."""
+
+    class Stub:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    n = 300
+    batch = pa.RecordBatch.from_arrays([pa.array([str(k) for k in range(n)]), pa.array([None if k % 2 else k for k in range(n)], pa.int32()), pa.array([f"T1078 is used by {k}. " * 1000 for k in range(n)])], ["document_id", "chunk_index", "user"])
+    out = list(enrich.complete(Stub(), clients.KeywordClient)(iter([batch])))
+    assert len(out) > 4 and max(b.num_rows for b in out) < 100
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [(r["document_id"], r["chunk_index"], r["status"]) for r in rows] == [(str(k), None if k % 2 else k, "ok") for k in range(n)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,21 +57,19 @@ ATTEMPTS = "document_id string, chunk_index int, attempt int, status string, err
 
 def complete(chunks: DataFrame, client: Callable[[], CompletionClient], system: str = SYSTEM_PROMPT, max_tokens: int = 2048) -> DataFrame:
     """One row for each attempt on each chunk. Write it before it is used: calls aren't to be repeated."""
-    names = [c.split()[0] for c in ATTEMPTS.split(", ")]
-    asked = chunks.select("document_id", "chunk_index", X.enclosed(F.col("chunk")).alias("user"))
+    asked = chunks.select(F.col("document_id").cast("string").alias("document_id"), "chunk_index", X.enclosed(F.col("chunk")).alias("user"))
+    types = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+    schema = pa.schema([(name, types[kind]) for name, kind in (c.split() for c in ATTEMPTS.split(", "))])
 
     def run(batches):
         own = client()
         for batch in batches:
-            rows = [(r.document_id, None if pd.isna(r.chunk_index) else int(r.chunk_index), *a) for r in batch.itertuples(index=False) for a in run_attempts(own, system, r.user, max_tokens)]
-            frame = pd.DataFrame(rows, columns=names)
-            for c in ("chunk_index", "attempt"):
-                frame[c] = frame[c].astype("Int32")
-            for c in ("tokens_in", "tokens_out"):
-                frame[c] = frame[c].astype("Int64")
-            yield frame
-
-    return asked.mapInPandas(run, ATTEMPTS)
+            for s in U.slices(batch.column("user")):
+                part = batch.slice(s.start, s.stop - s.start).to_pylist()
+                rows = [(r["document_id"], r["chunk_index"], *a) for r in part for a in run_attempts(own, system, r["user"], max_tokens)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return asked.mapInArrow(run, ATTEMPTS)
 
 
 def extractions(attempts: DataFrame) -> DataFrame:
