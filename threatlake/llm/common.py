@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -90,6 +91,14 @@ def put_back(df: DataFrame, aside: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(aside) if aside else df
 
 
+def give_back() -> None:
+    """Returns freed memory to the system. A Python worker lives on between tasks and would keep the most that any of them took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def map_columns(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], list]], new: str | T.StructType) -> DataFrame:
     """df with the columns `new`, made batch by batch; they replace any of the same names.
 
@@ -103,6 +112,8 @@ def map_columns(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], list]
         step = fn()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in names] + step(batch), names=names + fields.names)
+            del batch
+            give_back()
 
     return df.mapInArrow(run, T.StructType(kept + list(fields.fields)))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, block_count, blocked, column, kept_fields, map_columns, materialize, put_back, set_aside
+from .common import BROADCAST_BYTES, block_count, blocked, column, give_back, kept_fields, map_columns, materialize, put_back, set_aside
 from .kernel import U64, blocks, combine, mix, pack, text_buffer, unpack
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -154,6 +154,7 @@ def build_index(docs: DataFrame, min_chars: int = 1, text: str = "text", shards:
                 order, begin = _distinct(h, g)
                 h, g, n = h[order][begin], g[order][begin], np.diff(np.append(begin, len(h)))
                 yield pa.RecordBatch.from_arrays([pa.array(_shard(h, shards).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(n)], names=["shard", "h", "g", "n"])
+            give_back()
 
     def total(table: pa.Table) -> pa.Table:
         h, g, n = (column(table, c).to_numpy() for c in ("h", "g", "n"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_BYTES, column, materialize, release
+from .common import BROADCAST_BYTES, column, give_back, materialize, release
 from .graph import components
 from .kernel import U64, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
 from .simhash import LOWER, chained, lane_bits
@@ -121,6 +121,7 @@ def _sketch(size: int):
                 ids = pa.array(_class_id(values, first).view(np.int64))
                 yield pa.RecordBatch.from_arrays([column(batch, "doc_id").slice(at, texts), ids, pa.array(count.astype(np.int64)), bands, *lanes], names=names)
                 at += texts
+            give_back()
 
     return run
 
@@ -273,6 +274,7 @@ def _tried(rows: DataFrame, pairs: Pairs) -> DataFrame:
 
     def run(batches):
         yield from pairs.run(batches)
+        give_back()
 
     return rows.select(*pairs.names).repartition("key").sortWithinPartitions("key", "cls").mapInArrow(run, "a long, b long, u long, v long")
 
@@ -342,6 +344,7 @@ def _of_classes(needed: DataFrame, texts: DataFrame, size: int, of, kind: str) -
                 ids = pa.array(_class_id(values, first).view(np.int64))
                 yield pa.RecordBatch.from_arrays([column(batch, "doc_id").slice(at, n), ids, of(values, first)], names=["doc_id", "cls", "x"])
                 at += n
+            give_back()
 
     made = texts.join(ids, "doc_id", "left_semi").mapInArrow(run, T.StructType([texts.schema["doc_id"], *T._parse_datatype_string(f"cls long, x {kind}").fields]))
     out = materialize(made.join(needed, ["doc_id", "cls"], "left_semi").groupBy("cls").agg(F.first("x").alias("x")), "of-classes")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import text_blocks
-from .common import block_count, column, materialize
+from .common import block_count, column, give_back, materialize
 
 
 class CapacityTree:
@@ -164,6 +164,7 @@ def tokenize(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, window:
                     at += 1
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "doc_tokens", "start", "length", "ids_crc32"])
+            give_back()
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, doc_tokens long, start long, length long, ids_crc32 long")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, map_columns
+from .common import column, give_back, map_columns
 from .kernel import BLOCK_BYTES, U64, Words, blocks, find_words, mix, range_hash, text_buffer, window_hash, window_valid
 
 #: Symbols that the base rules count.
@@ -34,6 +34,8 @@ THRESHOLD = 0.1
 #: At most so many labelled rows of each label are fitted.
 SAMPLE_ROWS = 1500
 BITS = 16
+#: Text bytes scored at once: a quarter of other kernels', since a block's n-grams of several kinds are held side by side.
+SCORE_BYTES = 512 << 10
 #: (kind, n): word n-grams and character n-grams (bytes, across words too).
 GROUPS = (("word", 1), ("word", 2), ("char", 3))
 
@@ -139,7 +141,7 @@ def _sparse(batches):
     for batch in batches:
         buffer, offsets = text_buffer(column(batch, "text"))
         labels, at, rows = column(batch, "label").to_pylist(), 0, []
-        for lo, hi, b, o in blocks(buffer, offsets):
+        for lo, hi, b, o in blocks(buffer, offsets, SCORE_BYTES):
             parts = list(features(b, o, find_words(b, o)))
             for d in range(hi - lo):
                 slots, values = [], []
@@ -151,6 +153,8 @@ def _sparse(batches):
                 at += 1
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["label", "slots", "values"])
+        del batch, buffer, offsets, rows, cols
+        give_back()
 
 
 def near_groups(slots: list[np.ndarray], similarity: float = 0.5) -> np.ndarray:
@@ -296,7 +300,7 @@ def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, te
         def step(batch):
             buffer, offsets = text_buffer(column(batch, text))
             parts = []
-            for _, _, b, o in blocks(buffer, offsets):
+            for _, _, b, o in blocks(buffer, offsets, SCORE_BYTES):
                 words = find_words(b, o)
                 own = base_counts(b, o, words)
                 own["p_good"] = model.probability(model.logit(b, o, words)) if model else np.full(len(o) - 1, np.nan)

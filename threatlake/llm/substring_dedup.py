@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import block_count, blocked, column, kept_fields, put_back, set_aside
+from .common import block_count, blocked, column, give_back, kept_fields, put_back, set_aside
 from .kernel import U64, Words, blocks, find_words, member, pack, range_hash, text_buffer, unpack, widen, window_hash, window_valid
 
 #: Parquet bytes of documents for each block and each shard.
@@ -116,6 +116,7 @@ def _parts(table: pa.Table, text: str, window: int):
     buffer, offsets = text_buffer(column(table, text))
     for lo, hi, b, o in blocks(buffer, offsets):
         yield lo, hi, b, o, Windows(b, o, window)
+    give_back()
 
 
 def _ids(table: pa.Table) -> np.ndarray:
